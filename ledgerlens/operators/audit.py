@@ -16,7 +16,7 @@ from ledgerlens.functions.costs import (
 )
 from ledgerlens.operators.matching import PRICE_KEYS, match_prices, match_unit_factors, matched_only
 from ledgerlens.operators.ranking import join_top_flag, rank_top_flag, top_products
-from ledgerlens.operators.sizing import BROADCAST_LIMIT
+from ledgerlens.operators.sizing import BROADCAST_LIMIT, checkpointed
 from ledgerlens.schemas import COST_AUDIT
 
 _MEASURES = ("usage_amount", "net_cost", "gross_cost")
@@ -59,7 +59,12 @@ def discounted(flagged: DataFrame, policy: DiscountPolicy = DiscountPolicy()) ->
 
 
 def discounted_by_join(base: DataFrame, k: int = 5, policy: DiscountPolicy = DiscountPolicy()) -> DataFrame:
-    """Discounts with the top-k flag taken from an outer join."""
+    """Discounts with the top-k flag taken from an outer join.
+
+    The join reads `base` twice. It is one row per month and product, so it is checkpointed rather than
+    summed from billing a second time; `rank_top_flag` does without either.
+    """
+    base = checkpointed(base)
     return discounted(join_top_flag(base, top_products(base, k)), policy)
 
 

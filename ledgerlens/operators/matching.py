@@ -24,6 +24,11 @@ def _side(df: DataFrame, keys: tuple[str, ...], *values: str) -> DataFrame:
     return df.select(*[F.col(key).alias(_SIDE + key) for key in keys], *values)
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """Keeps a side that was measured too large from being broadcast on a lower estimate."""
+    return side.hint("merge")
+
+
 def _same_price_key() -> Column:
     strict = [F.col(key) == F.col(_SIDE + key) for key in STRICT_KEYS]
     null_safe = [F.col(key).eqNullSafe(F.col(_SIDE + key)) for key in NULL_SAFE_KEYS]
@@ -47,15 +52,15 @@ def match_prices(
 
     Three ways, by measured size: the price list fits and is broadcast, so `usage` is not shuffled; only
     the prices in use fit (tried if `narrow`, for one more pass over the key columns), and those are
-    broadcast; neither fits, and both sides are shuffled, where adaptive execution splits the partitions
-    of hot keys. All three return the same rows.
+    broadcast; neither fits, and both sides are shuffled for a sort-merge join, where adaptive execution
+    splits the partitions of hot keys. All three return the same rows.
     """
     whole = _side(prices, PRICE_KEYS, "precio_lista")
     side = broadcast_within(whole, broadcast_limit)
-    if side is None and narrow:
+    if side is None and narrow and broadcast_limit > 0:
         whole = checkpointed(_prices_in_use(whole, usage))
         side = broadcast_within(whole, broadcast_limit)
-    joined = usage.join(whole if side is None else side, _same_price_key(), "left")
+    joined = usage.join(_shuffled(whole) if side is None else side, _same_price_key(), "left")
     return joined.select(*usage.columns, "precio_lista")
 
 
@@ -64,7 +69,7 @@ def match_unit_factors(usage: DataFrame, factors: DataFrame, broadcast_limit: in
     whole = _side(factors, ("pricing_unit",), "unidad_factor")
     side = broadcast_within(whole, broadcast_limit)
     same_unit = F.col("pricing_unit") == F.col(_SIDE + "pricing_unit")
-    joined = usage.join(whole if side is None else side, same_unit, "left")
+    joined = usage.join(_shuffled(whole) if side is None else side, same_unit, "left")
     return joined.select(*usage.columns, "unidad_factor")
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     # A rebalanced write yields files of about this size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
     "spark.sql.files.maxPartitionBytes": str(128 * MIB),
+    # Day-partitioned tables have thousands of folders; list many of them per task.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 

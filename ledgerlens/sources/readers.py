@@ -81,9 +81,23 @@ def _read_csv(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     return text.select(*columns)
 
 
+def _has_other_than_arrays(spark: SparkSession, path: str) -> bool:
+    """True if the first character of some file, blanks aside, does not open an array."""
+    lines = (
+        spark.read.text(path)
+        .where(F.col("value").rlike(r"\S"))
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.monotonically_increasing_id().alias("position"),  # follows line order inside a file
+            F.col("value").rlike(r"^\s*\[").alias("opens_array"),
+        )
+    )
+    first_lines = lines.groupBy("file").agg(F.min_by("opens_array", "position").alias("opens_array"))
+    return bool(first_lines.agg(F.bool_or(~F.col("opens_array"))).first()[0])
+
+
 def _read_json(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
-    documents = spark.read.text(path, wholetext=True)
-    if documents.where(~F.col("value").rlike(r"^\s*\[")).limit(1).count():
+    if _has_other_than_arrays(spark, path):
         # Spark would silently keep only the first record of such a file.
         raise ValueError(f"Not a JSON array of records: {path}")
     inferred = spark.read.json(path, multiLine=True).schema

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
-from ledgerlens.functions.conversion import widened
-
 
 def _replacing(df: DataFrame) -> DataFrameWriter:
     # Static overwrite: partitions of an earlier load must not survive.
@@ -17,11 +15,6 @@ def write_parquet(df: DataFrame, path: str) -> None:
     _replacing(df).parquet(path)
 
 
-def storage_types(df: DataFrame) -> DataFrame:
-    """Columns widened to the storage type of their family; nested columns raise before any write."""
-    return df.select(*[widened(field).alias(field.name) for field in df.schema])
-
-
 def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 

@@ -67,4 +67,5 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_factors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FACTORS), "pricing_unit string, unidad_factor double")
+    rows = ", ".join(f"('{unit}', {factor}D)" for unit, factor in FACTORS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS factors(pricing_unit, unidad_factor)")

@@ -141,7 +141,7 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A partitioned load first; the growth table that replaces it has another schema and no partitions."""
     table = f"{_database(spark)}.{specs.SERVICE_GROWTH_TABLE}"
     usage = projection.billing(spark, sf_dir)
-    sinks.replace_table(usage, table, partition_by="start_date")
+    sinks.replace_table(usage, table, partition_by="region")
     sinks.replace_table(growth.service_growth(usage), table)
     return sinks.read_table(spark, table)
 
