@@ -37,11 +37,13 @@ def _fits_header(names: list[str]) -> Column:
     """True, or a failed job for a record with more fields than the header.
 
     Shorter records are fine and end in NULLs. Only a record whose field count differs from the header
-    carries its text in `_LINE`.
+    carries its text in `_LINE`. The message names the first field because Spark refuses a query that
+    needs `_LINE` alone, as a count would.
     """
     wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
     surplus = F.from_csv(F.col(_LINE), wider, _DIALECT)[f"c{len(names)}"]
-    complaint = F.concat(F.lit(f"more than {len(names)} fields in: "), F.col(_LINE))
+    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
+    complaint = F.concat(F.lit(f"more than {len(names)} fields in the record of "), first, F.lit(": "), F.col(_LINE))
     return F.when(F.col(_LINE).isNotNull() & surplus.isNotNull(), F.raise_error(complaint).cast("boolean")).otherwise(
         F.lit(True)
     )
@@ -55,7 +57,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     names = spark.read.csv(path, header=True, **_DIALECT).columns
     raw = (
         spark.read.schema(_all_text([*names, _LINE]))
-        .options(**_DIALECT)
+        .options(**_DIALECT, columnPruning=False)  # fields are counted whichever columns a query needs
         .csv(
             path,
             header=True,
