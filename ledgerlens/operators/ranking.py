@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 LANES = 64
 
 
-def usage_rank(base: DataFrame) -> DataFrame:
-    """Rank of each product inside its month by usage; NULL usage comes last and ties share a rank."""
+def ranked_top(base: DataFrame, k: int = 5) -> DataFrame:
+    """Products ranked up to k inside their month by usage; NULL usage comes last and ties share a rank.
+
+    Spark applies the rank filter inside each task before the shuffle, so a month is never gathered whole.
+    """
     order = Window.partitionBy("month").orderBy(F.desc_nulls_last("usage_amount"))
-    return base.withColumn("usage_rank", F.rank().over(order))
+    return base.withColumn("usage_rank", F.rank().over(order)).where(F.col("usage_rank") <= k)
 
 
 def top_products(base: DataFrame, k: int = 5) -> DataFrame:
-    """(month, product_code) of the top k; the rank filter runs inside each task before the shuffle."""
-    return usage_rank(base).where(F.col("usage_rank") <= k).select("month", "product_code")
+    """(month, product_code) of the top k; more than k of them when ranks are tied."""
+    return ranked_top(base, k).select("month", "product_code")
 
 
 def join_top_flag(base: DataFrame, top: DataFrame) -> DataFrame:

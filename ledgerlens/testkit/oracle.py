@@ -125,12 +125,15 @@ _ALL_GROWTH = _INPUTS + _GROWTH + "\nSELECT * FROM growth"
 _BILLING_DQ = _counts("billing", _BILLING_CONDITIONS)
 _PRICE_DQ = _counts("prices", _PRICE_CONDITIONS)
 
-# A price list is landed for no year, billing for every year: each price path is missing.
+# Two files are required per year; the billing file of the last year is the one that has landed.
 _MISSING = (
     _INPUTS
-    + """
-SELECT DISTINCT 'lista_precios/' || cast(year(start_date) AS varchar) || '/12/31/lista_precios.json' AS path
-FROM billing WHERE start_date IS NOT NULL"""
+    + """,
+years AS (SELECT DISTINCT year(start_date) AS y FROM billing WHERE start_date IS NOT NULL)
+SELECT 'lista_precios/' || cast(y AS varchar) || '/12/31/lista_precios.json' AS path FROM years
+UNION ALL
+SELECT 'aws_data_desafio/' || cast(y AS varchar) || '/12/31/aws_data_desafio.csv' FROM years
+WHERE y < (SELECT max(y) FROM years)"""
 )
 
 ORACLE = {
@@ -142,7 +145,7 @@ ORACLE = {
     "billing_with_gross_cost": _INPUTS + _GROSS + "\nSELECT * FROM gross",
     "matched_billing": _INPUTS + _GROSS + "\nSELECT * FROM gross WHERE has_price_match",
     "product_month_base": _INPUTS + _GROSS + _AUDIT + "\nSELECT * FROM totals",
-    "product_usage_rank": _INPUTS + _GROSS + _AUDIT + "\nSELECT * FROM standing",
+    "top5_usage_ranks": _INPUTS + _GROSS + _AUDIT + "\nSELECT * FROM standing WHERE usage_rank <= 5",
     "top5_products": _INPUTS + _GROSS + _AUDIT + "\nSELECT * FROM leaders",
     "discounted_cost": _INPUTS + _GROSS + _AUDIT + "\nSELECT * EXCLUDE (flag) FROM costed",
     "cost_audit": _ALL_AUDIT,

@@ -67,8 +67,8 @@ def matched_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.matched_only(_gross(spark, sf_dir))
 
 
-def product_usage_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = ranking.usage_rank(_base(spark, sf_dir))
+def top5_usage_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = ranking.ranked_top(_base(spark, sf_dir))
     return ranked.select("month", "product_code", "usage_amount", F.col("usage_rank").cast("bigint").alias("usage_rank"))
 
 
@@ -147,13 +147,12 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def required_files_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every source is required at the end of each year with usage, but only billing was landed."""
+    """Every source is required at the end of each year with usage; only billing of the last year has landed."""
     root = scratch(spark)
     usage = projection.billing(spark, sf_dir).where(F.col("start_date").isNotNull())
     year_end = F.make_date(F.year("start_date"), F.lit(12), F.lit(31))
     run_dates = usage.select(year_end.alias("run_date")).distinct()
-    for row in run_dates.collect():  # one row per calendar year
-        land_billing(usage.where(year_end == F.lit(row.run_date)), root, row.run_date)
+    land_billing(usage, root, run_dates.agg(F.max("run_date")).first()[0])
     required = landing.required_files(run_dates, specs.SOURCES)
     return landing.missing_files(required, landing.landed_files(spark, root))
 
@@ -182,7 +181,7 @@ QUERIES: dict[str, Query] = {
     "billing_with_gross_cost": _gross,
     "matched_billing": matched_billing,
     "product_month_base": _base,
-    "product_usage_rank": product_usage_rank,
+    "top5_usage_ranks": top5_usage_ranks,
     "top5_products": top5_products,
     "discounted_cost": discounted_cost,
     "cost_audit": cost_audit,

@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",  # several write tasks on tiny data
             "spark.checkpoint.dir": str(home / "checkpoints"),
             "spark.sql.warehouse.dir": str(home / "warehouse"),
         },
