@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -72,11 +73,29 @@ _LAYOUTS = {
 }
 
 
-def run(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:
-    """Runs every step in order and returns the written tables by name."""
+def check_inputs(spark: SparkSession, config: PipelineConfig) -> None:
     require_complete(spark, config.raw_root, config.run_date, specs.SOURCES)
+
+
+def stage_inputs(spark: SparkSession, config: PipelineConfig) -> None:
     create_database(spark, config.database, f"{config.warehouse_root.rstrip('/')}/{config.database}")
     stage_all(spark, config.raw_root, config.stage_root, config.database, config.run_date)
-    build_dq_tables(spark, config)
-    build_result_tables(spark, config)
-    return {name: read_table(spark, config.table(name), layout) for name, layout in _LAYOUTS.items()}
+
+
+STEPS: dict[str, Callable[[SparkSession, PipelineConfig], None]] = {
+    "check": check_inputs,
+    "stage": stage_inputs,
+    "quality": build_dq_tables,
+    "results": build_result_tables,
+}
+
+
+def run(spark: SparkSession, config: PipelineConfig, steps: Iterable[str] = tuple(STEPS)) -> dict[str, DataFrame]:
+    """Runs the steps in order and returns the tables that exist afterwards, by name."""
+    for step in steps:
+        STEPS[step](spark, config)
+    return {
+        name: read_table(spark, config.table(name), layout)
+        for name, layout in _LAYOUTS.items()
+        if spark.catalog.tableExists(config.table(name))
+    }

@@ -16,16 +16,13 @@ SETTINGS = {
     # A rebalanced write yields files of about this size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
     "spark.sql.files.maxPartitionBytes": str(128 * MIB),
+    # Checkpoints of narrowed price lists go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Day-partitioned tables have thousands of folders; list many of them per task.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
-def shuffle_partitions_for(shuffled_bytes: int, cores: int, target: int = 256 * MIB) -> int:
-    """Shuffle partitions so that an average one is near `target`; adaptive execution merges small ones."""
-    return max(cores, -(-shuffled_bytes // target))
-
-
 def build_session(app_name: str = "ledgerlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -16,20 +16,25 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def create_database(spark: SparkSession, name: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
+    escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{escaped}'")
 
 
 def replace_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     """Overwrites `table` with `df`.
 
     Partitioned loads are rebalanced on the partition column: each value goes to few files, small values
-    share a task, and adaptive execution splits a value that holds much of the data over many tasks.
+    share a task, and adaptive execution splits a value that holds much of the data over many tasks. The
+    values are counted first (a scan of that one column), because a shuffle with fewer partitions than
+    values would mix values in one partition and split them into many small files together.
     """
     if partition_by is None:
         _replacing(df).format("parquet").saveAsTable(table)
-    else:
-        balanced = df.hint("rebalance", partition_by)
-        _replacing(balanced).format("parquet").partitionBy(partition_by).saveAsTable(table)
+        return
+    values = df.select(partition_by).distinct().count()
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    balanced = df.hint("rebalance", max(2 * values, default), partition_by)
+    _replacing(balanced).format("parquet").partitionBy(partition_by).saveAsTable(table)
 
 
 def read_table(spark: SparkSession, table: str, layout: T.StructType | None = None) -> DataFrame:

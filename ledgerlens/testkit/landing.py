@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +12,8 @@ from ledgerlens.operators.sizing import reliable_dir
 from ledgerlens.sources.landing import raw_path
 from ledgerlens.sources.specs import BILLING_SOURCE, PRICE_SOURCE
 
+RECORDS_PER_DOCUMENT = 20_000
+
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for one run, below the shared folder."""
@@ -27,20 +27,18 @@ def land_billing(billing: DataFrame, raw_root: str, run_date: date) -> None:
     )
 
 
-def _array_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    opening = "["
-    for batch in batches:
-        if len(batch):
-            lines = ("," + batch["value"]).tolist()
-            lines[0] = opening + (lines[0][1:] if opening else lines[0])
-            opening = ""
-            yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["[]" if opening else "]"]})
-
-
 def land_prices(prices: DataFrame, raw_root: str, run_date: date) -> None:
-    """One JSON array document per partition, with list prices as numeric strings."""
-    records = prices.withColumn("precio_lista", F.col("precio_lista").cast("string")).select(
-        F.to_json(F.struct(*prices.columns), {"ignoreNullFields": "false"}).alias("value")
+    """JSON array documents, list prices as numeric strings.
+
+    Price keys are unique, so hashing them gives documents of about the same, bounded size. Each is one
+    row, hence one file.
+    """
+    documents = -(-prices.count() // RECORDS_PER_DOCUMENT)
+    record = F.struct(*[F.col(name).cast("string").alias(name) for name in prices.columns])
+    (
+        prices.groupBy(F.pmod(F.xxhash64(*prices.columns), F.lit(max(documents, 1))).alias("document"))
+        .agg(F.to_json(F.collect_list(record), {"ignoreNullFields": "false"}).alias("value"))
+        .select("value")
+        .write.option("maxRecordsPerFile", 1)
+        .text(raw_path(raw_root, PRICE_SOURCE, run_date))
     )
-    records.mapInPandas(_array_documents, "value string").write.text(raw_path(raw_root, PRICE_SOURCE, run_date))

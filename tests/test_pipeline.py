@@ -63,3 +63,25 @@ def test_first_failure_stops_staging(spark, tmp_path):
         run(spark, settings)
     assert not spark.catalog.tableExists(settings.table(specs.PRICE_TABLE))
     assert not spark.catalog.tableExists(settings.table(specs.COST_AUDIT_TABLE))
+
+
+def test_command_line_runs_steps_in_separate_calls(spark, tmp_path):
+    from ledgerlens import schemas
+    from run_audit import main
+
+    settings = config(tmp_path)
+    few_days = projection.billing(spark, SF_DIR).where("start_date IS NULL OR day(start_date) = 1 AND month(start_date) = 6")
+    land_billing(few_days, settings.raw_root, RUN_DATE)
+    land_prices(projection.prices(spark, SF_DIR), settings.raw_root, RUN_DATE)
+    projection.unit_factors(spark).write.parquet(f"{tmp_path}/factors")
+    common = [
+        "--raw-root", settings.raw_root, "--stage-root", settings.stage_root, "--warehouse-root", settings.warehouse_root,
+        "--run-date", "2024-01-05", "--database", settings.database, "--unit-factors", f"{tmp_path}/factors", "--steps",
+    ]
+    main([*common, "check", "stage"])
+    assert spark.table(settings.table(specs.BILLING_TABLE)).count() == few_days.count()
+    assert not spark.catalog.tableExists(settings.table(specs.COST_AUDIT_TABLE))
+    main([*common, "quality", "results"])
+    audit = spark.table(settings.table(specs.COST_AUDIT_TABLE))
+    assert audit.columns == schemas.COST_AUDIT.fieldNames()
+    assert audit.count() > 0
