@@ -18,8 +18,11 @@ NULL_TOKENS = (
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*\z"
 
 
-def null_tokens(text: Column) -> Column:
-    return F.when(~text.isin(*NULL_TOKENS), text)
+def null_tokens(name: str) -> Column:
+    """The text column `name` without its null tokens; one SQL expression instead of a literal per token."""
+    column = "`" + name.replace("`", "``") + "`"
+    listed = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+    return F.expr(f"CASE WHEN {column} NOT IN ({listed}) THEN {column} END").alias(name)
 
 
 def strict_double(text: Column, name: str) -> Column:

@@ -16,11 +16,10 @@ _FIELD_BYTES = 8
 
 def measured_bytes(df: DataFrame) -> int:
     """In-memory size of `df` from one distributed aggregate; only the total reaches the driver."""
-    width = F.lit(_ROW_OVERHEAD + _FIELD_BYTES * len(df.schema.fields)).cast("bigint")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-    return df.agg(F.sum(width)).first()[0] or 0
+    text = [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
+    fixed = _ROW_OVERHEAD + _FIELD_BYTES * len(df.columns)
+    width = " + ".join([f"{fixed}L", *(f"coalesce(octet_length(`{name}`), 0)" for name in text)])
+    return df.agg(F.sum(F.expr(width))).first()[0] or 0
 
 
 def broadcast_within(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame | None:

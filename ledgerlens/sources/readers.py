@@ -66,7 +66,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
             multiLine=_has_multi_line_records(spark, path),
         )
     )
-    return raw.where(_fits_header(names)).select(*[null_tokens(F.col(f"`{name}`")).alias(name) for name in names])
+    return raw.where(_fits_header(names)).select(*map(null_tokens, names))
 
 
 def _read_csv(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:

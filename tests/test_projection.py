@@ -1,0 +1,28 @@
+"""The projected inputs have the counts that FIXTURES.md lists, so the cases it names do occur."""
+
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import matching, quality
+from ledgerlens.testkit import projection
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_counts(spark):
+    billing, prices = projection.billing(spark, SF_DIR), projection.prices(spark, SF_DIR)
+    gross = matching.billing_with_gross_cost(billing, prices, projection.unit_factors(spark))
+    counts = gross.agg(
+        F.count("*"),
+        F.count_if("has_price_match"),
+        F.count_if(F.col("has_price_match") & F.col("gross_cost").isNull()),
+        F.count_if(F.col("precio_lista").isNull()),
+        F.count_if(F.col("unidad_factor").isNull()),
+    ).first()
+    assert tuple(counts) == (60000, 49450, 8150, 2431, 8456)
+    assert prices.count() == 26280
+    assert prices.select(*matching.PRICE_KEYS).distinct().count() == 26280
+
+
+def test_dq_counts(spark):
+    report = quality.dq_billing(projection.billing(spark, SF_DIR)).collect()
+    assert [row.num_issues for row in report] == [65, 61, 56, 12056, 64, 11902, 71, 68]
