@@ -20,5 +20,5 @@ def month_start(day: Column) -> Column:
 def lenient_date(text: Column) -> Column:
     """Year-month-day text to DATE; one-digit months and days are fine, anything else becomes NULL."""
     well_formed = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z")
-    day = F.try_to_date(F.when(well_formed, text), "yyyy-M-d")
+    day = F.when(well_formed, text).try_cast("date")  # a cast parses faster than a date pattern
     return F.when(day.between(F.lit(EARLIEST_DAY), F.lit(LATEST_DAY)), day)

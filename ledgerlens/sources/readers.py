@@ -6,6 +6,7 @@ numeric column fails the job instead of becoming NULL.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,14 +24,24 @@ def _all_text(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def _has_multi_line_records(spark: SparkSession, path: str) -> bool:
-    """True if a quoted field may span lines, which shows as a line with an odd number of quotes.
+def _header_and_multi_line(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """Column names, and whether a quoted field may span lines, from one splittable pass over the text.
 
-    One splittable pass over the text. It keeps the usual case splittable in the real read as well.
+    A field that spans lines leaves a line with an odd number of quotes. Without one, the real read can be
+    split as well. Any part file may supply the header, since the read checks all of them against it.
     """
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return bool(spark.read.text(path).agg(F.bool_or(quotes % 2 == 1)).first()[0])
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    starts_file = F.col("_metadata.file_block_start") == 0
+    # Follows line order inside a file, and is NULL, hence ignored, elsewhere.
+    position = F.when(starts_file, F.monotonically_increasing_id())
+    lines = spark.read.text(path).where(line != "").select(
+        line, position.alias("position"), (line.contains('"') & (quotes % 2 == 1)).alias("open_quote")
+    )
+    header, multi_line = lines.agg(F.min_by("value", "position"), F.bool_or("open_quote")).first()
+    if header is None:
+        raise ValueError(f"No header in {path}")
+    return next(csv.reader([header])), bool(multi_line)
 
 
 def _fits_header(names: list[str]) -> Column:
@@ -54,7 +65,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
     Part files whose header differs from the first one are rejected rather than bound by position.
     """
-    names = spark.read.csv(path, header=True, **_DIALECT).columns
+    names, multi_line = _header_and_multi_line(spark, path)
     raw = (
         spark.read.schema(_all_text([*names, _LINE]))
         .options(**_DIALECT, columnPruning=False)  # fields are counted whichever columns a query needs
@@ -63,7 +74,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
             header=True,
             enforceSchema=False,
             columnNameOfCorruptRecord=_LINE,
-            multiLine=_has_multi_line_records(spark, path),
+            multiLine=multi_line,
         )
     )
     return raw.where(_fits_header(names)).select(*map(null_tokens, names))

@@ -147,7 +147,7 @@ def test_hot_keys_are_split_in_the_shuffled_join(spark, tmp_path, settings):
 
 
 def test_hot_day_is_written_by_several_tasks(spark, tmp_path, settings):
-    settings(shuffle__partitions="200", adaptive__advisoryPartitionSizeInBytes="500KB")
+    settings(adaptive__advisoryPartitionSizeInBytes="500KB")
     usage = hot_usage(spark, tmp_path)
     sinks.create_database(spark, "hot_days", str(tmp_path / "hot_days"))
     try:

@@ -143,6 +143,33 @@ def test_part_files_with_another_header_are_rejected(spark, tmp_path):
         readers.read_source(spark, specs.BILLING_SOURCE, str(tmp_path)).collect()
 
 
+def test_file_without_header(csv):
+    with pytest.raises(ValueError, match="No header"):
+        csv("\n")
+
+
+def test_quoted_header_and_blank_lines(csv):
+    rows = csv('\n"account_id","region"\n\na,b\n\n').select("account_id", "region").collect()
+    assert [tuple(r) for r in rows] == [("a", "b")]
+
+
+def test_windows_line_ends_and_byte_order_mark(csv):
+    rows = csv("\ufeffaccount_id,region\r\na,b\r\n").select("account_id", "region").collect()
+    assert [tuple(r) for r in rows] == [("a", "b")]
+
+
+def test_header_is_found_in_many_splits(spark, tmp_path, csv):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2KB")
+    try:
+        lines = "".join(f"{i},r{i}\n" for i in range(3000))
+        df = csv("account_id,region\n" + lines).select("account_id", "region")
+        assert df.rdd.getNumPartitions() > 4
+        assert {tuple(r) for r in df.collect()} == {(str(i), f"r{i}") for i in range(3000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_unknown_extension(csv):
     with pytest.raises(ValueError, match="x.xml"):
         csv("", name="x.xml")
