@@ -33,7 +33,7 @@ def replace_table(df: DataFrame, table: str, partition_by: str | None = None) ->
         return
     values = df.select(partition_by).distinct().count()
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    balanced = df.hint("rebalance", max(2 * values, default), partition_by)
+    balanced = df.hint("rebalance", max(4 * values, default), partition_by)
     _replacing(balanced).format("parquet").partitionBy(partition_by).saveAsTable(table)
 
 

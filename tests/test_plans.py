@@ -153,8 +153,9 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path, settings):
     try:
         sinks.replace_table(usage, "hot_days.t", partition_by="start_date")
         folders = {folder.name: len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "hot_days" / "t").glob("start*")}
-        assert folders.pop("start_date=__HIVE_DEFAULT_PARTITION__") > max(folders.values())
+        assert folders.pop("start_date=__HIVE_DEFAULT_PARTITION__") > 1
         assert len(folders) == 40
+        assert sum(files == 1 for files in folders.values()) >= 35  # others share a shuffle partition with the hot day
         assert spark.table("hot_days.t").count() == 60000
     finally:
         spark.sql("DROP DATABASE hot_days CASCADE")
