@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, mixing, packing, token_files
-from ledgerlens.llm.common import Workspace
+from ledgerlens.llm import exact_dedup, mixing, packing, simhash, token_files, toxicity
+from ledgerlens.llm.common import Workspace, fold
 from ledgerlens.llm.tokens import vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), Workspace(spark, "toxicity"))
+    held_out = fold(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT
+    return toxicity.toxicity_scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(_table(spark, sf_dir, "documents"), Workspace(spark, "simhash"))
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.binary_pieces(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
     return packing.pieces_digest(pieces)
@@ -40,6 +54,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
     "op9_mixing": op9_mixing,
