@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, mixing, packing, simhash, token_files, toxicity
+from ledgerlens.llm import embeddings, exact_dedup, mixing, packing, quality, simhash, token_files, toxicity
 from ledgerlens.llm.common import Workspace, fold
 from ledgerlens.llm.tokens import vocabulary_path
 
@@ -37,6 +37,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_links(_table(spark, sf_dir, "embeddings"), Workspace(spark, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.binary_pieces(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
     return packing.pieces_digest(pieces)
@@ -52,11 +56,23 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = Workspace(spark, "quality")
+    stats = space.table("stats", quality.document_statistics(_table(spark, sf_dir, "documents")))
+    model = quality.train(stats, _table(spark, sf_dir, "labels"), space)
+    held_out = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
+    return quality.quality_scores(stats, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_embeddings": op5_embeddings,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
     "op9_mixing": op9_mixing,
+    "op10_quality": op10_quality,
 }
