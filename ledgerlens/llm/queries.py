@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import embeddings, exact_dedup, mixing, packing, quality, simhash, token_files, toxicity
+from ledgerlens.llm import embeddings, exact_dedup, hmm, mixing, packing, quality, simhash, token_files, toxicity
 from ledgerlens.llm.common import Workspace, fold
 from ledgerlens.llm.tokens import vocabulary_path
 
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.hmm_scores(_table(spark, sf_dir, "documents"), Workspace(spark, "hmm"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), Workspace(spark, "exact-dedup"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -67,6 +71,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_hmm": op1_hmm,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
