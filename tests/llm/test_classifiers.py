@@ -1,0 +1,117 @@
+import numpy as np
+import pytest
+from edge_cases import documents, no_documents
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import quality, queries, toxicity
+from ledgerlens.llm.common import Workspace
+
+SF = "/root/testdata/sf0.01"
+
+
+def held_out_accuracy(spark, query, label, least):
+    scored = queries.QUERIES[query](spark, SF)
+    assert scored.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = scored.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
+    assert len(rows) > 50
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    assert np.mean([r.predicted == r[label] for r in rows]) >= least
+    ones, zeros = ([r.score for r in rows if r[label] == k] for k in (1, 0))
+    # The chance that a row of label 1 scores above one of label 0.
+    assert np.mean([(a > b) + (a == b) / 2 for a in ones for b in zeros]) >= least
+
+
+def test_toxicity_on_held_out_rows(spark):
+    held_out_accuracy(spark, "op3_toxicity", "toxic", 0.93)
+
+
+def test_quality_on_held_out_rows(spark):
+    held_out_accuracy(spark, "op10_quality", "quality", 0.97)
+
+
+def labels(spark):
+    rows = [(1, 1, 0), (2, 1, 0), (7, 0, 1), (7, 0, 1), (8, None, None), (11, 0, 1), (99, 1, 1), (None, 1, 1), (12, 1, 0), (4, 5, 5)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_grams():
+    def slow(text, n):
+        chars = " " + " ".join(text.lower().split()) + " "
+        return {chars[i : i + n] for i in range(len(chars) - n + 1) if " " not in chars[i + 1 : i + n - 1]}
+
+    text = "The Idiot  of\nThe house, a b"
+    for n in (3, 4, 5, 6):
+        assert len(set(toxicity.gram_slots(text.encode(), (n,), 1 << 30).tolist())) == len(slow(text, n))
+    assert len(toxicity.gram_slots(b"")) == 0
+    marks = toxicity.SlotSet(1 << 10)
+    found = np.random.default_rng(1).integers(0, 1 << 10, 9000)
+    for _ in range(2):
+        assert np.array_equal(marks.distinct(found), np.unique(found))
+
+
+def test_log_count_ratios_match_brute_force(spark):
+    training = spark.createDataFrame([("bad bad idiot", 1), ("an idiot", 1), ("a nice day", 0), ("nice", 0), ("", 0)], "text string, label int")
+    counts = toxicity.slot_counts(training.repartition(3))
+    texts = [(set(toxicity.gram_slots(r.text.encode()).tolist()), r.label) for r in training.collect()]
+    slots, r = toxicity.log_count_ratios(counts)
+    assert set(slots.tolist()) == set().union(*(own for own, _ in texts))
+    for slot, ratio in zip(slots.tolist(), r.tolist(), strict=True):
+        hit, other = (sum(slot in own for own, k in texts if k == label) for label in (1, 0))
+        assert ratio == pytest.approx(np.log((hit + 1) / (2 + 2) / ((other + 1) / (3 + 2))))
+
+
+def test_toxicity_edge_cases(spark):
+    docs = documents(spark)
+    model = toxicity.train(docs, labels(spark), Workspace(spark, "t"), held_out=None)
+    scored = toxicity.toxicity_scores(docs, model).collect()
+    assert len(scored) == 18 and all(0 <= r.score <= 1 for r in scored)
+    assert len({r.score for r in scored if r.doc_id in (4, 5, 6)}) == 1
+    assert {r.doc_id: r.score > 0.5 for r in scored if r.doc_id in (1, 7, 11)} == {1: False, 7: True, 11: True}
+    clean = toxicity.clean_documents(docs, model)
+    assert clean.schema == docs.schema
+    want = [r.doc_id for r in scored if r.score < 0.5]
+    assert sorted((r.doc_id for r in clean.collect()), key=str) == sorted(want, key=str)
+    assert toxicity.toxicity_scores(no_documents(spark), model).count() == 0
+    unlabelled = toxicity.train(docs, labels(spark).limit(0), Workspace(spark, "t"))
+    assert {r.score for r in toxicity.toxicity_scores(docs, unlabelled).collect()} == {0.5}
+    one_kind = toxicity.train(docs, labels(spark).where("toxic = 0"), Workspace(spark, "t"), held_out=None)
+    assert {r.score < 0.5 for r in toxicity.toxicity_scores(docs, one_kind).collect()} == {True}
+
+
+def test_quality_edge_cases(spark):
+    docs = documents(spark)
+    stats = quality.document_statistics(docs)
+    assert all(np.isfinite(np.frombuffer(r.stats)).all() for r in stats.collect())
+    model = quality.train(stats, labels(spark), Workspace(spark, "t"), held_out=None)
+    scored = quality.quality_scores(stats, model).collect()
+    assert len(scored) == 18 and all(0 <= r.score <= 1 for r in scored)
+    assert quality.quality_scores(quality.document_statistics(no_documents(spark)), model).count() == 0
+    unlabelled = quality.train(stats, labels(spark).limit(0), Workspace(spark, "t"))
+    assert {r.score for r in quality.quality_scores(stats, unlabelled).collect()} == {0.5}
+    one_kind = quality.train(stats, labels(spark).where("quality = 1"), Workspace(spark, "t"), held_out=None)
+    assert {r.score for r in quality.quality_scores(stats, one_kind).collect()} == {1.0}
+
+
+def test_ridge_from_partition_sums_is_that_of_all_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    stats = quality.document_statistics(docs).withColumns(
+        {"label": F.pmod("doc_id", F.lit(2)).cast("int"), "fit": F.pmod("doc_id", F.lit(quality.FITS)).cast("int")}
+    )
+    stats = Workspace(spark, "t").table("stats", stats.repartition(7))
+    kernel = quality.fit_kernel(stats, 16)
+    sums = quality.normal_equations(stats, kernel)
+    rows = stats.collect()
+    every = np.array([np.frombuffer(r.stats) for r in rows])
+    assert np.allclose(kernel.mean, every.mean(axis=0)) and np.allclose(kernel.deviation[every.std(axis=0) > 1e-6], every.std(axis=0)[every.std(axis=0) > 1e-6])
+    x, y = kernel.features(every), np.array([r.label for r in rows], dtype=float)
+    whole = np.hstack([x, y[:, None]])
+    assert np.allclose(sums.sum(axis=0), whole.T @ whole)
+    w, _ = quality.ridge_fits(sums, penalties=(1e-2,))
+    ridge = np.full(17, 1e-2 * len(y))
+    ridge[-1] = 1e-9 * len(y)
+    assert np.allclose(w, np.linalg.solve(x.T @ x + np.diag(ridge), x.T @ y))
+
+
+def test_pool_adjacent():
+    position, share = quality.pool_adjacent(np.arange(6.0), np.ones(6), np.array([0, 1, 0, 0, 1, 1.0]))
+    assert share.tolist() == pytest.approx([0, 1 / 3, 1]) and position.tolist() == pytest.approx([0, 2, 4.5])

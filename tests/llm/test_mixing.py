@@ -1,0 +1,78 @@
+import random
+
+import pytest
+from compare import spark_rows, sql_rows
+from edge_cases import documents, no_documents
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import mixing, oracle, queries
+from ledgerlens.llm.common import Workspace
+
+
+def test_query_matches_sql(spark):
+    for name in oracle.ORACLE:
+        got = spark_rows(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert got == sql_rows(oracle.ORACLE[name], "/root/testdata/sf0.001"), name
+
+
+def highest_quotients(weights, house):
+    seats = [0] * len(weights)
+    for _ in range(house):
+        best = max(range(len(weights)), key=lambda i: (weights[i] / (2 * seats[i] + 1), -i))
+        if weights[best] == 0:
+            break
+        seats[best] += 1
+    return seats
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_apportion_is_sainte_lague(spark, seed):
+    rng = random.Random(seed)
+    groups = []
+    for group in range(12):
+        weights = [float(rng.choice([0, 1, 2, 5, 50, 1000, rng.randint(1, 10**6)])) for _ in range(rng.randint(1, 30))]
+        groups.append((group, weights, rng.choice([0, 1, len(weights), 7 * len(weights), 400])))
+    rows = [(g, i, w, house) for g, weights, house in groups for i, w in enumerate(weights)]
+    df = spark.createDataFrame(rows, "g int, i int, w double, house long")
+    found = {(r.g, r.i): r.quota for r in mixing.apportion(df, ["g"], ["i"], "w", "house").collect()}
+    assert found == {(g, i): n for g, weights, house in groups for i, n in enumerate(highest_quotients(weights, house))}
+
+
+def test_targets_fill_up_to_the_limit(spark):
+    rows = [("a", 10), ("b", 1000), ("c", 1000), (None, 0), ("d", 500)]
+    found = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    # Weights 3, 1, 2, 3, 1. a, d and the empty NULL source are full; b and c share the other 2745 by 1 to 2.
+    assert found == {"a": 20.0, "b": 915.0, "c": 1830.0, "d": 1000.0, None: 0.0}
+
+
+def test_edge_cases(spark):
+    plan = mixing.mix_plan(documents(spark), Workspace(spark, "t")).collect()
+    assert len(plan) == 18
+    assert all(0 <= r.taken <= 2 * r["size"] for r in plan)
+    assert {r["size"] for r in plan if r.doc_id in (4, 5, 6)} == {0}
+    assert mixing.mix_plan(no_documents(spark), Workspace(spark, "t")).count() == 0
+    assert mixing.mixed_documents(no_documents(spark), Workspace(spark, "t")).count() == 0
+    nothing = spark.createDataFrame([(1, None, None), (2, " ", "s")], "doc_id long, text string, source string")
+    assert [r.taken for r in mixing.mix_plan(nothing, Workspace(spark, "t")).collect()] == [0, 0]
+
+
+def test_documents_follow_the_plan(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    options = {"shard_words": 5000, "block_words": 16}
+    plan = mixing.mix_plan(docs, Workspace(spark, "t"), **options)
+    mixed = mixing.mixed_documents(docs, Workspace(spark, "t"), **options)
+    assert mixed.schema == docs.schema
+    words = {r.doc_id: r.n for r in mixed.groupBy("doc_id").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert words == {r.doc_id: r.taken for r in plan.collect() if r.taken}
+    by_source = plan.groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("t"), F.countDistinct("passes").alias("p")).collect()
+    assert all(abs(r.n - r.t) < 0.02 * r.t + 64 for r in by_source)
+    again = mixing.mix_plan(docs.repartition(7), Workspace(spark, "t"), **options)
+    assert spark_rows(again) == spark_rows(plan)
+
+
+def test_one_source_with_a_third_of_all_rows(spark):
+    rows = [(i, f"w{i} a b c d e f g", "hot" if i % 3 else f"s{i % 50}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    plan = mixing.mix_plan(docs, Workspace(spark, "t"), shard_words=4000)
+    for r in plan.groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("t")).collect():
+        assert abs(r.n - r.t) <= 64 * 8

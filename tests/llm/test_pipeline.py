@@ -1,0 +1,58 @@
+"""The stages one by one against plain Python, and the whole run."""
+
+import re
+
+import numpy as np
+from test_simhash import components, fingerprint
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ledgerlens.llm import mixing, toxicity
+from ledgerlens.llm.common import Workspace
+from ledgerlens.llm.tokens import vocabulary_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    layout = docs.schema
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"), Workspace(spark, "t"), held_out=None)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    kept = {i for i, t in texts.items() if model.score(np.unique(toxicity.gram_slots(t.encode()))) < 0.5}
+    assert 0 < len(kept) < len(texts)
+    seen: dict[str, int] = {}
+    for i in sorted(kept):
+        seen.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", texts[i]), i)
+    unique = sorted(seen.values())
+    label = components([fingerprint(texts[i]) for i in unique])
+    first: dict[int, int] = {}
+    for i, own in zip(unique, label, strict=True):
+        first.setdefault(own, i)
+    wanted = [kept, set(unique), set(first.values())]
+
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        found = stage(spark, docs, SF)
+        found.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if number < 3:
+            rows = docs.collect()
+            assert sorted(r.doc_id for r in rows) == sorted(wanted[number]), name
+            assert all(r.text == texts[r.doc_id] for r in rows)
+        if name == "mixing":
+            plan = mixing.mix_plan(spark.read.parquet(str(tmp_path / "simhash_near_dedup")), Workspace(spark, "t"))
+            mixed = docs.collect()
+            words = {}
+            for r in mixed:
+                words[r.doc_id] = words.get(r.doc_id, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+            assert words == {r.doc_id: r.taken for r in plan.collect() if r.taken}
+        if name != "packing":
+            assert docs.schema == layout, name
+    whole = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    tokens = sorted((r.doc_id, len(whole.encode(r.text, add_special_tokens=False).ids) + 1) for r in mixed)
+    pieces = docs.collect()
+    assert sum(r.length for r in pieces) == sum(n for _, n in tokens)
+    assert sorted((r.doc_id, r.doc_tokens) for r in pieces if r.start == 0) == tokens
+    run = corpus_pipeline.run(spark, SF)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(tuple, run.select(*columns).collect())) == sorted(map(tuple, docs.select(*columns).collect()))

@@ -1,0 +1,100 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from edge_cases import ROWS, documents, no_documents
+
+from ledgerlens.llm import simhash
+from ledgerlens.llm.common import Workspace
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fingerprint(text, each=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + each]) for i in range(len(words) - each + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints):
+    label = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                a, b = label[i], label[j]
+                label = [b if x == a else x for x in label]
+    return label
+
+
+def check(rows, found):
+    prints = [fingerprint(t) for _, t in rows]
+    label = components(prints)
+    least = {}
+    for (i, _), own in zip(rows, label, strict=True):
+        if i is not None:
+            least[own] = min(i, least.get(own, i))
+    want = sorted(((i, p, least.get(own)) for (i, _), p, own in zip(rows, prints, label, strict=True)), key=str)
+    assert sorted(((r.doc_id, r.fingerprint & (1 << 64) - 1, r.component_id) for r in found), key=str) == want
+
+
+def test_edge_cases(spark):
+    check(ROWS, simhash.simhash_components(documents(spark), Workspace(spark, "t")).collect())
+    assert simhash.simhash_components(no_documents(spark), Workspace(spark, "t")).count() == 0
+
+
+def test_near_copies(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for group in range(12):
+        text = rng.choices(words, k=rng.randint(20, 200))
+        for copy in range(10):
+            own = list(text)
+            for _ in range(copy % 4):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append((1000 - len(rows) + group, " ".join(own)))
+    check(rows, simhash.simhash_components(documents(spark, rows).repartition(4), Workspace(spark, "t")).collect())
+
+
+@pytest.mark.parametrize("tile_rows", [20_000, 16])
+def test_links_of_made_up_fingerprints(spark, tile_rows):
+    """Chains and clusters at all distances, in whole buckets and in tiles, have the components of brute force."""
+    rng = random.Random(7)
+    prints = {0, (1 << 64) - 1}
+    for _ in range(30):
+        own = rng.getrandbits(64)
+        prints.add(own)
+        for _ in range(8):
+            for bit in rng.sample(range(64), rng.randint(1, 5)):
+                own ^= 1 << bit
+            prints.add(own)
+    # One segment value shared by many.
+    prints |= {(rng.getrandbits(32) & ~0xFFF | low) for low in range(120)}
+    prints = sorted(prints)
+    signed = [int(np.uint64(p).view(np.int64)) for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    label = dict(zip(signed, components(prints), strict=True))
+    mine = {p: p for p in signed}
+    for r in simhash.spanning_links(df, tile_rows=tile_rows).collect():
+        a, b = mine[r.a], mine[r.b]
+        mine = {p: (a if x == b else x) for p, x in mine.items()}
+        assert label[r.a] == label[r.b]
+    assert len({(label[p], mine[p]) for p in signed}) == len(set(label.values())) == len(set(mine.values()))
+
+
+def test_more_bits_than_the_tables_find_are_refused(spark):
+    with pytest.raises(ValueError, match="three"):
+        simhash.spanning_links(spark.createDataFrame([(1,)], "fingerprint long"), max_bits=4)
+
+
+def test_keep_one(spark):
+    docs = documents(spark)
+    kept = simhash.keep_one(docs, Workspace(spark, "t"))
+    assert kept.schema == docs.schema
+    found = simhash.simhash_components(docs, Workspace(spark, "t")).collect()
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({r.component_id for r in found}, key=str)
