@@ -125,7 +125,7 @@ def _taken(rows: DataFrame, sizes: DataFrame, space: Workspace, block_words: int
         begin = F.least(F.greatest(low - F.col("start"), F.lit(0)), "size")
         return begin, F.greatest(begin, F.least(high - F.col("start"), F.col("size")))
 
-    # The stretch may run past the last block and go on with the first.
+    # The stretch may run past the last block and go on with the first; the second range is then the earlier one.
     stop = F.col("begin") + F.col("length")
     from1, to1 = cut(F.col("begin"), F.least(stop, F.col("round")))
     from2, to2 = cut(F.lit(0), stop - F.col("round"))
@@ -169,7 +169,7 @@ def mixed_documents(docs: DataFrame, space: Workspace, *, weights=WEIGHTS, share
     words = F.regexp_extract_all(text, F.lit(rf"({WORD}[\x20\x09-\x0D]*)"), 1)
     cut = lambda low, high: F.slice(words, F.col(low).cast("int") + 1, (F.col(high) - F.col(low)).cast("int"))
     extra = (F.col("to1") - F.col("from1")) + (F.col("to2") - F.col("from2"))
-    part = F.when(extra == F.col("size"), text).when(extra > 0, F.concat(F.array_join(cut("from1", "to1"), ""), F.array_join(cut("from2", "to2"), "")))
+    part = F.when(extra == F.col("size"), text).when(extra > 0, F.concat(F.array_join(cut("from2", "to2"), ""), F.array_join(cut("from1", "to1"), "")))
     copies = F.when(F.col("size") > 0, F.array_repeat(text, F.col("passes").cast("int"))).otherwise(F.array().cast("array<string>"))
     texts = F.concat(copies, F.when(extra > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     mixed = taken.select("row", F.explode(texts).alias("new"))
