@@ -15,7 +15,7 @@ NULL_TOKENS = (
 )
 
 # Java's parser would also take "1.5d", "2f" and hex floats, so the accepted text is spelled out.
-_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*\z"
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*\z"
 
 
 def null_tokens(name: str) -> Column:
@@ -28,7 +28,7 @@ def null_tokens(name: str) -> Column:
 def strict_double(text: Column, name: str) -> Column:
     """Text to double; text that is no number fails the job, in ANSI mode or not."""
     complaint = F.concat(F.lit(f"column {name} is not a number: "), text)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double")).when(
+    return F.when(text.rlike(NUMBER), text.try_cast("double")).when(
         text.isNotNull(), F.raise_error(complaint).cast("double")
     )
 
@@ -48,18 +48,19 @@ def text_to(field: T.StructField, text: Column) -> Column:
     raise TypeError(f"no text conversion to {field.dataType.simpleString()} for {field.name}")
 
 
-def widened(field: T.StructField) -> Column:
-    """Storage type by type family: start_date is a date, integers 64 bit, floats double, the rest text."""
-    column = F.col(f"`{field.name}`")
-    kind = field.dataType
-    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        raise TypeError(f"nested column {field.name} ({kind.simpleString()}) cannot be staged")
-    if field.name == "start_date":
-        return column.cast("date")
-    if isinstance(kind, T.IntegralType):
-        return column.cast("bigint")
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return nan_to_null(column.cast("double"))
-    if isinstance(kind, T.BooleanType):
-        return column
-    return column.cast("string")
+def wider_kind(name: str, kinds: list[str]) -> str:
+    """The type that takes all kinds of JSON values of a column: 64-bit integer, double, boolean or text.
+
+    NULL fits any; objects and arrays cannot be staged.
+    """
+    nested = [kind for kind in kinds if kind.startswith(("OBJECT", "ARRAY"))]
+    if nested:
+        raise TypeError(f"nested column {name} ({nested[0]}) cannot be staged")
+    families = {
+        "bigint" if kind in ("TINYINT", "SMALLINT", "INT", "BIGINT") else "double" if kind.startswith(("DECIMAL", "FLOAT", "DOUBLE")) else kind.lower()
+        for kind in kinds
+        if kind != "VOID"
+    }
+    if families == {"bigint", "double"}:
+        return "double"
+    return families.pop() if len(families) == 1 and families <= {"bigint", "double", "boolean"} else "string"

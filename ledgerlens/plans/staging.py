@@ -16,11 +16,12 @@ from ledgerlens.sources.specs import SOURCES, SourceSpec
 def stage_source(
     spark: SparkSession, spec: SourceSpec, raw_root: str, stage_root: str, database: str, run_date: date
 ) -> DataFrame:
-    """Stages one input of `run_date` and truncate-loads its table, which is returned."""
+    """Stages one input of `run_date`, all its columns, and truncate-loads its table, which is returned."""
     staged = stage_path(stage_root, spec, run_date)
     write_parquet(read_source(spark, spec, raw_path(raw_root, spec, run_date)), staged)
     table = f"{database}.{spec.table}"
-    replace_table(spark.read.parquet(staged), table, spec.partition_by)
+    rows = spark.read.parquet(staged)
+    replace_table(rows if spec.keep_extra else rows.select(*spec.declared.fieldNames()), table, spec.partition_by)
     return read_table(spark, table, spec.declared)
 
 

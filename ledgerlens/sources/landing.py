@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.sources.specs import SourceSpec
 
+# Fixed value: inputs lie at base/YYYY/MM/DD/file below their root.
 DAY_FOLDERS = "%Y/%m/%d"
 
 
@@ -38,7 +39,8 @@ def required_files(run_dates: DataFrame, specs: Iterable[SourceSpec]) -> DataFra
 def landed_files(spark: SparkSession, root: str, days: str = "*/*/*") -> DataFrame:
     """Relative paths found under the day folders `days` (a glob) of every source.
 
-    An input may be one file or a folder of part files; file contents are not read.
+    An input may be one file or a folder of part files; file contents are not read. The root may itself have dated
+    folders, since it is cut off before the rest is looked at.
     """
     try:
         found = (
@@ -50,7 +52,11 @@ def landed_files(spark: SparkSession, root: str, days: str = "*/*/*") -> DataFra
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string")
-    relative = F.regexp_extract("path", r"([^/]+/\d{4}/\d{2}/\d{2}/[^/]+)", 1)
+    whole = spark._jvm.org.apache.hadoop.fs.Path(root)
+    qualified = whole.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(whole).toUri().getPath().rstrip("/")
+    # Paths come with a scheme and perhaps a host, the root may be given without.
+    below = F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "").substr(F.lit(len(qualified) + 2), F.length("path"))
+    relative = F.regexp_extract(below, r"^([^/]+/\d{4}/\d{2}/\d{2}/[^/]+)", 1)
     return found.select(relative.alias("path")).distinct()
 
 
@@ -65,4 +71,4 @@ def require_complete(spark: SparkSession, root: str, run_date: date, specs: Iter
     # At most one path per source comes back.
     missing = sorted(row.path for row in missing_files(required, landed).collect())
     if missing:
-        raise FileNotFoundError(f"Missing files: {', '.join(missing)}")
+        raise FileNotFoundError(f"Inputs of {run_date} that have not landed under {root}: {', '.join(missing)}")

@@ -8,40 +8,87 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.conversion import null_tokens, text_to, widened
+from ledgerlens.functions.conversion import NUMBER, nan_to_null, null_tokens, text_to, wider_kind
 from ledgerlens.sources.specs import SourceSpec
 
 _LINE = "_source_line"
 _DIALECT = {"sep": ",", "quote": '"', "escape": '"'}
 
+# A quote counts only where it opens a field or stands in a field that one has opened.
+_FIELD = r"""(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+)"""
+_ENDS_OUTSIDE = rf"^{_FIELD}(?:,{_FIELD})*+$"
+_CLOSES_AND_ENDS_OUTSIDE = rf"""^[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,{_FIELD})*+$"""
+
 
 def _all_text(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def _header_and_multi_line(spark: SparkSession, path: str) -> tuple[list[str], bool]:
-    """Column names, and whether a quoted field may span lines, from one splittable pass over the text.
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines with their file, their order in it, and whether a line that starts outside of quotes ends inside."""
+    line = F.col("value")
+    return spark.read.text(paths).where(line != "").select(
+        line,
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("begin"),
+        F.monotonically_increasing_id().alias("position"),  # follows line order inside a split
+        (line.contains('"') & ~line.rlike(_ENDS_OUTSIDE)).alias("opens"),
+    )
+
+
+def _header_and_files(spark: SparkSession, path: str) -> tuple[list[str], list[str], list[str]]:
+    """Column names, files without a field that spans lines, and files with one, from one splittable pass.
 
-    A field that spans lines leaves a line with an odd number of quotes. Without one, the real read can be
-    split as well. Any part file may supply the header, since the read checks all of them against it.
+    If no line of a file, read from outside of quotes, ends inside, then every line starts outside, and the file can be
+    split. Any part file may supply the header, since the real read checks all of them against it. One row per file
+    reaches the driver, which lists the files anyway.
     """
-    line = F.col("value")
-    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
-    starts_file = F.col("_metadata.file_block_start") == 0
-    # Follows line order inside a file, and is NULL, hence ignored, elsewhere.
-    position = F.when(starts_file, F.monotonically_increasing_id())
-    lines = spark.read.text(path).where(line != "").select(
-        line, position.alias("position"), (line.contains('"') & (quotes % 2 == 1)).alias("open_quote")
+    files = (
+        _lines(spark, path)
+        .groupBy("file")
+        .agg(
+            F.min_by("value", F.when(F.col("begin") == 0, F.col("position"))).alias("header"),
+            F.bool_or("opens").alias("opens"),
+        )
+        .orderBy("file")
+        .collect()
     )
-    header, multi_line = lines.agg(F.min_by("value", "position"), F.bool_or("open_quote")).first()
-    if header is None:
+    headers = [row["header"] for row in files if row["header"] is not None]
+    if not headers:
         raise ValueError(f"No header in {path}")
-    return next(csv.reader([header])), bool(multi_line)
+    names = next(csv.reader([headers[0].lstrip("\ufeff")]))
+    doubled = sorted({name for name in names if [other.lower() for other in names].count(name.lower()) > 1})
+    if doubled:
+        raise ValueError(f"Columns that occur more than once in the header of {path}: {', '.join(doubled)}")
+    split = [unquote(row["file"]) for row in files if not row["opens"]]
+    return names, split, [unquote(row["file"]) for row in files if row["opens"]]
+
+
+def _require_closed_quotes(spark: SparkSession, paths: list[str]) -> None:
+    """Raises for files that end inside a quoted field, which a parser would read as one long cell.
+
+    A line maps the state before it to the state after it. It may fix the state whatever was before (constant), turn it
+    round, or leave it. So the last state of a file follows from its last constant line and the number of turns
+    after that.
+    """
+    inside = F.when(F.col("value").contains('"'), ~F.col("value").rlike(_CLOSES_AND_ENDS_OUTSIDE)).otherwise(F.lit(True))
+    lines = _lines(spark, paths).select("file", F.struct("begin", "position").alias("place"), "opens", inside.alias("stays"))
+    constant = F.col("opens") == F.col("stays")
+    fixed = lines.groupBy("file").agg(
+        F.max(F.when(constant, F.col("place"))).alias("last"), F.max_by("opens", F.when(constant, F.col("place"))).alias("state")
+    )
+    after = F.col("last").isNull() | (F.col("place") > F.col("last"))
+    turns = F.count_if(F.col("opens") & ~F.col("stays") & after) % 2 == 1
+    ends = lines.join(fixed, "file").groupBy("file", "state").agg(turns.alias("turned"))
+    broken = ends.where(F.coalesce("state", F.lit(False)) != F.col("turned")).select("file").orderBy("file").limit(10).collect()
+    if broken:
+        raise ValueError(f"Unclosed quote at the end of {', '.join(unquote(row['file']) for row in broken)}")
 
 
 def _fits_header(names: list[str]) -> Column:
@@ -63,72 +110,117 @@ def _fits_header(names: list[str]) -> Column:
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header as text columns, bound by header name, null tokens removed.
 
-    Part files whose header differs from the first one are rejected rather than bound by position.
+    Part files whose header differs from the first one are rejected rather than bound by position, and a file that
+    ends inside a quoted field is rejected. Only files with a field that spans lines are read whole.
     """
-    names, multi_line = _header_and_multi_line(spark, path)
-    raw = (
-        spark.read.schema(_all_text([*names, _LINE]))
-        .options(**_DIALECT, columnPruning=False)  # fields are counted whichever columns a query needs
-        .csv(
-            path,
-            header=True,
-            enforceSchema=False,
-            columnNameOfCorruptRecord=_LINE,
-            multiLine=multi_line,
+    names, split, whole = _header_and_files(spark, path)
+    if whole:
+        _require_closed_quotes(spark, whole)
+
+    def rows(files: list[str] | str, multi_line: bool) -> DataFrame:
+        return (
+            spark.read.schema(_all_text([*names, _LINE]))
+            .options(**_DIALECT, columnPruning=False)  # fields are counted whichever columns a query needs
+            .csv(files, header=True, enforceSchema=False, columnNameOfCorruptRecord=_LINE, multiLine=multi_line)
         )
-    )
+
+    if not whole:
+        raw = rows(path, False)
+    elif not split:
+        raw = rows(path, True)
+    else:
+        raw = rows(split, False).unionByName(rows(whole, True))
     return raw.where(_fits_header(names)).select(*map(null_tokens, names))
 
 
+def _bound(spec: SourceSpec, names: list[str]) -> tuple[dict[str, str], list[str]]:
+    """(declared name to name in the input, other names); letter case does not matter."""
+    declared = {name.lower(): name for name in spec.declared.fieldNames()}
+    return {declared[name.lower()]: name for name in names if name.lower() in declared}, [name for name in names if name.lower() not in declared]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _read_csv(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     text = read_csv_text(spark, path)
-    present = set(text.columns)
+    bound, others = _bound(spec, text.columns)
     columns = [
-        (text_to(field, F.col(f"`{field.name}`")) if field.name in present else F.lit(None).cast(field.dataType)).alias(
-            field.name
-        )
+        text_to(field, F.col(_quoted(bound[field.name])) if field.name in bound else F.lit(None).cast("string")).alias(field.name)
         for field in spec.declared
     ]
-    if spec.keep_extra:
-        columns += [F.col(f"`{name}`") for name in text.columns if name not in spec.declared.fieldNames()]
+    if others:
+        columns += _typed_by_family(text, others)
     return text.select(*columns)
 
 
-def _has_other_than_arrays(spark: SparkSession, path: str) -> bool:
-    """True if the first character of some file, blanks aside, does not open an array."""
-    lines = (
-        spark.read.text(path)
-        .where(F.col("value").rlike(r"\S"))
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("position"),  # follows line order inside a file
-            F.col("value").rlike(r"^\s*\[").alias("opens_array"),
-        )
-    )
-    first_lines = lines.groupBy("file").agg(F.min_by("opens_array", "position").alias("opens_array"))
-    return bool(first_lines.agg(F.bool_or(~F.col("opens_array"))).first()[0])
+def _typed_by_family(text: DataFrame, names: list[str]) -> list[Column]:
+    """Columns of text under the narrowest family that takes all their values, from one pass over these columns."""
+    def all_match(name: str, pattern: str) -> Column:
+        return F.coalesce(F.bool_and(F.col(_quoted(name)).rlike(pattern)), F.lit(False))
+
+    whole_number, truth = r"^\s*[+-]?\d{1,18}\s*\z", r"^([Tt]rue|TRUE|[Ff]alse|FALSE)\z"
+    families = [F.struct(all_match(n, whole_number), all_match(n, NUMBER), all_match(n, truth)) for n in names]
+    columns = []
+    for name, (integral, number, flag) in zip(names, text.agg(*families).first(), strict=True):
+        kind = "bigint" if integral else "double" if number else "boolean" if flag else "string"
+        value = F.col(_quoted(name))
+        columns.append((value if kind == "string" else F.trim(value).cast(kind)).alias(name))
+    return columns
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record of the JSON documents: a map from name to variant.
+
+    Each document must be one array. It is parsed within an array of our own, whose last element is empty: text after
+    it, a second array, a surplus bracket or an empty document then shows in the outer size. What cannot be parsed is
+    NULL. Either fails the job.
+    """
+    document = F.concat(F.lit("["), F.col("value"), F.lit(",[]]"))
+    parsed = F.from_json(document, "array<array<map<string,variant>>>")
+    complaint = F.concat(F.lit("Not exactly one JSON array of records: "), F.col("_metadata.file_path"))
+    whole = spark.read.text(path, wholetext=True).select(parsed.alias("arrays"), complaint.alias("complaint"))
+    faulty = F.col("arrays").isNull() | (F.size("arrays") != 2) | F.col("arrays")[0].isNull() | F.exists(F.col("arrays")[0], lambda record: record.isNull())
+    checked = F.when(faulty, F.raise_error(F.col("complaint")).cast("array<map<string,variant>>")).otherwise(F.col("arrays")[0])
+    return whole.select(F.explode(checked).alias("record"))
+
+
+def _empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files of no bytes, which Spark's readers leave out of their listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    empty = [file.getPath() for file in files if file.isFile() and file.getLen() == 0]
+    return sorted(file.toString() for file in empty if not file.getName().startswith(("_", ".")))
 
 
 def _read_json(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
-    if _has_other_than_arrays(spark, path):
-        # Spark would silently keep only the first record of such a file.
-        raise ValueError(f"Not a JSON array of records: {path}")
-    inferred = spark.read.json(path, multiLine=True).schema
-    kept = {field.name: widened(field) for field in inferred}  # rejects nested columns
-    as_text = T.StructType(
-        [
-            T.StructField(field.name, T.StringType()) if field.name in spec.declared.fieldNames() else field
-            for field in inferred
-        ]
-    )
-    raw = spark.read.schema(as_text).json(path, multiLine=True, mode="FAILFAST")
-    columns = [
-        (text_to(field, F.col(field.name)) if field.name in kept else F.lit(None).cast(field.dataType)).alias(field.name)
-        for field in spec.declared
-    ]
-    if spec.keep_extra:
-        columns += [cell.alias(name) for name, cell in kept.items() if name not in spec.declared.fieldNames()]
-    return raw.select(*columns)
+    """Two passes over the documents: names and kinds of values first, then the values."""
+    empty = _empty_files(spark, path)
+    if empty:
+        raise ValueError(f"Not exactly one JSON array of records: {', '.join(empty[:10])}")
+    records = _records(spark, path)
+    value = F.explode("record").alias("name", "value")
+    kinds = records.select(value).select("name", F.schema_of_variant("value").alias("kind")).groupBy("name").agg(F.collect_set("kind").alias("kinds"))
+    found = {row["name"]: wider_kind(row["name"], row["kinds"]) for row in kinds.orderBy("name").collect()}
+    bound, others = _bound(spec, list(found))
+    alike = sorted(name for name in found if [other.lower() for other in found].count(name.lower()) > 1)
+    if alike:
+        raise ValueError(f"Columns that differ only in letter case: {', '.join(alike)}")
+
+    def text(name: str) -> Column:
+        return F.try_variant_get(F.col("record")[F.lit(name)], "$", "string")
+
+    columns = []
+    for field in spec.declared:
+        cell = text(bound[field.name]) if field.name in bound else F.lit(None).cast("string")
+        if isinstance(field.dataType, T.DoubleType):
+            cell = F.nullif(cell, F.lit("NaN"))
+        columns.append(text_to(field, cell).alias(field.name))
+    for name in others:
+        value = F.try_variant_get(F.col("record")[F.lit(name)], "$", found[name])
+        columns.append((nan_to_null(value) if found[name] == "double" else value).alias(name))
+    return records.select(*columns)
 
 
 _READERS: dict[str, Callable[[SparkSession, SourceSpec, str], DataFrame]] = {".csv": _read_csv, ".json": _read_json}

@@ -14,8 +14,8 @@ from ledgerlens import schemas
 class SourceSpec:
     """One raw input.
 
-    `declared` types these columns. With `keep_extra`, other columns are kept under an inferred type;
-    without it only the declared columns are loaded.
+    `declared` types these columns; other columns are staged under an inferred type. With `keep_extra` the table takes
+    them too, without it only the declared ones.
     """
 
     file_name: str

@@ -125,10 +125,71 @@ def test_long_record_fails_the_job(csv):
         df.count()
 
 
-def test_absent_column_is_null_and_unknown_column_is_dropped(csv):
-    df = csv("account_id,other\na,b\n")
-    assert df.columns == NAMES
+def test_absent_column_is_null_and_unknown_columns_are_kept_by_family(csv):
+    df = csv("account_id,other,n,x,flag,none\na,b,1,1.5,true,\nc,,-2,3,False,\n")
+    assert df.columns == [*NAMES, "other", "n", "x", "flag", "none"]
     assert df.first().region is None
+    assert df.select("other", "n", "x", "flag", "none").dtypes == [
+        ("other", "string"), ("n", "bigint"), ("x", "double"), ("flag", "boolean"), ("none", "string")]
+    assert [tuple(r)[-5:] for r in df.collect()] == [("b", 1, 1.5, True, None), (None, -2, 3.0, False, None)]
+
+
+def test_header_names_are_bound_without_regard_to_case(csv):
+    assert csv("Account_ID,REGION\n007,r\n").select("account_id", "region").first() == ("007", "r")
+
+
+def test_repeated_header_names_are_named(csv):
+    with pytest.raises(ValueError, match="more than once.*Region, region"):
+        csv("region,account_id,Region\na,b,c\n")
+
+
+@pytest.mark.parametrize("tail", ["", '8,"x\ny"\n', '8,x\n9,"\n'])
+def test_unclosed_quote_fails_instead_of_swallowing_the_file(csv, tail):
+    lines = "".join(f"{i},r{i}\n" for i in range(1000))
+    with pytest.raises(ValueError, match="Unclosed quote at the end of .*billing.csv"):
+        csv("account_id,region\n" + tail + (lines if tail else "") + ('9,"abc\n' if tail != '8,x\n9,"\n' else "") + lines)
+
+
+@pytest.mark.parametrize(
+    "cell", ['"a\nb"', '"a ""q""\nb"', '"\n"', '"a\n""\nb"', '"a\n,\n\n""x"",\nb"', '"x"\n1,"y\nz"']
+)
+def test_closed_fields_over_several_lines(csv, cell):
+    rows = csv(f"account_id,product_name\n1,{cell}\n2,d\n").select("account_id", "product_name").collect()
+    assert tuple(rows[-1]) == ("2", "d")
+    assert rows[0].product_name.strip('"') or cell == '"\n"'
+
+
+def small_splits(spark, size="2KB"):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_quote_inside_a_field_does_not_unsplit_the_read(spark, csv):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    small_splits(spark)
+    try:
+        lines = "".join(f'{i},5" disk {i}\n' for i in range(3000))
+        df = csv("account_id,region\n" + lines).select("account_id", "region")
+        assert df.rdd.getNumPartitions() > 4
+        assert {tuple(r) for r in df.collect()} == {(str(i), f'5" disk {i}') for i in range(3000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_files_with_line_breaks_in_fields_are_read_whole(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    folder = tmp_path / "a b.csv"
+    folder.mkdir()
+    for part in range(3):
+        (folder / f"part {part}.csv").write_text("account_id,region\n" + "".join(f"{part}-{i},r\n" for i in range(2000)))
+    (folder / "part 3.csv").write_text('account_id,region\n3-0,"a\nb"\n')
+    small_splits(spark)
+    try:
+        df = readers.read_source(spark, specs.BILLING_SOURCE, str(folder)).select("account_id", "region")
+        assert df.rdd.getNumPartitions() > 6
+        rows = df.collect()
+        assert len(rows) == 6001 and ("3-0", "a\nb") in {tuple(r) for r in rows}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_quoted_line_breaks(csv):
@@ -192,14 +253,44 @@ def test_several_documents(prices):
     assert sorted(r.product_code for r in df.collect()) == ["a", "b", "c"]
 
 
-def test_nested_price_is_rejected(prices):
+@pytest.mark.parametrize("nested", [{"a": 1}, [1]])
+def test_nested_price_is_rejected(prices, nested):
     with pytest.raises(TypeError, match="nested column product_code"):
-        prices([{"product_code": {"a": 1}}])
+        prices([{"product_code": "x"}, {"product_code": nested}, {"product_code": "y"}])
+
+
+@pytest.mark.parametrize(
+    "document",
+    [
+        '{"product_code": "a"}\n{"product_code": "b"}\n', "", " \n", '[{"product_code": "a"}]\n[{"product_code": "b"}]',
+        '[{"product_code": "a"}], [{"product_code": "b"}]', '[{"product_code": "a"}] trailing', '[{"product_code": "a"}',
+        '[{"product_code": "a"}, 5]', '[{"product_code": "a"}, null]', '[1, 2]', '{"product_code": "a"}', "null",
+        '[{"product_code": "a"}]]', '[[{"product_code": "a"}]]',
+    ],
+)
+def test_other_than_one_array_of_records_is_rejected(prices, document):
+    with pytest.raises((PySparkException, ValueError), match="Not exactly one JSON array of records: .*part-1"):
+        prices([{"product_code": "a"}], document)
+
+
+def test_not_a_number_is_null(prices):
+    rows = prices('[{"precio_lista": NaN, "extra": NaN}, {"precio_lista": "NaN", "extra": 1.5}]').collect()
+    assert [(r.precio_lista, r.extra) for r in rows] == [(None, None), (None, 1.5)]
+
+
+def test_kinds_of_one_column_are_widened_over_all_documents(prices):
+    df = prices([{"n": 1, "x": 1, "t": 1}], [{"n": None, "x": 0.5, "t": "a"}])
+    assert df.select("n", "x", "t").dtypes == [("n", "bigint"), ("x", "double"), ("t", "string")]
+    assert sorted(map(tuple, df.select("n", "x", "t").collect()), key=str) == [(1, 1.0, "1"), (None, 0.5, "a")]
+
+
+def test_price_names_are_bound_without_regard_to_case(prices):
+    assert prices([{"Product_Code": "a"}]).first().product_code == "a"
 
 
-def test_json_lines_are_rejected(prices):
-    with pytest.raises(ValueError, match="array"):
-        prices([{"product_code": "a"}], '{"product_code": "a"}\n{"product_code": "b"}\n')
+def test_price_names_that_differ_in_case_are_named(prices):
+    with pytest.raises(ValueError, match="letter case: .*roduct_code"):
+        prices([{"Product_Code": "a", "product_code": "b"}])
 
 
 def test_junk_price_fails_the_job(prices):
@@ -229,19 +320,23 @@ def test_missing_inputs_are_all_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError) as error:
         landing.require_complete(spark, str(tmp_path), RUN_DATE, specs.SOURCES)
     assert str(error.value) == (
-        "Missing files: aws_data_desafio/2024/01/05/aws_data_desafio.csv, lista_precios/2024/01/05/lista_precios.json"
+        f"Inputs of 2024-01-05 that have not landed under {tmp_path}: "
+        "aws_data_desafio/2024/01/05/aws_data_desafio.csv, lista_precios/2024/01/05/lista_precios.json"
     )
     land(tmp_path, specs.PRICE_SOURCE)
     land(tmp_path, specs.BILLING_SOURCE, run_date=dt.date(2024, 1, 6))
-    with pytest.raises(FileNotFoundError, match="^Missing files: aws_data_desafio/2024/01/05/aws_data_desafio.csv$"):
+    with pytest.raises(FileNotFoundError, match=": aws_data_desafio/2024/01/05/aws_data_desafio.csv$"):
         landing.require_complete(spark, str(tmp_path), RUN_DATE, specs.SOURCES)
 
 
 @pytest.mark.parametrize("as_folder", [True, False])
-def test_complete_inputs_pass(spark, tmp_path, as_folder):
+@pytest.mark.parametrize("below", ["", "x/2023/01/01/raw", "a b/2024/01/05"])
+def test_complete_inputs_pass(spark, tmp_path, as_folder, below):
+    root = tmp_path / below
     for spec in specs.SOURCES:
-        land(tmp_path, spec, as_folder)
-    landing.require_complete(spark, str(tmp_path), RUN_DATE, specs.SOURCES)
+        land(root, spec, as_folder)
+    for shown in (str(root), f"{root}/", f"file://{root}", f"file:{root}"):
+        landing.require_complete(spark, shown, RUN_DATE, specs.SOURCES)
 
 
 @pytest.fixture
