@@ -126,13 +126,16 @@ def build_directory(weights: np.ndarray, capacity: int) -> tuple[np.ndarray, int
 
 def key_directory(found: DataFrame, bucket_bytes: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH) -> tuple[np.ndarray, int]:
     """The directory for a table of entries. Its size is bounded by 2^max_depth, and so is what the driver gets:
-    one weight per prefix. Buckets grow with the table once that many would be too few."""
+    one weight per prefix. Buckets are smaller than `bucket_bytes` where that leaves shuffle partitions without any, and
+    grow with the table once 2^max_depth would be too few."""
     prefix = F.expr(f"shiftrightunsigned(key, {64 - max_depth})").cast("int")
     rows = found.groupBy(prefix.alias("prefix")).agg(F.sum(F.octet_length("text") + 100).alias("bytes")).collect()
     weights = np.zeros(1 << max_depth, dtype=np.int64)
     for row in rows:
         weights[row["prefix"]] = row["bytes"]
-    return build_directory(weights, max(bucket_bytes, int(weights.sum()) >> (max_depth - 2)))
+    total = int(weights.sum())
+    owners = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return build_directory(weights, max(min(bucket_bytes, total // (2 * owners)), total >> (max_depth - 2)))
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
