@@ -99,7 +99,7 @@ def main() -> None:
         ),
         "service_growth": lambda: growth.service_growth(table("billing")),
         "dq_billing": lambda: quality.dq_billing(table("billing")),
-        "dq_billing_union": lambda: quality.dq_report_by_union(table("billing"), quality.BILLING_CHECKS),
+        "dq_union": lambda: quality.dq_union(table("billing"), table("prices")),
         "dq_prices": lambda: quality.dq_prices(table("prices")),
         "end_to_end_cost_audit": lambda: queries.cost_audit(spark, sf_dir),
         "end_to_end_service_growth": lambda: queries.service_growth(spark, sf_dir),

@@ -33,7 +33,11 @@ def product_month_base(gross: DataFrame) -> DataFrame:
 
 
 def product_month_base_from_usage(
-    billing: DataFrame, prices: DataFrame, factors: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
+    billing: DataFrame,
+    prices: DataFrame,
+    factors: DataFrame,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    factor_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """`product_month_base` straight from billing, summed per month and price key before any join.
 
@@ -47,7 +51,7 @@ def product_month_base_from_usage(
         .agg(F.sum("usage_amount").alias("usage_amount"), F.sum("net_cost").alias("net_cost"))
     )
     priced = match_prices(sums, prices, broadcast_limit, narrow=False)  # narrowing would sum billing twice
-    priced = match_unit_factors(priced, factors, broadcast_limit)
+    priced = match_unit_factors(priced, factors, factor_limit)
     usage, factor, price = F.col("usage_amount"), F.col("unidad_factor"), F.col("precio_lista")
     matched = priced.where(has_price(price, factor))
     return _product_month_sums(matched.withColumn("gross_cost", gross_cost(usage, factor, price)))

@@ -74,10 +74,17 @@ def match_unit_factors(usage: DataFrame, factors: DataFrame, broadcast_limit: in
 
 
 def billing_with_gross_cost(
-    billing: DataFrame, prices: DataFrame, factors: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
+    billing: DataFrame,
+    prices: DataFrame,
+    factors: DataFrame,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    factor_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Billing rows with list price, unit factor, gross cost and the price-match flag."""
-    priced = match_unit_factors(match_prices(billing, prices, broadcast_limit), factors, broadcast_limit)
+    """Billing rows with list price, unit factor, gross cost and the price-match flag.
+
+    The price list and the few unit factors have limits of their own: shuffling on a handful of units is rarely wanted.
+    """
+    priced = match_unit_factors(match_prices(billing, prices, broadcast_limit), factors, factor_limit)
     price, factor = F.col("precio_lista"), F.col("unidad_factor")
     return priced.withColumns(
         {

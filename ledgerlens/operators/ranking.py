@@ -33,19 +33,22 @@ def join_top_flag(base: DataFrame, top: DataFrame) -> DataFrame:
 def rank_top_flag(base: DataFrame, k: int = 5, lanes: int = LANES) -> DataFrame:
     """The same flag without reading `base` twice and without one task per month.
 
-    Products of a month are spread over lanes and ranked there. Whoever is below k in its own lane
-    cannot be in the top k, so only the lane leaders of a month meet in a second ranking. All products
-    ahead of a top-k product lead their lanes too, so the second rank is exact up to k.
+    Products of a month are spread over lanes and ranked there. The first k rows of each lane meet in a second
+    ranking, at most k * lanes per month however many are tied. Their ranks are exact up to k: whoever is ahead
+    of such a row and did not come along is behind k others of its lane that are ahead as well. A row tied with
+    its lane's k-th gets the answer of that row, within the lane.
     """
     by_usage = F.desc_nulls_last("usage_amount")
     lane = Window.partitionBy("month", "_lane").orderBy(by_usage)
     heat = Window.partitionBy("month", "_heat").orderBy(by_usage)
-    leads_lane = F.col("_lane_rank") <= k
+    tied = Window.partitionBy("month", "_lane", "usage_amount")
+    first = F.col("_heat") == -1
     named = F.col("month").isNotNull() & F.col("product_code").isNotNull()
     return (
         base.withColumn("_lane", F.pmod(F.xxhash64("product_code"), F.lit(lanes)))
-        .withColumn("_lane_rank", F.rank().over(lane))
-        .withColumn("_heat", F.when(leads_lane, F.lit(-1)).otherwise(F.col("_lane")))
-        .withColumn("_rank", F.rank().over(heat))
-        .select(*base.columns, (named & leads_lane & (F.col("_rank") <= k)).alias("is_top5"))
+        .withColumns({"_lane_rank": F.rank().over(lane), "_lane_row": F.row_number().over(lane)})
+        .withColumn("_heat", F.when(F.col("_lane_row") <= k, F.lit(-1)).otherwise(F.col("_lane")))
+        .withColumn("_hit", first & (F.rank().over(heat) <= k))
+        .withColumn("_hit", F.max("_hit").over(tied) & (F.col("_lane_rank") <= k))
+        .select(*base.columns, (named & F.col("_hit")).alias("is_top5"))
     )

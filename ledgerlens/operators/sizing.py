@@ -4,22 +4,30 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
 
-_ROW_OVERHEAD = 16
-_FIELD_BYTES = 8
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory: a word for NULLs and for each column, and text padded to words."""
+    text = [field.name for field in df.schema if isinstance(field.dataType, (T.StringType, T.BinaryType))]
+    padded = [f"(coalesce(octet_length(`{name}`), 0) + 7) div 8 * 8" for name in text]
+    return F.expr(" + ".join([f"{8 * (2 + len(df.columns) // 64 + len(df.columns))}L", *padded]))
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """In-memory size of `df` from one distributed aggregate; only the total reaches the driver."""
-    text = [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
-    fixed = _ROW_OVERHEAD + _FIELD_BYTES * len(df.columns)
-    width = " + ".join([f"{fixed}L", *(f"coalesce(octet_length(`{name}`), 0)" for name in text)])
-    return df.agg(F.sum(F.expr(width))).first()[0] or 0
+    """Size of `df` once broadcast for a hash join, from one distributed aggregate; only the total reaches the driver.
+
+    The hash map holds each row twice, as key and as value (the key may be shorter; it is counted whole), 24
+    bytes around them, and at most 64 bytes of slots per row, at least 4 KiB, in pages of which the last may be empty.
+    """
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    if not rows:
+        return 0
+    page = df.sparkSession._jvm.org.apache.spark.SparkEnv.get().memoryManager().pageSizeBytes()
+    return 2 * size + 88 * rows + page + 4096
 
 
 def broadcast_within(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame | None:

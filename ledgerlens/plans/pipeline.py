@@ -18,7 +18,7 @@ from ledgerlens.operators.sizing import BROADCAST_LIMIT
 from ledgerlens.plans.staging import stage_all
 from ledgerlens.sources import specs
 from ledgerlens.sources.landing import require_complete
-from ledgerlens.sources.sinks import create_database, read_table, replace_table
+from ledgerlens.sources.sinks import create_database, read_table, replace_table, stored
 
 
 @dataclass(frozen=True)
@@ -38,8 +38,18 @@ class PipelineConfig:
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
+    @property
+    def location(self) -> str:
+        return f"{self.warehouse_root.rstrip('/')}/{self.database}"
+
+
+def open_database(spark: SparkSession, config: PipelineConfig) -> None:
+    """The database with all tables that earlier runs, in other processes too, left under the warehouse root."""
+    create_database(spark, config.database, config.location)
+
 
 def build_dq_tables(spark: SparkSession, config: PipelineConfig) -> None:
+    open_database(spark, config)
     reports = {
         specs.BILLING_DQ_TABLE: dq_billing(spark.table(config.table(specs.BILLING_TABLE))),
         specs.PRICE_DQ_TABLE: dq_prices(spark.table(config.table(specs.PRICE_TABLE))),
@@ -50,6 +60,7 @@ def build_dq_tables(spark: SparkSession, config: PipelineConfig) -> None:
 
 def build_result_tables(spark: SparkSession, config: PipelineConfig) -> None:
     """Gross-cost table first; the audit reads it back, so the join runs once."""
+    open_database(spark, config)
     billing = spark.table(config.table(specs.BILLING_TABLE))
     prices = spark.table(config.table(specs.PRICE_TABLE))
     factors = config.unit_factors
@@ -74,11 +85,16 @@ _LAYOUTS = {
 
 
 def check_inputs(spark: SparkSession, config: PipelineConfig) -> None:
+    """Raises while nothing is written yet: for raw inputs that have not landed, and for absent unit factors."""
     require_complete(spark, config.raw_root, config.run_date, specs.SOURCES)
+    table = config.table(specs.UNIT_FACTOR_TABLE)
+    known = config.unit_factors is not None or stored(spark, config.location, specs.UNIT_FACTOR_TABLE)
+    if not known and not spark.catalog.tableExists(table):
+        raise LookupError(f"No unit factors: neither given nor in table {table}")
 
 
 def stage_inputs(spark: SparkSession, config: PipelineConfig) -> None:
-    create_database(spark, config.database, f"{config.warehouse_root.rstrip('/')}/{config.database}")
+    open_database(spark, config)
     stage_all(spark, config.raw_root, config.stage_root, config.database, config.run_date)
 
 
@@ -91,9 +107,14 @@ STEPS: dict[str, Callable[[SparkSession, PipelineConfig], None]] = {
 
 
 def run(spark: SparkSession, config: PipelineConfig, steps: Iterable[str] = tuple(STEPS)) -> dict[str, DataFrame]:
-    """Runs the steps in order and returns the tables that exist afterwards, by name."""
-    for step in steps:
-        STEPS[step](spark, config)
+    """Runs the steps, in the order of STEPS however they are given, and returns the tables that exist afterwards."""
+    wanted = set(steps)
+    unknown = sorted(wanted - STEPS.keys())
+    if unknown:
+        raise ValueError(f"Unknown steps: {', '.join(unknown)}")
+    for step, action in STEPS.items():
+        if step in wanted:
+            action(spark, config)
     return {
         name: read_table(spark, config.table(name), layout)
         for name, layout in _LAYOUTS.items()

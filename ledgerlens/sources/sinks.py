@@ -1,10 +1,24 @@
-"""Parquet files and tables. Every write replaces what was there, schema included."""
+"""Parquet files and tables. Every write replaces what was there, schema included.
+
+A table is a folder below its database's location with numbered versions. A version counts once its `_layout.json` is
+written, after its data; the newest such version is the table. So the files, not the catalog, say what a table
+holds: a later process finds it, a failed or killed write leaves the old version in place, and leftovers block nothing.
+"""
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.operators.sizing import row_bytes
+
+_LAYOUT = "_layout.json"
+_VERSION = re.compile(r"v(\d{8})$")
+
 
 def _replacing(df: DataFrame) -> DataFrameWriter:
     # Static overwrite: partitions of an earlier load must not survive.
@@ -15,26 +29,125 @@ def write_parquet(df: DataFrame, path: str) -> None:
     _replacing(df).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    """(file system, Hadoop path)."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in `path`; none if it is absent."""
+    system, folder = _path(spark, path)
+    if not system.exists(folder):
+        return []
+    return [found.getPath().getName() for found in system.listStatus(folder) if found.isDirectory()]
+
+
+def _versions(spark: SparkSession, home: str) -> list[int]:
+    """Numbers of all versions in the folder of a table, finished or not."""
+    return sorted(int(found[1]) for found in map(_VERSION.match, _folders(spark, home)) if found)
+
+
+def _layout(spark: SparkSession, folder: str) -> dict | None:
+    """What a finished version was written with."""
+    system, file = _path(spark, f"{folder}/{_LAYOUT}")
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _finish(spark: SparkSession, folder: str, df: DataFrame, partition_by: str | None) -> dict:
+    layout = {"schema": df.schema.jsonValue(), "partition_by": partition_by}
+    system, file = _path(spark, f"{folder}/{_LAYOUT}")
+    stream = system.create(file, True)
+    stream.write(bytearray(json.dumps(layout).encode()))
+    stream.close()
+    return layout
+
+
+def _current(spark: SparkSession, home: str) -> tuple[str, dict] | None:
+    """Folder and layout of the newest finished version."""
+    for number in reversed(_versions(spark, home)):
+        folder = f"{home}/v{number:08d}"
+        layout = _layout(spark, folder)
+        if layout is not None:
+            return folder, layout
+    return None
+
+
+def _home(spark: SparkSession, table: str) -> str:
+    database, name = table.split(".")
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}"
+
+
+def _register(spark: SparkSession, table: str, folder: str, layout: dict) -> None:
+    """Points the catalog's entry to a version; the data are external to it."""
+    schema, partition_by = T.StructType.fromJson(layout["schema"]), layout["partition_by"]
+    quoted = ".".join(f"`{part}`" for part in table.split("."))
+    columns = ", ".join(f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}" for field in schema)
+    partitions = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {quoted}")
+    spark.sql(f"CREATE TABLE {quoted} ({columns}) USING parquet{partitions} LOCATION '{_escaped(folder)}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {quoted} RECOVER PARTITIONS")
+
+
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def create_database(spark: SparkSession, name: str, location: str) -> None:
-    escaped = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{escaped}'")
+    """The database, with every table that an earlier process left in its location."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{_escaped(location)}'")
+    for table in _folders(spark, location):
+        if not spark.catalog.tableExists(f"{name}.{table}"):
+            found = _current(spark, f"{location.rstrip('/')}/{table}")
+            if found:
+                _register(spark, f"{name}.{table}", *found)
+
+
+def stored(spark: SparkSession, location: str, table: str) -> bool:
+    """Whether a database location holds a finished table of that name."""
+    return _current(spark, f"{location.rstrip('/')}/{table}") is not None
+
+
+def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
+    """Rebalanced on the partition column: each value goes to few files, small values share a task, and adaptive
+    execution splits a value that holds much of the data over many tasks.
+
+    The number of shuffle partitions follows the bytes, a quarter of the advised size each, so that a partition with
+    several small values stays below that size and is not split. More than four per value are of no use.
+    """
+    spark = df.sparkSession
+    values, size = df.agg(F.count_distinct(F.coalesce(F.col(partition_by).cast("string"), F.lit(""))), F.sum(row_bytes(df))).first()
+    advised = spark._jsparkSession.sessionState().conf().getConf(
+        spark._jvm.org.apache.spark.sql.internal.SQLConf.ADVISORY_PARTITION_SIZE_IN_BYTES()
+    )
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("rebalance", max(default, min(4 * values, -(-4 * (size or 0) // advised))), partition_by)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Overwrites `table` with `df`.
+    """Overwrites `table` with `df`, which may read the table itself.
 
-    Partitioned loads are rebalanced on the partition column: each value goes to few files, small values
-    share a task, and adaptive execution splits a value that holds much of the data over many tasks. The
-    values are counted first (a scan of that one column), because a shuffle with fewer partitions than
-    values would mix values in one partition and split them into many small files together.
+    The data go to a new version; only when they are complete does the catalog turn to it and do older versions go.
     """
+    spark = df.sparkSession
+    home = _home(spark, table)
+    numbers = _versions(spark, home)
+    folder = f"{home}/v{(numbers[-1] if numbers else 0) + 1:08d}"
     if partition_by is None:
-        _replacing(df).format("parquet").saveAsTable(table)
-        return
-    values = df.select(partition_by).distinct().count()
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    balanced = df.hint("rebalance", max(4 * values, default), partition_by)
-    _replacing(balanced).format("parquet").partitionBy(partition_by).saveAsTable(table)
+        write_parquet(df, folder)
+    else:
+        _replacing(_balanced(df, partition_by)).partitionBy(partition_by).parquet(folder)
+    _register(spark, table, folder, _finish(spark, folder, df, partition_by))
+    for number in numbers:
+        system, old = _path(spark, f"{home}/v{number:08d}")
+        system.delete(old, True)
 
 
 def read_table(spark: SparkSession, table: str, layout: T.StructType | None = None) -> DataFrame:

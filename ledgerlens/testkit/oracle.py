@@ -125,6 +125,10 @@ _ALL_GROWTH = _INPUTS + _GROWTH + "\nSELECT * FROM growth"
 _BILLING_DQ = _counts("billing", _BILLING_CONDITIONS)
 _PRICE_DQ = _counts("prices", _PRICE_CONDITIONS)
 
+_ALL_DQ = (
+    f"SELECT 'billing' AS source, * FROM ({_BILLING_DQ}) b UNION ALL SELECT 'prices' AS source, * FROM ({_PRICE_DQ}) p"
+)
+
 # Two files are required per year; the billing file of the last year is the one that has landed.
 _MISSING = (
     _INPUTS
@@ -154,6 +158,7 @@ ORACLE = {
     "service_growth": _ALL_GROWTH,
     "dq_billing": _BILLING_DQ,
     "dq_prices": _PRICE_DQ,
+    "dq_union": _ALL_DQ,
     "dq_billing_union": _BILLING_DQ,
     "stage_billing_csv": _ALL_BILLING,
     "stage_prices_json": _ALL_PRICES,

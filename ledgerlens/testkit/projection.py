@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FLAGS = ("A", "N", "R")
-UNITS = ("U0", "U1", "U2", "U3", "U4")
 FACTORS = (("U0", 4.0), ("U1", 8.0), ("U2", 64.0), ("U3", 0.0))
 
 
@@ -48,7 +46,10 @@ def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price per part group, pricing term and unit. Grouping comes first: it shrinks what is multiplied."""
+    """One price per part group, pricing term and unit in use. Grouping comes first: it shrinks what is multiplied.
+
+    Terms and units are what all line items have, a few values each, so they are gathered into arrays.
+    """
     groups = (
         _table(spark, sf_dir, "part")
         .where(F.col("p_brand") != "Brand#7")
@@ -59,8 +60,10 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.max(F.floor("p_retailprice")).cast("double").alias("precio_lista"))
     )
-    with_term = groups.withColumn("pricing_term", F.explode(F.array(*map(F.lit, FLAGS))))
-    with_unit = with_term.withColumn("pricing_unit", F.explode(F.array(*map(F.lit, UNITS))))
+    unit = F.concat(F.lit("U"), (F.col("l_linenumber") % 5).cast("string"))
+    in_use = _table(spark, sf_dir, "lineitem").agg(F.collect_set("l_returnflag").alias("terms"), F.collect_set(unit).alias("units")).first()
+    with_term = groups.withColumn("pricing_term", F.explode(F.array(*map(F.lit, sorted(in_use["terms"])))))
+    with_unit = with_term.withColumn("pricing_unit", F.explode(F.array(*map(F.lit, sorted(in_use["units"])))))
     return with_unit.select(
         "product_code", "product_name", "pricing_term", "pricing_unit", "instance_type", "precio_lista"
     )

@@ -88,6 +88,20 @@ def test_flag_equals_join_and_brute_force(base, lanes, k):
         assert {(r.month, r.product_code) for r in flagged.where("is_top5").collect()} == expected
 
 
+def test_products_that_are_all_tied_do_not_meet_in_one_task(spark):
+    """100,000 products of a month with one usage: all lead, and no window gets more than a lane's share of them."""
+    ties = spark.range(100_000).select(
+        F.lit(JAN).alias("month"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("product_code"), F.lit(7.0).alias("usage_amount"),
+        F.lit(1.0).alias("net_cost"), F.lit(1.0).alias("gross_cost"),
+    )
+    flagged = ranking.rank_top_flag(ties)
+    assert flagged.where("is_top5").count() == 100_000
+    meeting = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert meeting.count("Window") == 3
+    lanes = ties.groupBy(F.pmod(F.xxhash64("product_code"), F.lit(ranking.LANES))).count().agg(F.max("count")).first()[0]
+    assert lanes < 2 * 100_000 / ranking.LANES
+
+
 def test_discount_tiers(base):
     rows = ranked(5, gross=50000.0) + [
         (JAN, "large", 1.0, 1.0, 50000.5), (JAN, "edge", 1.0, 1.0, 50000.0), (JAN, "none", 1.0, 1.0, None),

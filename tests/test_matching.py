@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens import schemas
 from ledgerlens.operators import matching, sizing
@@ -100,10 +101,31 @@ def test_all_join_ways_agree(spark, gross):
 def test_size_counts_text_bytes(spark):
     short = sizing.measured_bytes(spark.createDataFrame([("a",)] * 10, "s string"))
     long = sizing.measured_bytes(spark.createDataFrame([("é" * 100,)] * 10, "s string"))
-    assert long - short == 10 * 199
+    assert long - short == 10 * 2 * (200 - 8)  # padded to words, as key and as value
     assert sizing.measured_bytes(spark.createDataFrame([], "s string")) == 0
 
 
+@pytest.mark.parametrize(("rows", "width"), [(1, 1), (3000, 3), (3000, 203), (40_000, 24)])
+def test_size_is_never_below_that_of_the_broadcast(spark, rows, width):
+    """Compared with the `data size` that the exchange reports."""
+    side = spark.range(rows).select(
+        F.concat(F.col("id").cast("string"), F.lit("x" * width)).alias("k1"), F.lpad("id", width, "y").alias("k2"), F.rand().alias("v")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        query = side.select("k1", "k2").join(F.broadcast(side), ["k1", "k2"])._jdf.queryExecution().executedPlan()
+        query.executeCollect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found, nodes = [], [query]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "BroadcastExchange":
+            found.append(node.metrics().apply("dataSize").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert found and 0 < max(found) <= sizing.measured_bytes(side)
+
+
 def test_broadcast_only_within_the_limit(spark):
     df = spark.createDataFrame([("a", 1.0)], schemas.UNIT_FACTOR)
     size = sizing.measured_bytes(df)

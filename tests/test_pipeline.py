@@ -1,6 +1,10 @@
 """The full run on landed files, every result table checked against SQL."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from compare import spark_rows, sql_rows
@@ -46,6 +50,20 @@ def test_every_table(spark, tmp_path):
     assert days == tables[specs.BILLING_TABLE].select("start_date").distinct().count()
 
 
+def test_absent_unit_factors_are_found_before_anything_is_written(spark, tmp_path):
+    settings = config(tmp_path)
+    land_billing(projection.billing(spark, SF_DIR).limit(10), settings.raw_root, RUN_DATE)
+    land_prices(projection.prices(spark, SF_DIR).limit(10), settings.raw_root, RUN_DATE)
+    with pytest.raises(LookupError, match="unit factors"):
+        run(spark, settings)
+    assert not spark.catalog.databaseExists(settings.database)
+
+
+def test_unknown_steps_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="Unknown steps: nothing"):
+        run(spark, config(tmp_path), ["stage", "nothing"])
+
+
 def test_incomplete_landing_writes_nothing(spark, tmp_path):
     settings = config(tmp_path)
     land_prices(projection.prices(spark, SF_DIR), settings.raw_root, RUN_DATE)
@@ -60,28 +78,34 @@ def test_first_failure_stops_staging(spark, tmp_path):
     land_billing(billing, settings.raw_root, RUN_DATE)
     land_prices(projection.prices(spark, SF_DIR), settings.raw_root, RUN_DATE)
     with pytest.raises(Exception, match="net_cost is not a number"):
-        run(spark, settings)
+        run(spark, settings, ["stage", "results"])
     assert not spark.catalog.tableExists(settings.table(specs.PRICE_TABLE))
     assert not spark.catalog.tableExists(settings.table(specs.COST_AUDIT_TABLE))
 
 
-def test_command_line_runs_steps_in_separate_calls(spark, tmp_path):
+def test_command_line_in_processes_of_their_own(spark, tmp_path):
+    """Steps in two processes, in a wrong order, and then a whole run on the same roots."""
     from ledgerlens import schemas
-    from run_audit import main
 
     settings = config(tmp_path)
     few_days = projection.billing(spark, SF_DIR).where("start_date IS NULL OR day(start_date) = 1 AND month(start_date) = 6")
     land_billing(few_days, settings.raw_root, RUN_DATE)
     land_prices(projection.prices(spark, SF_DIR), settings.raw_root, RUN_DATE)
     projection.unit_factors(spark).write.parquet(f"{tmp_path}/factors")
-    common = [
-        "--raw-root", settings.raw_root, "--stage-root", settings.stage_root, "--warehouse-root", settings.warehouse_root,
-        "--run-date", "2024-01-05", "--database", settings.database, "--unit-factors", f"{tmp_path}/factors", "--steps",
+    root = Path(__file__).resolve().parent.parent
+    command = [
+        sys.executable, str(root / "run_audit.py"), "--raw-root", settings.raw_root, "--stage-root", settings.stage_root,
+        "--warehouse-root", settings.warehouse_root, "--run-date", "2024-01-05", "--database", settings.database,
+        "--unit-factors", f"{tmp_path}/factors",
     ]
-    main([*common, "check", "stage"])
+    options = "--master local[4] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=8 pyspark-shell"
+    environment = os.environ | {"PYTHONPATH": str(root), "PYSPARK_SUBMIT_ARGS": options, "SPARK_LOCAL_IP": "127.0.0.1"}
+    for steps in (["--steps", "stage", "check"], ["--steps", "results", "quality"], []):
+        done = subprocess.run([*command, *steps], env=environment, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-3000:]
+    create_database(spark, settings.database, settings.location)
     assert spark.table(settings.table(specs.BILLING_TABLE)).count() == few_days.count()
-    assert not spark.catalog.tableExists(settings.table(specs.COST_AUDIT_TABLE))
-    main([*common, "quality", "results"])
     audit = spark.table(settings.table(specs.COST_AUDIT_TABLE))
     assert audit.columns == schemas.COST_AUDIT.fieldNames()
     assert audit.count() > 0
+    assert [p.name for p in Path(f"{settings.location}/{specs.COST_AUDIT_TABLE}").iterdir()] == ["v00000002"]

@@ -45,7 +45,7 @@ def jobs(staged):
         "gross": gross,
         "audit": audit.cost_audit(gross),
         "audit_early": audit.cost_audit_from_usage(b, p, f),
-        "audit_shuffled": audit.cost_audit(matching.billing_with_gross_cost(b, p, f, broadcast_limit=0)),
+        "audit_shuffled": audit.cost_audit(matching.billing_with_gross_cost(b, p, f, broadcast_limit=0, factor_limit=0)),
         "growth": growth.service_growth(b),
         "dq_billing": quality.dq_billing(b),
         "dq_prices": quality.dq_prices(p),
@@ -72,6 +72,13 @@ def test_no_broadcast_beyond_the_limit(staged):
     assert "BroadcastExchange" not in plan(jobs(staged)["audit_shuffled"])
 
 
+def test_prices_beyond_their_limit_do_not_shuffle_on_units(staged):
+    gross = plan(matching.billing_with_gross_cost(staged["billing"], staged["prices"], staged["factors"], broadcast_limit=0))
+    assert "SortMergeJoin" in gross
+    assert gross.count("BroadcastHashJoin") == 1
+    assert "hashpartitioning(pricing_unit" not in gross
+
+
 def test_scans_read_only_what_is_used(staged):
     read = re.search(r"ReadSchema: struct<(.*?)>", plan(growth.service_growth(staged["billing"]))).group(1)
     assert sorted(column.split(":")[0] for column in read.split(",")) == ["net_cost", "service_code", "start_date"]
@@ -152,7 +159,7 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path, settings):
     sinks.create_database(spark, "hot_days", str(tmp_path / "hot_days"))
     try:
         sinks.replace_table(usage, "hot_days.t", partition_by="start_date")
-        folders = {folder.name: len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "hot_days" / "t").glob("start*")}
+        folders = {folder.name: len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "hot_days" / "t").glob("v*/start*")}
         assert folders.pop("start_date=__HIVE_DEFAULT_PARTITION__") > 1
         assert len(folders) == 40
         assert sum(files == 1 for files in folders.values()) >= 35  # others share a shuffle partition with the hot day

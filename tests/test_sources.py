@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -306,8 +307,6 @@ def test_paths():
 
 
 def land(root, spec, as_folder=False, run_date=RUN_DATE):
-    from pathlib import Path
-
     path = Path(landing.raw_path(str(root), spec, run_date))
     path.parent.mkdir(parents=True)
     if as_folder:
@@ -374,6 +373,47 @@ def test_second_load_replaces_days_and_schema(spark, database):
     assert spark.table(f"{database}.t").columns == ["other"]
 
 
+def test_a_failed_load_leaves_the_old_table(spark, database):
+    sinks.replace_table(spark.range(3), f"{database}.t")
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    for partition_by in (None, "id"):
+        with pytest.raises(PySparkException, match="boom"):
+            sinks.replace_table(broken, f"{database}.t", partition_by)
+        assert spark.table(f"{database}.t").count() == 3
+    # What the failed and killed writes left does not count and does not block the next load.
+    home = Path(spark.catalog.getDatabase(database).locationUri.removeprefix("file:")) / "t"
+    (home / "v00000009").mkdir()
+    (home / "v00000009" / "part-0.parquet").write_text("half a file")
+    spark.sql(f"DROP TABLE {database}.t")
+    sinks.create_database(spark, database, str(home.parent))
+    assert spark.table(f"{database}.t").count() == 3
+    sinks.replace_table(spark.range(5), f"{database}.t")
+    assert spark.table(f"{database}.t").count() == 5
+    assert [p.name for p in home.iterdir()] == ["v00000010"]
+
+
+def test_a_table_may_be_replaced_from_itself(spark, database):
+    sinks.replace_table(spark.range(10), f"{database}.t")
+    sinks.replace_table(spark.table(f"{database}.t").where("id > 6"), f"{database}.t")
+    assert spark.table(f"{database}.t").count() == 3
+
+
+def test_tables_are_found_by_their_files(spark, database):
+    df = spark.createDataFrame([(None, "a"), (RUN_DATE, "b")], "start_date date, other string")
+    sinks.replace_table(df, f"{database}.t", partition_by="start_date")
+    location = spark.catalog.getDatabase(database).locationUri
+    spark.sql(f"DROP TABLE {database}.t")
+    sinks.create_database(spark, database, location)
+    assert sorted(map(tuple, sinks.read_table(spark, f"{database}.t", df.schema).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert sinks.stored(spark, location, "t") and not sinks.stored(spark, location, "other")
+
+
+def test_small_days_share_tasks_and_have_one_file_each(spark, database):
+    df = spark.range(4000).select(F.date_add(F.lit(RUN_DATE), (F.col("id") % 400).cast("int")).alias("start_date"), "id")
+    sinks.replace_table(df.repartition(8), f"{database}.t", partition_by="start_date")
+    assert len(spark.table(f"{database}.t").inputFiles()) <= 500
+
+
 def test_parquet_is_snappy(spark, tmp_path):
     sinks.write_parquet(spark.range(3), str(tmp_path / "x.parquet"))
     assert list((tmp_path / "x.parquet").glob("*.snappy.parquet"))
