@@ -48,6 +48,14 @@ def reliable_dir(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Creates a folder that is removed when the driver ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, which outlives executors."""
     context = df.sparkSession.sparkContext

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.sizing import reliable_dir
+from ledgerlens.operators.sizing import delete_on_exit, reliable_dir
 from ledgerlens.sources.landing import raw_path
 from ledgerlens.sources.specs import BILLING_SOURCE, PRICE_SOURCE
 
@@ -16,8 +16,10 @@ RECORDS_PER_DOCUMENT = 20_000
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for one run, below the shared folder."""
-    return f"{reliable_dir(spark).rstrip('/')}/ledgerlens-{uuid.uuid4().hex}"
+    """A new folder for one run, below the shared folder; it goes when the driver ends, since results may be read until then."""
+    path = f"{reliable_dir(spark).rstrip('/')}/ledgerlens-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
+    return path
 
 
 def land_billing(billing: DataFrame, raw_root: str, run_date: date) -> None:
