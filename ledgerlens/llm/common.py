@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.operators.sizing import reliable_dir
+from ledgerlens.operators.sizing import delete_on_exit, reliable_dir
 
 #: The word pattern of all operators: whatever lies between ASCII blanks. `bytes.split()` cuts at the same bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,11 +20,16 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class Workspace:
-    """Parquet tables of one run in the shared folder; what they hold outlives any executor."""
+    """Parquet tables of one run in the shared folder; what they hold outlives any executor.
 
-    def __init__(self, spark: SparkSession, name: str):
+    They go when the driver ends, unless `keep` says that they are results to be read later.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, keep: bool = False):
         self.spark = spark
         self.root = f"{reliable_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        if not keep:
+            delete_on_exit(spark, self.root)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
         """Writes `df` and reads it back, which cuts the lineage."""
