@@ -71,3 +71,29 @@ SELECT doc_id, size, words AS source_size, target,
        (passes * size + greatest(0, least(stop, e, around) - greatest(stop - size, b)) + greatest(0, least(stop, e - around) - (stop - size)))::BIGINT AS taken
 FROM cut
 """
+
+# One row per line, chunk numbers by a running count of the boundaries before.
+ORACLE["op8_line_chunks"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS seal FROM documents
+), l AS (
+    SELECT doc_id, seal, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM (SELECT DISTINCT * FROM d)
+), h AS (
+    SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM l
+), b AS (
+    SELECT *, CASE WHEN (h + 31 * coalesce(lag(h) OVER w, 0)) % 2 = 0 THEN 1 ELSE 0 END AS stop FROM h WINDOW w AS (PARTITION BY doc_id, seal ORDER BY i)
+), n AS (
+    SELECT *, coalesce(sum(stop) OVER (PARTITION BY doc_id, seal ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b
+), c AS (
+    SELECT doc_id, seal, chunk, min(i) AS start, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM n GROUP BY doc_id, seal, chunk
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, seal, start) > 1 AND lines >= 2 AS gone FROM c
+), t AS (
+    SELECT doc_id, seal, string_agg(body, chr(10) ORDER BY start) FILTER (NOT gone) AS body, sum(lines) AS n_lines,
+           coalesce(sum(lines) FILTER (gone), 0) AS removed_lines, count(*) FILTER (gone) AS removed_chunks
+    FROM r GROUP BY doc_id, seal
+)
+SELECT d.doc_id, n_lines::BIGINT AS n_lines, removed_lines::BIGINT AS removed_lines, removed_chunks, sha256(coalesce(body, '')) AS text_sha256
+FROM d JOIN t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.seal = t.seal
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import embeddings, exact_dedup, hmm, mixing, packing, quality, simhash, token_files, toxicity
+from ledgerlens.llm import embeddings, exact_dedup, hmm, line_chunks, mixing, packing, quality, simhash, token_files, toxicity
 from ledgerlens.llm.common import Workspace, fold
 from ledgerlens.llm.tokens import vocabulary_path
 
@@ -55,6 +55,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_roundtrip(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), space)
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = line_chunks.dedup_lines(_table(spark, sf_dir, "documents"), Workspace(spark, "line-chunks"))
+    sha = F.sha2(F.col("text").cast("binary"), 256)
+    return clean.select("doc_id", "n_lines", "removed_lines", "removed_chunks", sha.alias("text_sha256"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), Workspace(spark, "mixing"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -78,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_embeddings": op5_embeddings,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
+    "op8_line_chunks": op8_line_chunks,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }
