@@ -134,14 +134,19 @@ def log_count_ratios(counts: DataFrame, features: int = FEATURES) -> tuple[np.nd
 
 
 def fit_regression(rows: np.ndarray, labels: np.ndarray, steps: int = 300, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression with a ridge penalty by accelerated gradient steps; `rows` has a row of numbers per text."""
-    count = len(rows)
-    rate = 4.0 / (1.0 + float(np.square(rows).sum(axis=1).mean()) + penalty)
+    """Logistic regression with a ridge penalty by accelerated gradient steps; `rows` has a row of numbers per text.
+
+    The rarer label weighs more, by the root of the ratio, which lies between the counts as they are and equal shares.
+    """
+    count, ones = len(rows), float(labels.sum())
+    weight = np.where(labels > 0, np.sqrt((count - ones) / max(1.0, ones)), 1.0)
+    weight /= weight.mean()
+    rate = 4.0 / (1.0 + float((np.square(rows).sum(axis=1) * weight).mean()) + penalty)
     w, b, momentum = np.zeros(rows.shape[1], dtype=rows.dtype), 0.0, 1.0
     ahead_w, ahead_b = w, b
     for _ in range(steps):
         z = rows @ ahead_w + ahead_b
-        error = ((1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels) / count).astype(rows.dtype)
+        error = ((1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels) * weight / count).astype(rows.dtype)
         new_w = ahead_w - rate * (error @ rows + penalty * ahead_w)
         new_b = ahead_b - rate * float(error.sum())
         following = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
