@@ -47,9 +47,12 @@ def binary_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS
             doc_ids, texts = batch.column(0).to_pylist(), byte_texts(batch.column(1))
             for low, high in text_slices(texts):
                 rows = []
-                for doc_id, ids in zip(doc_ids[low:high], encode(texts[low:high]), strict=True):
-                    ids += end
-                    start, total = 0, len(ids) // 4
+                found, counts = encode(texts[low:high])
+                packed, stop = found.astype("<u4").tobytes(), 0
+                for doc_id, count in zip(doc_ids[low:high], counts.tolist(), strict=True):
+                    ids = packed[4 * stop : 4 * (stop + count)] + end
+                    stop += count
+                    start, total = 0, count + 1
                     for length in binary_lengths(total, max_tokens):
                         rows.append((doc_id, total, start, length, ids[4 * start : 4 * (start + length)]))
                         start += length

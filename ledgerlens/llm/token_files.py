@@ -31,7 +31,7 @@ from ledgerlens.llm.tokens import encoder, text_slices
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
 
-_TOKENS = "doc_id long, n_tokens long, ids binary"
+_TOKENS = "doc_id long, n_tokens long, ids binary, counts binary"
 _BLOCKS = "part int, block int, doc_ids binary, no_id binary, lengths binary, total long, control binary, data binary"
 _READ = "part int, block int, doc_id long, local_start long, n_tokens long, ids binary"
 _DIGEST = "part int, block int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -61,50 +61,66 @@ def decode_values(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit), the end id last."""
-    layout, end = arrow_schema(_TOKENS), end_id.to_bytes(4, "little")
+    """doc_id, n_tokens, ids (the end id last; little-endian, unsigned, of two bytes each where all ids fit and
+    four otherwise). The last row of each task has only `counts`: pairs of an id and how often the task wrote it, as
+    64-bit integers."""
+    layout = arrow_schema(_TOKENS)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, blanks_dropped=False)
+        width = id_width(vocabulary, end_id)
+        end = end_id.to_bytes(width, "little")
+        seen = np.zeros(end_id + 1, dtype=np.int64)
         for batch in batches:
             doc_ids, texts = batch.column(0), byte_texts(batch.column(1))
             for low, high in text_slices(texts):
-                ids = [own + end for own in encode(texts[low:high])]
-                columns = {"doc_id": doc_ids.slice(low, high - low).to_pylist(), "n_tokens": [len(own) // 4 for own in ids], "ids": ids}
+                found, counts = encode(texts[low:high])
+                own = np.bincount(found, minlength=len(seen))
+                own[: len(seen)] += seen
+                own[end_id] += high - low
+                seen = own
+                packed, stops = found.astype(f"<u{width}").tobytes(), (width * np.cumsum(counts)).tolist()
+                ids = [packed[i:j] + end for i, j in zip([0, *stops[:-1]], stops, strict=True)]
+                columns = {"doc_id": doc_ids.slice(low, high - low).to_pylist(), "n_tokens": counts + 1, "ids": ids, "counts": [None] * len(ids)}
                 yield record_batch(columns, layout)
+        known = np.flatnonzero(seen)
+        pairs = np.column_stack([known, seen[known]]).astype("<i8").tobytes()
+        yield record_batch({"doc_id": [None], "n_tokens": [None], "ids": [None], "counts": [pairs]}, layout)
 
     return documents(docs).mapInArrow(tokenise, _TOKENS)
 
 
+def id_width(vocabulary: str, end_id: int) -> int:
+    """Bytes of an id in the table of tokens."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+
+
 def id_ranks(tokens: DataFrame) -> DataFrame:
     """(rank, id, n) over all documents, the most frequent id first, ties by id; one row per id of the vocabulary that
-    occurs. Tasks send one count per id."""
+    occurs. Each task counted its own."""
     layout = arrow_schema("id long, n long")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, dtype=np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(ids, dtype="<u4"))
-                if len(own) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(own) - len(counts), dtype=np.int64)])
-                counts[: len(own)] += own
-        found = np.flatnonzero(counts)
-        yield record_batch({"id": found, "n": counts[found]}, layout)
-
-    counts = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for pairs in batch.column(0).to_pylist():
+                id_, n = np.frombuffer(pairs, dtype="<i8").reshape(-1, 2).T
+                yield record_batch({"id": id_.copy(), "n": n.copy()}, layout)
+
+    counts = tokens.where("counts IS NOT NULL").select("counts").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1)
     return ranked.select("rank", "id", "n")
 
 
-def write_token_files(tokens: DataFrame, space: Workspace, block_tokens: int = BLOCK_TOKENS, ranks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Writes a table of tokens as blocks in doc_id order (NULL first) and the rank table; returns both as read back.
+def write_token_files(tokens: DataFrame, space: Workspace, width: int, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """Writes a table of tokens, with ids of `width` bytes, as blocks in doc_id order (NULL first) and the rank table; returns both as read back.
 
     The rank table has one row per vocabulary entry, so it is small whatever the documents are, and goes to the tasks as
     an array. Range partitions hold consecutive ids; a document longer than a block has a block of its own.
     """
     spark = tokens.sparkSession
-    table = space.table("ranks", ranks if ranks is not None else id_ranks(tokens))
+    table = space.table("ranks", id_ranks(tokens))
     known = sorted((row["id"], row["rank"]) for row in table.collect())
     rank_of = np.zeros(known[-1][0] + 1 if known else 1, dtype=np.uint32)
     for id_, rank in known:
@@ -117,14 +133,14 @@ def write_token_files(tokens: DataFrame, space: Workspace, block_tokens: int = B
         total = 0
 
         def block() -> pa.RecordBatch:
-            ids = np.concatenate([np.frombuffer(own, dtype="<u4") for _, own in held])
+            ids = np.frombuffer(b"".join([own for _, own in held]), dtype=f"<u{width}")
             control, data = encode_values(rank_of[ids])
             columns = {
                 "part": [part],
                 "block": [number],
                 "doc_ids": [np.array([i or 0 for i, _ in held], dtype="<i8").tobytes()],
                 "no_id": [bytes(i is None for i, _ in held)],
-                "lengths": [np.array([len(own) // 4 for _, own in held], dtype="<i8").tobytes()],
+                "lengths": [np.array([len(own) // width for _, own in held], dtype="<i8").tobytes()],
                 "total": [total],
                 "control": [control],
                 "data": [data],
@@ -133,16 +149,16 @@ def write_token_files(tokens: DataFrame, space: Workspace, block_tokens: int = B
 
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if held and total + len(ids) // 4 > block_tokens:
+                if held and total + len(ids) // width > block_tokens:
                     yield block()
                     number, held, total = number + 1, [], 0
                 held.append((doc_id, ids))
-                total += len(ids) // 4
+                total += len(ids) // width
         if held:
             yield block()
 
     partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = tokens.select("doc_id", "ids").repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = tokens.where("counts IS NULL").select("doc_id", "ids").repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "ids")
     return space.table("files", ordered.mapInArrow(encode, _BLOCKS)), table
 
 
@@ -197,7 +213,7 @@ def token_file_roundtrip(docs: DataFrame, vocabulary: str, space: Workspace, *,
     their own, those of one doc_id ordered by their ids. An empty table gives no rows; other columns are ignored.
     """
     tokens = space.table("tokens", tokenised(docs, vocabulary, end_id))
-    files, ranks = write_token_files(tokens, space, block_tokens)
+    files, ranks = write_token_files(tokens, space, id_width(vocabulary, end_id), block_tokens)
     space.drop("tokens")
     return read_token_files(files, ranks, with_ids)
 

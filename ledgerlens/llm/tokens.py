@@ -1,7 +1,10 @@
-"""Token ids from the `tokenizers` library inside tasks, with a cache of word units.
+"""Token ids from the `tokenizers` library inside tasks, with a cache of words.
 
-Encoding a unit twice is avoided: most words of a text have been seen. Both cuts below lie where every pattern of the
-tokenizer's pre-tokenizer starts a new piece, so joining the ids of the units gives the ids of the whole text.
+A text is cut into units, most of which have been seen. Cuts lie only where the tokenizer's pre-tokenizer begins a piece
+whatever stands around, so the joined ids of the units are those of the whole text. Units that were not seen are
+encoded many in one call, strung together at such places; the lengths of their tokens tell where each unit ends. The ids of
+a text are then gathered by the numbers of its units. Units of ASCII letters, perhaps with marks after them, are cut into
+their pieces here and go to the library's model directly.
 """
 
 from __future__ import annotations
@@ -9,14 +12,63 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
 #: Entries of the cache of one task; a full cache starts anew, which changes no result.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 500_000
+_UNITS_A_CALL = 1000
+
+#: Marks that form one piece after a word. The apostrophe is not among them, because it begins contractions.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-_SPACES_MEET = re.compile(r"\s \s")
 _SPACE_STARTS = re.compile(r"(?<=\S)(?= )|(?= \S)")
+#: Byte pairs without which every space of a text begins a unit: a space before another ASCII blank, and other blanks.
+_OTHER_BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+_UNUSUAL_BLANKS = (b"  ", b" \t", b" \n", b" \x0b", b" \x0c", b" \r", *_OTHER_BLANKS)
+
+Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+
+
+class _Numbers(dict):
+    """Numbers for units in the order they come up; `names` has the units in that order."""
+
+    def __init__(self):
+        self.names: list[bytes] = []
+
+    def __missing__(self, unit: bytes) -> int:
+        self[unit] = number = len(self.names)
+        self.names.append(unit)
+        return number
+
+
+class _Store:
+    """Ids of all units one after the other; `start` and `count` by number."""
+
+    def __init__(self):
+        self.ids = np.empty(1 << 16, dtype=np.uint32)
+        self.used = 0
+        self.start, self.count = np.empty(1 << 14, dtype=np.int64), np.empty(1 << 14, dtype=np.int64)
+
+    def reserve(self, units: int) -> None:
+        if units > len(self.start):
+            grow = 2 * units - len(self.start)
+            self.start, self.count = (np.concatenate([own, np.empty(grow, dtype=np.int64)]) for own in (self.start, self.count))
+
+    def put(self, numbers: list[int], ids: np.ndarray, count: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty(self.used + 2 * len(ids), dtype=np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[numbers], self.count[numbers] = self.used + np.cumsum(count) - count, count
+        self.used += len(ids)
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the units one after the other, number of ids of each)."""
+        count = self.count[numbers]
+        ends = np.cumsum(count)
+        shift = np.repeat(self.start[numbers] - (ends - count), count)
+        return self.ids[shift + np.arange(len(shift))], count
 
 
 def vocabulary_path(name: str) -> str:
@@ -25,47 +77,124 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def blank_units(text: bytes) -> list[bytes]:
-    """Words between ASCII blanks, for a tokenizer that drops white space and never joins across it."""
-    return text.split()
-
-
-def space_units(text: str) -> list[str]:
-    """Pieces that start with a space, for a byte-level tokenizer whose words take the one space before them.
+def space_units(text: bytes) -> list[bytes]:
+    """Units for a byte-level tokenizer whose words take the one space before them. All but the first start with
+    a space, which is left out, or are marked by a leading NUL if they do not. A text that holds a NUL is one unit.
 
     A space starts a piece unless it continues a run of blanks that goes on after it.
     """
-    if _SPACES_MEET.search(text) is None and not text.startswith(" "):
-        first, *rest = text.split(" ")
-        return [first, *[" " + unit for unit in rest]]
-    return [unit for unit in _SPACE_STARTS.split(text) if unit]
+    if b"\x00" in text:
+        return [b"\x00" + text]
+    if not any(pair in text for pair in _UNUSUAL_BLANKS):
+        units = text.split(b" ")
+        units[0] = b"\x00" + units[0]
+        return units
+    cut = _SPACE_STARTS.split(text.decode("utf-8", "replace"))
+    return [unit[1:].encode() if unit[0] == " " else b"\x00" + unit.encode() for unit in cut if unit]
 
 
-def encoder(path: str, blanks_dropped: bool) -> Callable[[list[bytes]], list[bytes]]:
-    """A function from UTF-8 texts to their ids, packed as little-endian unsigned 32-bit integers.
+def encoder(path: str, blanks_dropped: bool) -> Encode:
+    """A function from UTF-8 texts to (ids of all texts one after the other, the number of ids of each text).
 
-    The strings of special tokens are ordinary text. `blanks_dropped` chooses the units: see above.
+    The strings of special tokens are ordinary text. `blanks_dropped` says that the tokenizer lower-cases, drops white
+    space and never joins across it; otherwise it is byte-level, with words that take the space before them.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    cache: dict = {}
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        units = [blank_units(t) for t in texts] if blanks_dropped else [space_units(t.decode("utf-8", "replace")) for t in texts]
-        missing = list({unit for own in units for unit in own if unit not in cache})
-        if len(cache) + len(missing) > CACHE_UNITS:
-            cache.clear()
-            missing = list({unit for own in units for unit in own})
-        for begin in range(0, len(missing), 20_000):
-            part = missing[begin : begin + 20_000]
-            strings = [unit.decode("utf-8", "replace") for unit in part] if blanks_dropped else part
-            for unit, encoding in zip(part, tokenizer.encode_batch_fast(strings, add_special_tokens=False), strict=True):
-                cache[unit] = np.array(encoding.ids, dtype="<u4").tobytes()
-        known = cache.__getitem__
-        return [b"".join(map(known, own)) for own in units]
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    lengths = np.zeros(whole.get_vocab_size(), dtype=np.int64)
+    for token, id_ in whole.get_vocab().items():
+        lengths[id_] = len(token.removesuffix("</w>") if blanks_dropped else token)  # a letter of a token is a byte
+    model = Tokenizer(whole.model)
+    cut, lead = (bytes.split, "") if blanks_dropped else (space_units, "\u0120")  # how byte-level vocabularies spell a space
+    numbers, store = _Numbers(), _Store()
+
+    def add_singly(own: list[int]) -> None:
+        texts = [numbers.names[n].decode("utf-8", "replace") for n in own]
+        if not blanks_dropped:
+            texts = [text[1:] if text[:1] == "\x00" else " " + text for text in texts]
+        found = [encoding.ids for encoding in whole.encode_batch_fast(texts, add_special_tokens=False)]
+        store.put(own, np.array([id_ for ids in found for id_ in ids], dtype=np.uint32), np.array([len(ids) for ids in found]))
+
+    def add_together(own: list[int]) -> None:
+        units = [numbers.names[n] for n in own]
+        joined = b" ".join(units)
+        text, shown, apart = joined.decode("utf-8", "replace"), units, 0
+        if not blanks_dropped:
+            text, apart = " " + text, 1
+        elif not joined.isascii():
+            shown = [part.encode() for part in whole.normalizer.normalize_str(text).split(" ")]
+        put(own, whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, shown, apart)
+
+    def add_words(own: list[int], marks: bool) -> None:
+        """Units of ASCII letters, or of ASCII letters and marks."""
+        units = [numbers.names[n] for n in own]
+        if marks:
+            words = [unit.rstrip(_MARKS) for unit in units]
+            pieces = [piece for word, unit in zip(words, units, strict=True) for piece in (lead + word.decode(), unit[len(word) :].decode())]
+        else:
+            pieces = (lead + b"\n".join(units).decode().replace("\n", "\n" + lead)).split("\n")
+        if blanks_dropped:
+            pieces = "\n".join(pieces).lower().split("\n")
+        put(own, model.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, units, len(lead))
+
+    def put(own: list[int], found: list[int], shown: list[bytes], apart: int) -> None:
+        """Keeps ids that spell out units one after the other, each with `apart` bytes more than shown."""
+        ids = np.array(found, dtype=np.uint32)
+        reached, wanted = np.cumsum(lengths[ids]), np.cumsum(np.fromiter(map(len, shown), dtype=np.int64, count=len(shown)) + apart)
+        ends = np.searchsorted(reached, wanted) + 1
+        if len(shown) != len(own) or not len(ids) or ends[-1] != len(ids) or not np.array_equal(reached[ends - 1], wanted):
+            add_singly(own)  # a character was dropped or changed its length
+        else:
+            store.put(own, ids, np.diff(ends, prepend=0))
+
+    def add(first: int) -> None:
+        """Encodes the units numbered from `first` on."""
+        store.reserve(len(numbers.names))
+        together: list[list[int]] = [[], []]
+        alone, words, marked = [], [], []
+        for n, unit in enumerate(numbers.names[first:], first):
+            if unit.isalpha():
+                words.append(n)
+            elif unit.rstrip(_MARKS).isalpha():
+                marked.append(n)
+            elif blanks_dropped:
+                together[not unit.isascii()].append(n)
+            # What begins or ends with a blank, or is a first unit, is not strung together with others.
+            elif unit and unit[0] > 32 and unit[-1] > 32:
+                together[0].append(n)
+            else:
+                alone.append(n)
+        if not blanks_dropped:
+            fresh = b" ".join(numbers.names[first:])
+            if any(pair in fresh for pair in _OTHER_BLANKS):
+                odd = {n for n in together[0] if any(pair in numbers.names[n] for pair in _OTHER_BLANKS)}
+                together[0] = [n for n in together[0] if n not in odd]
+                alone += odd
+        for own, marks in ((words, False), (marked, True)):
+            for low in range(0, len(own), _UNITS_A_CALL):
+                add_words(own[low : low + _UNITS_A_CALL], marks)
+        for own in together:
+            for low in range(0, len(own), _UNITS_A_CALL):
+                add_together(own[low : low + _UNITS_A_CALL])
+        for low in range(0, len(alone), 20_000):
+            add_singly(alone[low : low + 20_000])
+
+    def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal numbers, store
+        if len(numbers.names) > CACHE_UNITS:
+            numbers, store = _Numbers(), _Store()
+        first, number = len(numbers.names), numbers.__getitem__
+        own = [list(map(number, cut(text))) for text in texts]
+        if len(numbers.names) > first:
+            add(first)
+        units = np.fromiter((len(of) for of in own), dtype=np.int64, count=len(own))
+        every = np.fromiter(chain.from_iterable(own), dtype=np.int64, count=int(units.sum()))
+        ids, count = store.gather(every)
+        reached = np.concatenate([[0], np.cumsum(count)])[np.cumsum(units)]
+        return ids, np.diff(reached, prepend=0)
 
     return encode
 
