@@ -64,14 +64,15 @@ def repeated_chunks(docs: DataFrame, space: Workspace) -> DataFrame:
     Keys are counted first, which combines before the shuffle, and only chunks whose key repeats go on. They are grouped
     by key and text, so different texts with one key stay apart. Of each text the first occurrence stays: that in
     the smallest doc_id, NULL being last, then by seal and place. A chunk with a third of all occurrences is the
-    skewed side of the last join, which adaptive execution splits.
+    skewed side of the last join, which adaptive execution splits. All joins are sort-merge joins: what repeats
+    grows with the table, so a plan that broadcasts it while it is small would be another one at scale.
     """
     rows = chunk_rows(docs)
     keys = space.table("keys", rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    repeated = space.table("repeated", rows.join(keys, "key", "left_semi"))
+    repeated = space.table("repeated", rows.join(keys.hint("merge"), "key", "left_semi"))
     place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "seal", "start")
     first = repeated.groupBy("key", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    return repeated.withColumn("place", place).join(first, ["key", "chunk"]).where("place <> first").select("doc_id", "seal", "start", "count")
+    return repeated.withColumn("place", place).join(first.hint("merge"), ["key", "chunk"]).where("place <> first").select("doc_id", "seal", "start", "count")
 
 
 def dedup_lines(docs: DataFrame, space: Workspace) -> DataFrame:
@@ -91,7 +92,7 @@ def dedup_lines(docs: DataFrame, space: Workspace) -> DataFrame:
     gone = space.table("gone", gone)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     sealed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.md5(text.cast("binary")).alias("seal"))
-    met = sealed.join(gone, sealed["doc_id"].eqNullSafe(gone["_id"]) & (sealed["seal"] == gone["_seal"]), "left")
+    met = sealed.join(gone.hint("merge"), sealed["doc_id"].eqNullSafe(gone["_id"]) & (sealed["seal"] == gone["_seal"]), "left")
     lines = _once(met, doc_id=F.col("doc_id"), text=F.col("text"), spans=F.col("spans"), lines=F.split("text", "\n", -1))
     # What is kept lies between the removed spans: from the end of one to the start of the next.
     begins = F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["start"] + s["count"]))
