@@ -25,7 +25,7 @@ MAX_BITS = 3
 SEED = 42
 TILE_ROWS = 20_000
 
-_FINGERPRINTS = "doc_id long, fingerprint long"
+_FINGERPRINTS = "doc_id long, fingerprint long, seal long"
 _EDGES = "a long, b long"
 _PART_BYTES = 4 << 20
 
@@ -65,20 +65,22 @@ def majority_bits(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fingerprint (signed long) of every row; NULL text is empty."""
+    """doc_id, fingerprint and seal (XXH64 of the text; both signed longs) of every row; NULL text is empty."""
     layout = arrow_schema(_FINGERPRINTS)
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, size, prints = [], 0, []
+            held, size, prints, seals = [], 0, [], []
             for text in byte_texts(batch.column(1)):
+                seals.append(xxhash.xxh64_intdigest(text, SEED))
                 held.append(shingle_hashes(text, words_each))
                 size += len(text)
                 if size >= _PART_BYTES or len(held) >= 1000:
                     prints.append(majority_bits(held))
                     held, size = [], 0
             prints.append(majority_bits(held))
-            yield record_batch({"doc_id": batch.column(0), "fingerprint": np.concatenate(prints).view(np.int64)}, layout)
+            columns = {"fingerprint": np.concatenate(prints), "seal": np.array(seals, dtype=np.uint64)}
+            yield record_batch({"doc_id": batch.column(0), **{name: own.view(np.int64) for name, own in columns.items()}}, layout)
 
     return documents(docs).mapInArrow(fingerprint, _FINGERPRINTS)
 
@@ -152,6 +154,15 @@ def spanning_links(prints: DataFrame, max_bits: int = MAX_BITS, tile_rows: int =
     return dealt.mapInArrow(walk, _EDGES)
 
 
+def _rooted(docs: DataFrame, space: Workspace, words_each: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fingerprint, seal) of every row, and the root of every fingerprint: one name for each component."""
+    found = space.table("fingerprints", fingerprints(docs, words_each))
+    nodes = space.table("nodes", found.select("fingerprint").distinct())
+    roots = components(space.table("links", spanning_links(nodes, max_bits)), space)
+    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left")
+    return found, rooted.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+
+
 def simhash_components(docs: DataFrame, space: Workspace, *, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (signed long) and component_id of every row: the smallest doc_id reachable through links.
 
@@ -159,25 +170,24 @@ def simhash_components(docs: DataFrame, space: Workspace, *, words_each: int = S
     among them, are one node, so copies add no pairs. NULL doc_ids take part but never name a component, unless
     it has no other id; then component_id is NULL. An empty table gives no rows; other columns are ignored.
     """
-    found = space.table("fingerprints", fingerprints(docs, words_each))
-    nodes = space.table("nodes", found.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    roots = components(space.table("links", spanning_links(nodes.select("fingerprint"), max_bits)), space)
-    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
+    found, rooted = _rooted(docs, space, words_each, max_bits)
+    least = found.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).join(rooted, "fingerprint")
+    named = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
     return found.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def keep_one(docs: DataFrame, space: Workspace, **options) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: of each component the row with the smallest doc_id. Of
-    repeated rows with that id one stays; a component whose ids are all NULL keeps one row."""
-    found = simhash_components(docs, space, **options)
-    # Every other row names the id it yields to, so only ids that stay are needed.
-    staying = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(docs["doc_id"].cast("long").alias("_id"), F.struct(*[docs[name] for name in docs.columns]).alias("row"))
-    kept = rows.join(staying, rows["_id"].eqNullSafe(staying["_id"]), "left_semi")
-    return kept.groupBy("_id").agg(F.first("row").alias("row")).select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
+def keep_one(docs: DataFrame, space: Workspace, *, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: of each component the row with the smallest doc_id, NULL
+    being larger than any. Of several rows with that id, the one with the smallest seal stays, and of equal rows one."""
+    found, rooted = _rooted(docs, space, words_each, max_bits)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "seal")
+    first = found.groupBy("fingerprint").agg(F.min(place).alias("first")).join(rooted, "fingerprint")
+    staying = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.seal").alias("_seal"))
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = docs.select(docs["doc_id"].cast("long").alias("_id"), F.xxhash64(text).alias("_seal"), F.struct(*[docs[name] for name in docs.columns]).alias("row"))
+    same = rows["_id"].eqNullSafe(staying["_id"]) & (rows["_seal"] == staying["_seal"])
+    kept = rows.join(staying, same, "left_semi").groupBy("_id", "_seal").agg(F.first("row").alias("row"))
+    return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 
 def hex_fingerprint(column):
