@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -43,6 +44,13 @@ class Workspace:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished queries now: its cleaner acts once the driver's JVM has collected
+    them, which may otherwise be long after the disk is full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; an id that is NULL counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
