@@ -61,6 +61,12 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "removed_lines", "removed_chunks", sha.alias("text_sha256"))
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = line_chunks.dedup_passages(_table(spark, sf_dir, "documents"), Workspace(spark, "passages"))
+    sha = F.sha2(F.col("text").cast("binary"), 256)
+    return clean.select("doc_id", "n_lines", "removed_lines", "removed_passages", sha.alias("text_sha256"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), Workspace(spark, "mixing"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
     "op8_line_chunks": op8_line_chunks,
+    "op8_passages": op8_passages,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }

@@ -86,3 +86,72 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = line_chunks.dedup_lines(docs, Workspace(spark, "t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def without_passages(rows):
+    """Text, lines and passages removed for each row, by scanning documents in order."""
+    order = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is None, r[0] or 0, md5(r[1].encode()).hexdigest()))
+    first, result = {}, {}
+    for i, text in order:
+        lines = text.split("\n")
+        own = [n for n, line in enumerate(lines) if line.strip(" \t\n\v\f\r")]
+        spans = [(n, n) for n in own if len(lines[n].encode()) >= line_chunks.LONG_LINE] + list(zip(own, own[1:]))  # noqa: B905, RUF005
+        gone = set()
+        for low, high in sorted(spans):
+            place = (i, text, low)
+            if first.setdefault(tuple(lines[low : high + 1]), place) != place:
+                gone |= set(range(low, high + 1))
+        kept = "\n".join(line for n, line in enumerate(lines) if n not in gone)
+        result[i, text] = (kept, len(lines), len(gone), sum(n - 1 not in gone for n in gone))
+    return sorted(((i, *result[i, t or ""]) for i, t in rows), key=str)
+
+
+def test_passages_on_edge_cases(spark):
+    rows = [*ROWS, (20, "\n"), (21, "a\n\n\nb\n"), (22, "\n".join(["same line"] * 500)), (23, "\n".join(["same line"] * 500)), (24, "c\na\n\n\nb\n\n")]
+    found = line_chunks.dedup_passages(documents(spark, rows).repartition(3), Workspace(spark, "t")).collect()
+    assert sorted(map(tuple, found), key=str) == without_passages(rows)
+    assert line_chunks.dedup_passages(no_documents(spark), Workspace(spark, "t")).count() == 0
+
+
+def test_passages_match_a_scan_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = line_chunks.dedup_passages(docs.repartition(5), Workspace(spark, "t")).collect()
+    assert sorted(map(tuple, found), key=str) == without_passages(rows)
+
+
+def shares(rows, found, passages):
+    """Share of the words of repeated passages that went, by lines a passage."""
+    words = {length: [0, 0] for length in passages}
+    for i, length in rows:
+        left = set(found[i].split("\n"))
+        for line in passages[length]:
+            words[length][0] += len(line.split()) * (line not in left)
+            words[length][1] += len(line.split())
+    return {length: round(gone / every, 2) for length, (gone, every) in words.items()}
+
+
+def test_planted_passages_go_whole(spark):
+    """Passages of 56 words or more in 1 to 16 lines, each in 40 documents between lines of their own."""
+    rng = random.Random(2)
+    words = lambda n: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    rows, planted, passages = [], [], {}
+    for length in (1, 2, 3, 4, 8, 16):
+        passages[length] = [words(max(7, -(-56 // length))) for _ in range(length)]
+        for copy in range(40):
+            before, after = ([words(8) for _ in range(rng.randrange(4))] for _ in range(2))
+            rows.append((len(rows), "\n".join([*before, *passages[length], *after])))
+            if copy:
+                planted.append((len(rows) - 1, length))
+    docs = documents(spark, rows).repartition(5)
+    found = line_chunks.dedup_passages(docs, Workspace(spark, "t")).collect()
+    assert shares(planted, {r.doc_id: r.text for r in found}, passages) == dict.fromkeys(passages, 1.0)
+    assert sum(r.removed_lines for r in found) == 39 * sum(passages)
+    chunked = {r.doc_id: r.text for r in line_chunks.dedup_lines(docs, Workspace(spark, "t")).collect()}
+    print("chunks alone:", shares(planted, chunked, passages))
+
+
+def test_no_python_in_the_plan_of_passages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = line_chunks.dedup_passages(docs, Workspace(spark, "t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
