@@ -5,9 +5,11 @@ rotated vectors close to their signs, which balances the bits. A code is cut int
 vector is filed under each of its segment values and asks for the values of a Hamming ball of radius one; what meets and
 is close over the whole code is verified by the cosine of the original vectors.
 
-The number of segments follows from the wanted recall: two vectors at the threshold differ in a bit with probability
-arccos(threshold) / pi, so a segment of b bits finds them with that of at most one difference in b. The width b follows
-the number of vectors (its logarithm), which keeps buckets small at every size.
+The number of segments follows from the wanted recall, as measured: vectors of the sample that the rotations were not
+learned from get partners at the threshold cosine, some in any direction, some in directions in which the sample varies, and segments are
+added until so many of both are found. So a common mean, which centring removes, and bits that depend on each other count
+as they are. The width b of a segment follows the number of vectors (its logarithm), which keeps buckets small at every
+size, unless that takes too many segments. Each length of vectors has a quantiser of its own.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ THRESHOLD = 0.95
 RECALL = 0.985
 SAMPLE_ROWS = 8192
 ROTATE_STEPS = 30
+#: Pairs of each kind that the recall is measured on.
+TEST_PAIRS = 4096
+#: Beyond so many segments they become narrower instead, down to a bit, which finds everything.
+MOST_SEGMENTS = 64
 TILE_ROWS = 2048
 SEED = 42
 
@@ -47,23 +53,76 @@ class Quantiser:
     most_apart: int
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
-        """Segment values, one uint32 per segment, of unit vectors."""
-        width = len(self.mean)
-        fitted = np.zeros((len(vectors), width))
-        fitted[:, : min(width, vectors.shape[1])] = vectors[:, :width]
-        signs = (fitted - self.mean) @ self.projection > 0
+        """Segment values, one uint32 per segment, of unit vectors of the quantiser's length."""
+        signs = (vectors - self.mean) @ self.projection > 0
         return (signs.reshape(len(vectors), self.segments, self.bits) @ (1 << np.arange(self.bits, dtype=np.int64))).astype(np.uint32)
 
 
-def segment_plan(rows: int, threshold: float, recall: float) -> tuple[int, int, int]:
-    """(segments, bits each, most differing bits of a code that are still verified)."""
+def segment_plan(rows: int, flip: float, recall: float) -> tuple[int, int]:
+    """(segments, bits each) where each bit of a pair at the threshold differs with probability `flip`."""
     bits = min(32, max(10, math.ceil(math.log2(max(2, rows)))))
-    flip = math.acos(threshold) / math.pi
-    found = (1 - flip) ** bits + bits * flip * (1 - flip) ** (bits - 1)
-    segments = max(2, math.ceil(math.log(1 - recall) / math.log(1 - found)))
-    total = segments * bits
-    # Four deviations above the mean at the threshold: closer pairs differ in fewer bits.
-    return segments, bits, math.ceil(total * flip + 4 * math.sqrt(total * flip * (1 - flip)))
+    while True:
+        found = (1 - flip) ** bits + bits * flip * (1 - flip) ** (bits - 1)
+        segments = max(2, _needed(found, recall))
+        if segments <= MOST_SEGMENTS or bits == 1:
+            return segments, bits
+        bits -= 1
+
+
+def _needed(found: float, recall: float) -> int:
+    """Independent segments for that recall if each finds so many."""
+    found = min(max(found, 1e-9), 1 - 1e-9)
+    return math.ceil(math.log(1 - recall) / math.log(1 - found))
+
+
+def threshold_pairs(vectors: np.ndarray, threshold: float, seed: int = SEED) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two sets of (unit vectors, partners at the threshold cosine): partners in any direction, and in the direction of
+    the difference between two others of the vectors."""
+    random = np.random.default_rng(seed)
+    rows = random.permutation(np.resize(np.arange(len(vectors)), TEST_PAIRS))
+    own = vectors[rows]
+    pairs = []
+    for off in (random.standard_normal(own.shape), vectors[random.permutation(rows)] - vectors[random.permutation(rows)]):
+        off = off - (off * own).sum(axis=1, keepdims=True) * own
+        size = np.sqrt(np.square(off).sum(axis=1))
+        usable = size > 1e-6
+        if usable.any():
+            off = off[usable] / size[usable, None]
+            pairs.append((own[usable], threshold * own[usable] + math.sqrt(1 - threshold**2) * off))
+    return pairs
+
+
+def bits_apart(quantiser: Quantiser, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Differing bits of each pair in each segment."""
+    return np.bitwise_count(quantiser.codes(pairs[0]) ^ quantiser.codes(pairs[1])).astype(np.int64)
+
+
+def fit(sample: np.ndarray, rows: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = SEED) -> Quantiser:
+    """The quantiser for `rows` unit vectors of one length, of which `sample` is a sample.
+
+    `most_apart` is never below what any of the measured pairs differ in, nor four deviations above their mean.
+    """
+    held = np.arange(len(sample)) % 4 == 3
+    learned, tested = (sample[~held], sample[held]) if len(sample) >= 256 else (sample, sample)
+    tests = threshold_pairs(tested, threshold, seed)
+    width = sample.shape[1]
+    one = Quantiser(*learn_rotations(learned, width, seed), width, 1, 0)
+    flip = max((bits_apart(one, pairs).mean() for pairs in tests), default=0.0)
+    segments, bits = segment_plan(rows, flip, recall)
+    while True:
+        quantiser = Quantiser(*learn_rotations(learned, segments * bits, seed), segments, bits, segments * bits)
+        apart = [bits_apart(quantiser, pairs) for pairs in tests]
+        found = [(own.min(axis=1) <= 1).mean() for own in apart]
+        if bits == 1 or min(found, default=1.0) >= recall:
+            break
+        more = _needed(1 - (1 - min(found)) ** (1 / segments), recall)
+        segments = max(segments + 1, min(more, 2 * segments))
+        if segments > MOST_SEGMENTS:
+            bits -= 1
+            segments = max(2, segments // 2)
+    totals = [own.sum(axis=1) for own in apart]
+    quantiser.most_apart = max((math.ceil(max(own.max(), own.mean() + 4 * own.std())) for own in totals), default=segments * bits)
+    return quantiser
 
 
 def learn_rotations(sample: np.ndarray, total_bits: int, seed: int = SEED, steps: int = ROTATE_STEPS) -> tuple[np.ndarray, np.ndarray]:
@@ -106,31 +165,33 @@ def _unit(column: pa.Array) -> np.ndarray:
     return rows / np.sqrt(np.square(rows).sum(axis=1, keepdims=True))
 
 
-def learn(classes: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> Quantiser:
-    """The quantiser from at most `sample_rows` vectors of the most frequent length, the first in an order by hash."""
-    sizes = classes.groupBy("dims").count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    rows = classes.count()
-    segments, bits, most = segment_plan(rows, threshold, recall)
-    if not sizes:
-        return Quantiser(np.zeros(1), np.ones((1, segments * bits)), segments, bits, most)
-    drawn = classes.where(F.col("dims") == sizes[0]["dims"]).orderBy(F.xxhash64("embedding", F.lit(seed)), "embedding").limit(sample_rows)
-    sample = _unit(pa.array([row["embedding"] for row in drawn.select("embedding").collect()]))
-    return Quantiser(*learn_rotations(sample, segments * bits, seed), segments, bits, most)
+def learn(classes: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> dict[int, Quantiser]:
+    """A quantiser for each length of which there are two vectors, each from at most `sample_rows` vectors of that length,
+    the first in an order by hash."""
+    quantisers = {}
+    for size in classes.groupBy("dims").count().where("count > 1").orderBy("dims").collect():
+        drawn = classes.where(F.col("dims") == size["dims"]).orderBy(F.xxhash64("embedding", F.lit(seed)), "embedding").limit(sample_rows)
+        sample = _unit(pa.array([row["embedding"] for row in drawn.select("embedding").collect()]))
+        quantisers[size["dims"]] = fit(sample, size["count"], threshold, recall, seed)
+    return quantisers
 
 
-def bucket_keys(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
+def bucket_keys(classes: DataFrame, quantisers: dict[int, Quantiser]) -> DataFrame:
     """Every place where a vector is filed or asks: its segment values, and those with one set bit cleared. Of two
     values at distance one, one asks for the other, so each pair meets once in a segment."""
     layout = arrow_schema(_KEYS)
-    q = quantiser
-    shared = classes.sparkSession.sparkContext.broadcast((q.mean, q.projection, q.segments, q.bits, q.most_apart))
+    plain = {dims: (q.mean, q.projection, q.segments, q.bits, q.most_apart) for dims, q in quantisers.items()}
+    shared = classes.sparkSession.sparkContext.broadcast(plain)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = Quantiser(*shared.value)
-        masks = np.concatenate([[0], 1 << np.arange(q.bits)]).astype(np.int64)
+        quantisers = {dims: Quantiser(*parts) for dims, parts in shared.value.items()}
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for length in np.unique(dims).tolist():
+                if length not in quantisers:  # the only vector of its length
+                    continue
+                q = quantisers[length]
+                masks = np.concatenate([[0], 1 << np.arange(q.bits)]).astype(np.int64)
                 mine = np.flatnonzero(dims == length)
                 codes = q.codes(_unit(batch.column(2).take(pa.array(mine))))
                 values = codes.astype(np.int64)[:, :, None]
@@ -170,7 +231,7 @@ def _met_here(codes: np.ndarray, filed: np.ndarray, segment: int, tile: np.ndarr
 _STRIPE = 512
 
 
-def candidates(keys: DataFrame, quantiser: Quantiser, tile_rows: int = TILE_ROWS) -> DataFrame:
+def candidates(keys: DataFrame, quantisers: dict[int, Quantiser], tile_rows: int = TILE_ROWS) -> DataFrame:
     """Members of buckets that have a partner there, close enough over the whole code. Buckets with more than
     `tile_rows` members are cut into tiles."""
     bucket = Window.partitionBy("key", "dims")
@@ -181,18 +242,18 @@ def candidates(keys: DataFrame, quantiser: Quantiser, tile_rows: int = TILE_ROWS
     )
     tiled = with_tiles(met, "key", "cls", F.col("rows"), tile_rows).select("key", "lo", "hi", "tile", "filed", "cls", "codes")
     dealt = tiled.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", F.desc("filed"), "cls")
-    layout, width, most = arrow_schema(_MET), quantiser.segments, quantiser.most_apart
+    layout, most = arrow_schema(_MET), {dims: q.most_apart for dims, q in quantisers.items()}
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {name: [] for name in layout.names}
         for group in runs(batches, ["key", "lo", "hi"]):
-            codes = np.frombuffer(b"".join(group["codes"]), dtype=np.uint32).reshape(-1, width)
+            codes = np.frombuffer(b"".join(group["codes"]), dtype=np.uint32).reshape(len(group["codes"]), -1)
             segment = int(group["key"][0]) >> 32 & 0xFF
             tile = group["tile"] if group["lo"][0] != group["hi"][0] else None
             taking = np.zeros(len(codes), dtype=bool)
             for low in range(0, int(group["filed"].sum()) if tile is None else len(codes), _STRIPE):
                 left = slice(low, min(low + _STRIPE, len(codes)))
-                pairs = _met_here(codes, group["filed"], segment, tile, left, most)
+                pairs = _met_here(codes, group["filed"], segment, tile, left, most[int(group["key"][0]) >> 40])
                 taking |= pairs.any(axis=0)
                 taking[left] |= pairs.any(axis=1)
             for name in layout.names:
@@ -206,18 +267,18 @@ def candidates(keys: DataFrame, quantiser: Quantiser, tile_rows: int = TILE_ROWS
     return dealt.mapInArrow(close, _MET)
 
 
-def verified(members: DataFrame, classes: DataFrame, quantiser: Quantiser, threshold: float = THRESHOLD) -> DataFrame:
+def verified(members: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(cls, links, root) for members of buckets: the rows they link with there, and a member they reach. Cosines are
     computed in double precision from the original vectors, in stripes of a bucket; no pair leaves its task."""
     sized = members.join(classes.select("cls", "embedding", "size"), "cls")
     names = ["key", "lo", "hi", "tile", "filed", "cls", "codes", "embedding", "size"]
     dealt = sized.select(*names).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", F.desc("filed"), "cls")
-    layout, width = arrow_schema(_FOUND), quantiser.segments
+    layout = arrow_schema(_FOUND)
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {name: [] for name in layout.names}
         for group in runs(batches, ["key", "lo", "hi"]):
-            codes = np.frombuffer(b"".join(group["codes"]), dtype=np.uint32).reshape(-1, width)
+            codes = np.frombuffer(b"".join(group["codes"]), dtype=np.uint32).reshape(len(group["codes"]), -1)
             vectors = _unit(pa.array(group["embedding"].tolist()))
             tile = group["tile"] if group["lo"][0] != group["hi"][0] else None
             sizes, links = group["size"], np.zeros(len(codes), dtype=np.int64)
@@ -262,13 +323,13 @@ def embedding_links(vectors: DataFrame, space: Workspace, *, threshold: float =
     that counts for all of them, so copies add no pairs. A NULL vec_id takes part but never names a component
     with other ids. component_id is the smallest vec_id reachable, kept whether it is the row's own (of repeated rows
     with one vec_id all count as kept). An empty table gives no rows; other columns are ignored. Every vector is indexed;
-    only the rotations are learned from a sample.
+    only the rotations and the number of segments are learned from samples, one of each length.
     """
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"))
     classes = space.table("classes", vector_classes(rows).withColumn("cls", F.monotonically_increasing_id()))
-    quantiser = learn(classes, threshold=threshold, recall=recall, sample_rows=sample_rows, seed=seed)
-    members = candidates(bucket_keys(classes, quantiser), quantiser)
-    found = space.table("found", verified(members, classes, quantiser, threshold))
+    quantisers = learn(classes, threshold=threshold, recall=recall, sample_rows=sample_rows, seed=seed)
+    members = candidates(bucket_keys(classes, quantisers), quantisers)
+    found = space.table("found", verified(members, classes, threshold))
     roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), space)
     counted = found.groupBy("cls").agg(F.sum("links").alias("links"))
     rooted = classes.select("cls", "embedding", "size", "least").join(counted, "cls", "left").join(roots, F.col("cls") == F.col("node"), "left")

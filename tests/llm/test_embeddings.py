@@ -82,3 +82,54 @@ def test_rotation_balances_bits():
         return np.square(np.where(rotated > 0, 1, -1) - rotated / np.abs(rotated).mean()).mean()
 
     assert error((sample - mean) @ first) < error(sample - mean)
+
+
+def off_centre(n, width, mean_norm, seed, pairs=500):
+    """Unit vectors with a mean of that norm; the last `pairs` are at cosine 0.95 to 0.97 to the first ones."""
+    rng = np.random.default_rng(seed)
+    mean = rng.standard_normal(width)
+    mean *= mean_norm / np.linalg.norm(mean)
+    unit = mean + rng.standard_normal((n, width)) * np.sqrt((1 - mean_norm**2) / width)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    base, off = unit[:pairs], rng.standard_normal((pairs, width))
+    off -= (off * base).sum(axis=1, keepdims=True) * base
+    cosine = rng.uniform(0.951, 0.97, (pairs, 1))
+    unit[n - pairs :] = cosine * base + np.sqrt(1 - cosine**2) * off / np.linalg.norm(off, axis=1, keepdims=True)
+    return unit
+
+
+def test_recall_with_a_large_common_mean_and_two_lengths(spark):
+    sets = [off_centre(2500, 64, 0.83, 5), off_centre(1500, 32, 0.9, 6)]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate([*sets[0], *sets[1]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {r.vec_id: r.n_links for r in embeddings.embedding_links(df, Workspace(spark, "t")).collect()}
+    begin = 0
+    for vectors in sets:
+        want = brute_force(vectors).sum(axis=1)
+        got = np.array([found[begin + i] for i in range(len(vectors))])
+        print("recall", len(vectors[0]), got.sum() / want.sum(), want.sum())
+        assert (got <= want).all() and want.sum() >= 1000
+        assert got.sum() >= 0.975 * want.sum()
+        begin += len(vectors)
+
+
+@pytest.mark.parametrize("mean_norm", [0.0, 0.7, 0.83, 0.95])
+@pytest.mark.parametrize("rows", [10_000, 10_000_000])
+def test_plan_finds_off_centre_pairs(mean_norm, rows):
+    vectors = off_centre(6000, 64, mean_norm, 7, pairs=2000)
+    quantiser = embeddings.fit(vectors[:4000], rows)
+    apart = embeddings.bits_apart(quantiser, (vectors[:2000], vectors[4000:]))
+    recall = ((apart.min(axis=1) <= 1) & (apart.sum(axis=1) <= quantiser.most_apart)).mean()
+    print("mean", mean_norm, "rows", rows, "recall", recall, "segments", quantiser.segments, "bits", quantiser.bits)
+    assert recall >= 0.975
+    assert quantiser.segments <= embeddings.MOST_SEGMENTS
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_few_components_keep_recall(width):
+    rng = np.random.default_rng(width)
+    sample = rng.standard_normal((1000, width)) + 1
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    quantiser = embeddings.fit(sample, 1000)
+    for pairs in embeddings.threshold_pairs(sample, embeddings.THRESHOLD, seed=9):
+        assert (embeddings.bits_apart(quantiser, pairs).min(axis=1) <= 1).mean() >= 0.97
