@@ -6,7 +6,7 @@ A stage takes the Parquet output of the one before. All but the last return the
 2. Exact dedup: of equal texts the smallest doc_id stays.
 3. SimHash near-dedup: of each group of near copies the smallest doc_id stays.
 4. Mixing: documents are taken to the target weights of their sources, whole, several times, or in part.
-5. Packing: power-of-two pieces of token ids.
+5. Packing: power-of-two pieces of token ids, written by length.
 """
 
 from __future__ import annotations
@@ -41,8 +41,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of the pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    return packing.pieces_digest(packing.binary_pieces(docs, vocabulary_path("word_bpe_49k.json")))
+    """Writes the pieces by length to a folder packed-*/buckets of `spark.checkpoint.dir`, where they stay, and reads their digests
+    from there: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    pieces = packing.binary_pieces(docs, vocabulary_path("word_bpe_49k.json"))
+    return packing.bucketed_digest(pieces, f"{Workspace(spark, 'packed', keep=True).root}/buckets")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -68,5 +68,16 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
     pieces.write.mode("overwrite").option("compression", "zstd").partitionBy("length").parquet(path)
 
 
+def read_buckets(pieces: DataFrame, path: str) -> DataFrame:
+    """What `write_buckets` has written of `pieces`; the columns are as there."""
+    return pieces.sparkSession.read.schema(pieces.schema).parquet(path).select(pieces.columns)
+
+
+def bucketed_digest(pieces: DataFrame, path: str) -> DataFrame:
+    """Writes the pieces by length and gives the digest of what is read back."""
+    write_buckets(pieces, path)
+    return pieces_digest(read_buckets(pieces, path))
+
+
 def pieces_digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -47,7 +47,7 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.binary_pieces(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
-    return packing.pieces_digest(pieces)
+    return packing.bucketed_digest(pieces, f"{Workspace(spark, 'packing').root}/buckets")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ import numpy as np
 from edge_cases import ROWS, documents, no_documents
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import packing
+import corpus_pipeline
+from ledgerlens.llm import packing, queries
 from ledgerlens.llm.tokens import vocabulary_path
 
 PATH = vocabulary_path("word_bpe_49k.json")
@@ -46,3 +47,20 @@ def test_buckets_are_written_by_length(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "packed"))
     assert back.count() == pieces.count()
     assert back.where("length = 64 AND octet_length(ids) <> 256").count() == 0
+
+
+def test_query_and_pipeline_read_what_is_bucketed(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset"]
+    want = sorted(map(tuple, packing.pieces_digest(packing.binary_pieces(docs, PATH)).select(*columns).collect()))
+    for found in (queries.op6_packing(spark, sf), corpus_pipeline.pack(spark, docs, sf)):
+        files = found.inputFiles()
+        assert files and all("/buckets/length=" in file for file in files)
+        assert sorted(map(tuple, found.select(*columns).collect())) == want
+        assert dict(found.dtypes)["length"] == "bigint"
+        folder = files[0].split("/length=")[0]
+        for length in (1, 64, 2048):
+            rows = spark.read.parquet(f"{folder}/length={length}").collect()
+            assert rows and all(len(r.ids) == 4 * length for r in rows)
+    assert packing.bucketed_digest(packing.binary_pieces(no_documents(spark), PATH), f"{folder}-empty").count() == 0
