@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import embeddings, exact_dedup, hmm, line_chunks, mixing, packing, quality, simhash, token_files, toxicity
+from ledgerlens.llm import alignment, byte_bpe, embeddings, exact_dedup, hmm, line_chunks, mixing, packing, quality, simhash, token_files, toxicity
 from ledgerlens.llm.common import Workspace, fold
 from ledgerlens.llm.tokens import vocabulary_path
 
@@ -82,6 +82,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = vocabulary_path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip_digest(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
+    figures, _ = alignment.alignment(_table(spark, sf_dir, "documents"), *paths, Workspace(spark, "alignment"))
+    return figures
+
+
 QUERIES: dict[str, Query] = {
     "op1_hmm": op1_hmm,
     "op2_exact_dedup": op2_exact_dedup,
@@ -94,4 +107,6 @@ QUERIES: dict[str, Query] = {
     "op8_passages": op8_passages,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_alignment": op13_alignment,
 }

@@ -1,0 +1,97 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from edge_cases import ROWS, documents, no_documents
+
+from ledgerlens.llm import byte_bpe, queries
+from ledgerlens.llm.tokens import vocabulary_path
+
+PATH, PATTERN = vocabulary_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+RANKS = byte_bpe.read_ranks(PATH)
+LIBRARY = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+PARTS = ["a", "the", "ing", " ", "  ", "\n", "'s", "1", "23", "é", "日本", "😀", "!", "\x00", "\x85", "\xa0", "​", "\x1c", "ß", "<|endoftext|>"]
+
+
+def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The merges one by one, each after looking at every pair."""
+    if piece in ranks:
+        return [ranks[piece]]
+    parts = [bytes([byte]) for byte in piece]
+    while True:
+        found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
+        if not found:
+            return [ranks[part] for part in parts]
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def small_ranks(seed: int) -> dict[bytes, int]:
+    """Ranks over three letters, many pairs of which tie in what they make."""
+    rng = random.Random(seed)
+    tokens = [bytes([byte]) for byte in range(256)]
+    while len(tokens) < 300:
+        token = b"".join(rng.choices([t for t in tokens if set(t) <= set(b"abc")], k=2))
+        if token not in tokens and len(token) < 12:
+            tokens.append(token)
+    return {token: rank for rank, token in enumerate(tokens)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_both_trees_merge_as_one_by_one(seed):
+    ranks, rng = small_ranks(seed), random.Random(seed)
+    merges = byte_bpe.Merges(ranks)
+    pieces = list({bytes(rng.choices(b"abcd", k=rng.randint(1, 64))) for _ in range(800)})
+    want = [merged(piece, ranks) for piece in pieces]
+    assert merges.encode_pieces(pieces) == want
+    assert [merges.encode_long(piece) for piece in pieces if piece not in ranks] == [w for p, w in zip(pieces, want, strict=True) if p not in ranks]
+
+
+def test_no_merges_and_missing_bytes():
+    ranks = {bytes([byte]): byte for byte in range(256)}
+    assert byte_bpe.Merges(ranks).encode_pieces([b"ab", b"a", b"x" * 100]) == [[97, 98], [97], [120] * 100]
+    with pytest.raises(ValueError, match="without a rank"):
+        byte_bpe.Merges({b"a": 0})
+
+
+@pytest.mark.parametrize("remembered", [0, byte_bpe.REMEMBERED])
+def test_ids_are_those_of_the_library(remembered):
+    codec, rng = byte_bpe.Codec(RANKS, PATTERN, remembered), random.Random(3)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 200))) for _ in range(2000)] + ["日本語" * 5000 + "x" * 30_000]
+    found = [ids for low in range(0, len(texts), 300) for ids in codec.encode(texts[low : low + 300])]
+    assert found == [LIBRARY.encode_ordinary(text) for text in texts]
+    assert [codec.decode(ids).decode() for ids in found] == texts
+
+
+def test_round_trip_of_a_table(spark):
+    docs = documents(spark).repartition(3)
+    want = sorted((str(i), LIBRARY.encode_ordinary(text or ""), (text or "").encode()) for i, text in ROWS)
+    tokens = byte_bpe.encoded(docs, PATH, PATTERN)
+    assert sorted((str(r.doc_id), np.frombuffer(r.ids, dtype="<u4").tolist()) for r in tokens.collect()) == [row[:2] for row in want]
+    texts = byte_bpe.decoded(tokens, PATH).collect()
+    assert sorted((str(r.doc_id), bytes(r.bytes)) for r in texts) == sorted((i, text) for i, _, text in want)
+    digest = byte_bpe.round_trip_digest(docs, PATH, PATTERN)
+    assert digest.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    sha = [(i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text).hexdigest()) for i, ids, text in want]
+    assert sorted((str(r.doc_id), *r[1:]) for r in digest.collect()) == sorted(sha)
+
+
+def test_empty_table_and_no_ids(spark):
+    assert byte_bpe.round_trip_digest(no_documents(spark), PATH, PATTERN).count() == 0
+    assert byte_bpe.encoded(no_documents(spark), PATH, PATTERN).count() == 0
+    rows = byte_bpe.decoded(spark.createDataFrame([(1, None), (None, b"")], "doc_id long, ids binary"), PATH).collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, None), (None, bytearray(b""))]
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op12_byte_bpe(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = LIBRARY.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
