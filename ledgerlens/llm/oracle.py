@@ -97,3 +97,42 @@ WITH d AS (
 SELECT d.doc_id, n_lines::BIGINT AS n_lines, removed_lines::BIGINT AS removed_lines, removed_chunks, sha256(coalesce(body, '')) AS text_sha256
 FROM d JOIN t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.seal = t.seal
 """
+
+# CRC-32 of each distinct word byte by byte, with the table of remainders made by eight halvings of each byte.
+ORACLE["op11_importance"] = r"""
+WITH t0 AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(
+        list_concat([b], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders
+), d AS (
+    SELECT 'documents' AS side, doc_id, text, row_number() OVER () AS r FROM documents
+    UNION ALL SELECT 'benchmark', NULL, text, -row_number() OVER () FROM benchmark
+), w AS (
+    SELECT side, r, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM d
+), n AS (
+    SELECT side, r, word, count(*) AS n FROM w GROUP BY ALL
+), c AS (
+    SELECT word, xor(4294967295, list_reduce(
+        list_concat([4294967295], list_transform(range(1, length(bits), 2), lambda i: ('0x' || substr(bits, i, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, remainders[1 + (xor(c, b) & 255)]))) % 10000 AS bucket
+    FROM (SELECT word, hex(encode(word)) AS bits FROM (SELECT DISTINCT word FROM n)), t0
+), counts AS (
+    SELECT bucket, sum(n) FILTER (side = 'documents') AS s, sum(n) FILTER (side = 'benchmark') AS t FROM n JOIN c USING (word) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (total_s + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * (total_t + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counts, (SELECT coalesce(sum(s), 0) AS total_s, coalesce(sum(t), 0) AS total_t FROM counts)
+), weights AS (
+    SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS gained FROM n JOIN c USING (word) JOIN gains USING (bucket) GROUP BY r
+), scores AS (
+    SELECT doc_id, r, coalesce(n_features, 0) AS n_features,
+           CASE WHEN n_features > 0 THEN (gained - ((gained % n_features) + n_features) % n_features) // n_features ELSE 0 END AS weight,
+           floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+    FROM d LEFT JOIN weights USING (r) WHERE side = 'documents'
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST) AS place,
+           10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS drawn
+    FROM scores
+)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import alignment, byte_bpe, embeddings, exact_dedup, hmm, line_chunks, mixing, packing, quality, simhash, token_files, toxicity
+from ledgerlens.llm import alignment, byte_bpe, embeddings, exact_dedup, hmm, importance, line_chunks, mixing, packing, quality, simhash, token_files, toxicity
 from ledgerlens.llm.common import Workspace, fold
 from ledgerlens.llm.tokens import vocabulary_path
 
@@ -82,6 +82,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target, Workspace(spark, "importance"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_passages": op8_passages,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_importance": op11_importance,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_alignment": op13_alignment,
 }
