@@ -48,19 +48,10 @@ def text_to(field: T.StructField, text: Column) -> Column:
     raise TypeError(f"no text conversion to {field.dataType.simpleString()} for {field.name}")
 
 
-def wider_kind(name: str, kinds: list[str]) -> str:
-    """The type that takes all kinds of JSON values of a column: 64-bit integer, double, boolean or text.
-
-    NULL fits any; objects and arrays cannot be staged.
-    """
-    nested = [kind for kind in kinds if kind.startswith(("OBJECT", "ARRAY"))]
-    if nested:
-        raise TypeError(f"nested column {name} ({nested[0]}) cannot be staged")
-    families = {
-        "bigint" if kind in ("TINYINT", "SMALLINT", "INT", "BIGINT") else "double" if kind.startswith(("DECIMAL", "FLOAT", "DOUBLE")) else kind.lower()
-        for kind in kinds
-        if kind != "VOID"
-    }
-    if families == {"bigint", "double"}:
+def family(kind: T.DataType) -> str:
+    """The type a column of JSON values is staged as: 64-bit integer, double, boolean or text."""
+    if isinstance(kind, T.IntegralType):
+        return "bigint"
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
         return "double"
-    return families.pop() if len(families) == 1 and families <= {"bigint", "double", "boolean"} else "string"
+    return "boolean" if isinstance(kind, T.BooleanType) else "string"

@@ -7,14 +7,17 @@ numeric column fails the job instead of becoming NULL.
 from __future__ import annotations
 
 import csv
+import re
+import uuid
 from collections.abc import Callable
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.conversion import NUMBER, nan_to_null, null_tokens, text_to, wider_kind
+from ledgerlens.functions.conversion import NUMBER, family, nan_to_null, null_tokens, text_to
+from ledgerlens.operators.sizing import delete_on_exit, reliable_dir
 from ledgerlens.sources.specs import SourceSpec
 
 _LINE = "_source_line"
@@ -170,20 +173,34 @@ def _typed_by_family(text: DataFrame, names: list[str]) -> list[Column]:
     return columns
 
 
+_COMPLAINT = "Not exactly one JSON array of records: "
+
+
 def _records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the JSON documents: a map from name to variant.
+    """record (a variant), file: one row per element of the JSON documents.
 
     Each document must be one array. It is parsed within an array of our own, whose last element is empty: text after
     it, a second array, a surplus bracket or an empty document then shows in the outer size. What cannot be parsed is
-    NULL. Either fails the job.
+    NULL. Either fails the job, and so does an element that is null.
     """
     document = F.concat(F.lit("["), F.col("value"), F.lit(",[]]"))
-    parsed = F.from_json(document, "array<array<map<string,variant>>>")
-    complaint = F.concat(F.lit("Not exactly one JSON array of records: "), F.col("_metadata.file_path"))
-    whole = spark.read.text(path, wholetext=True).select(parsed.alias("arrays"), complaint.alias("complaint"))
-    faulty = F.col("arrays").isNull() | (F.size("arrays") != 2) | F.col("arrays")[0].isNull() | F.exists(F.col("arrays")[0], lambda record: record.isNull())
-    checked = F.when(faulty, F.raise_error(F.col("complaint")).cast("array<map<string,variant>>")).otherwise(F.col("arrays")[0])
-    return whole.select(F.explode(checked).alias("record"))
+    parsed = F.from_json(document, "array<array<variant>>")
+    whole = spark.read.text(path, wholetext=True).select(parsed.alias("arrays"), F.col("_metadata.file_path").alias("file"))
+    complaint = F.concat(F.lit(_COMPLAINT), F.col("file"))
+    faulty = F.col("arrays").isNull() | (F.size("arrays") != 2) | F.col("arrays")[0].isNull() | F.exists(F.col("arrays")[0], F.is_variant_null)
+    checked = F.when(faulty, F.raise_error(complaint).cast("array<variant>")).otherwise(F.col("arrays")[0])
+    return whole.select(F.explode(checked).alias("record"), "file")
+
+
+def _kept_records(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """(records, merged schema of all): the documents are parsed once, into a scratch table that can be read split, and the
+    schema is merged by the same job."""
+    folder = f"{reliable_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
+    delete_on_exit(spark, folder)
+    records, seen = _records(spark, path), Observation()
+    merged = F.schema_of_variant_agg("record").alias("schema")
+    records.observe(seen, merged).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(records.schema).parquet(folder), seen.get["schema"]
 
 
 def _empty_files(spark: SparkSession, path: str) -> list[str]:
@@ -194,32 +211,59 @@ def _empty_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(file.toString() for file in empty if not file.getName().startswith(("_", ".")))
 
 
+_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
+
+
+def _member(name: str, kind: str) -> Column:
+    """A member of a record, whatever characters its name has; NULL where its value is not of that kind."""
+    for quote in "'\"":
+        if quote not in name:
+            return F.try_variant_get("record", f"$[{quote}{name}{quote}]", kind)
+    return F.try_variant_get(F.variant_get("record", "$", "map<string,variant>")[F.lit(name)], "$", kind)
+
+
+def _kinds(spark: SparkSession, records: DataFrame, merged: str) -> dict[str, str]:
+    """Names of all members in order, each with the type that takes all its values.
+
+    Members whose kinds do not merge are looked at once more, since an object or an array must not pass for text.
+    """
+    if merged == "VOID":  # no record at all
+        return {}
+    if not merged.startswith("OBJECT<"):
+        others = records.where(~F.schema_of_variant("record").startswith("OBJECT<")).select("file").distinct().orderBy("file").limit(10)
+        raise ValueError(_COMPLAINT + ", ".join(row["file"] for row in others.collect()))
+    layout = T.StructType.fromDDL(f"record {_OBJECT.sub(lambda m: 'STRUCT<' if m[0] == 'OBJECT<' else m[0], merged)}")["record"].dataType
+    mixed = [field.name for field in layout if isinstance(field.dataType, T.VariantType)]
+    nested = {field.name for field in layout if isinstance(field.dataType, (T.StructType, T.ArrayType))}
+    if mixed:
+        deep = [F.bool_or(F.schema_of_variant(_member(name, "variant")).rlike("^(OBJECT|ARRAY)<")) for name in mixed]
+        nested |= {name for name, found in zip(mixed, records.agg(*deep).first(), strict=True) if found}
+    if nested:
+        raise TypeError(f"nested column {min(nested)} cannot be staged")
+    return {field.name: family(field.dataType) for field in sorted(layout, key=lambda field: field.name)}
+
+
 def _read_json(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
-    """Two passes over the documents: names and kinds of values first, then the values."""
+    """One pass over the documents; their records are kept in the shared scratch folder until the driver ends."""
     empty = _empty_files(spark, path)
     if empty:
-        raise ValueError(f"Not exactly one JSON array of records: {', '.join(empty[:10])}")
-    records = _records(spark, path)
-    value = F.explode("record").alias("name", "value")
-    kinds = records.select(value).select("name", F.schema_of_variant("value").alias("kind")).groupBy("name").agg(F.collect_set("kind").alias("kinds"))
-    found = {row["name"]: wider_kind(row["name"], row["kinds"]) for row in kinds.orderBy("name").collect()}
+        raise ValueError(_COMPLAINT + ", ".join(empty[:10]))
+    records, merged = _kept_records(spark, path)
+    found = _kinds(spark, records, merged)
     bound, others = _bound(spec, list(found))
     alike = sorted(name for name in found if [other.lower() for other in found].count(name.lower()) > 1)
     if alike:
         raise ValueError(f"Columns that differ only in letter case: {', '.join(alike)}")
 
-    def text(name: str) -> Column:
-        return F.try_variant_get(F.col("record")[F.lit(name)], "$", "string")
-
     columns = []
     for field in spec.declared:
-        cell = text(bound[field.name]) if field.name in bound else F.lit(None).cast("string")
+        cell = _member(bound[field.name], "string") if field.name in bound else F.lit(None).cast("string")
         if isinstance(field.dataType, T.DoubleType):
             cell = F.nullif(cell, F.lit("NaN"))
         columns.append(text_to(field, cell).alias(field.name))
     for name in others:
-        value = F.try_variant_get(F.col("record")[F.lit(name)], "$", found[name])
-        columns.append((nan_to_null(value) if found[name] == "double" else value).alias(name))
+        own = _member(name, found[name])
+        columns.append((nan_to_null(own) if found[name] == "double" else own).alias(name))
     return records.select(*columns)
 
 

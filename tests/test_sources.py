@@ -285,6 +285,40 @@ def test_kinds_of_one_column_are_widened_over_all_documents(prices):
     assert sorted(map(tuple, df.select("n", "x", "t").collect()), key=str) == [(1, 1.0, "1"), (None, 0.5, "a")]
 
 
+def test_names_with_any_characters(prices):
+    names = ["a b", "x.y", "it's", 'say "x"', "both ' and \"", "back`tick", "OBJECT<", "[0]", "", "ä"]
+    df = prices([{name: i for i, name in enumerate(names)} | {"product_code": "p"}, {"product_code": "q"}])
+    rows = {row.product_code: row for row in df.collect()}
+    assert {name: rows["p"][name] for name in names} == {name: i for i, name in enumerate(names)}
+    assert all(rows["q"][name] is None for name in names)
+    assert {dict(df.dtypes)[name] for name in names} == {"bigint"}
+
+
+@pytest.mark.parametrize("values", [[1, True], [1, "a"], ["a", None, 0.5], [None], [True, "x"], [None, None]])
+def test_kinds_that_do_not_merge_are_text(prices, values):
+    df = prices([{"product_code": str(i), "mixed": value} for i, value in enumerate(values)])
+    assert dict(df.dtypes)["mixed"] == "string"
+    shown = {None: None, True: "true"}
+    assert [r.mixed for r in df.orderBy("product_code").collect()] == [shown.get(v, str(v)) if v != 1 or v is True else "1" for v in values]
+
+
+def test_large_and_small_numbers_are_doubles(prices):
+    df = prices('[{"n": 123456789012345678901234567890}, {"n": 1}, {"n": 0.1}, {"n": 1e300}]')
+    assert dict(df.dtypes)["n"] == "double"
+    assert sorted(r.n for r in df.collect()) == [0.1, 1.0, 1.2345678901234568e29, 1e300]
+
+
+def test_a_name_twice_in_a_record_is_rejected(prices):
+    with pytest.raises(PySparkException, match="Not exactly one JSON array of records: .*part-1"):
+        prices([{"product_code": "a"}], '[{"product_code": "a", "product_code": "b"}]')
+
+
+def test_documents_are_parsed_once(prices):
+    df = prices([{"product_code": str(i)} for i in range(100)])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan text" not in plan and "from_json" not in plan
+
+
 def test_price_names_are_bound_without_regard_to_case(prices):
     assert prices([{"Product_Code": "a"}]).first().product_code == "a"
 
