@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-LANES = 64
+from pyspark.sql import types as T
 
 
 def ranked_top(base: DataFrame, k: int = 5) -> DataFrame:
@@ -30,25 +29,28 @@ def join_top_flag(base: DataFrame, top: DataFrame) -> DataFrame:
     )
 
 
-def rank_top_flag(base: DataFrame, k: int = 5, lanes: int = LANES) -> DataFrame:
-    """The same flag without reading `base` twice and without one task per month.
+def month_thresholds(base: DataFrame, k: int = 5) -> DataFrame:
+    """(month, lowest): usage of the k-th row of each month that has so many, so one row per calendar month at most.
+
+    Every task sends on k rows a month, however many are tied. The other columns only order ties, which leaves the
+    usage as it is; that they are needed lets Spark read the sums from the same exchange as whoever else does.
+    """
+    ties = [field.name for field in base.schema if field.name not in ("month", "usage_amount") and isinstance(field.dataType, T.AtomicType)]
+    order = Window.partitionBy("month").orderBy(F.desc_nulls_last("usage_amount"), *ties)
+    kth = base.withColumn("_row", F.row_number().over(order)).where(F.col("_row") == k)
+    return kth.select("month", F.col("usage_amount").alias("lowest"))
+
+
+def rank_top_flag(base: DataFrame, k: int = 5) -> DataFrame:
+    """The same flag by comparison with the k-th usage of the month, ties included.
 
-    Products of a month are spread over lanes and ranked there. The first k rows of each lane meet in a second
-    ranking, at most k * lanes per month however many are tied. Their ranks are exact up to k: whoever is ahead
-    of such a row and did not come along is behind k others of its lane that are ahead as well. A row tied with
-    its lane's k-th gets the answer of that row, within the lane.
+    A month that has fewer than k rows, or whose k-th row has NULL usage, has no threshold: all its rows lead. The
+    thresholds are broadcast: no table has more of them than the calendar has months (12 bytes each, 120,000 in the
+    years 1 to 9999). So `base` is shuffled neither for the ranking nor for the flag.
     """
-    by_usage = F.desc_nulls_last("usage_amount")
-    lane = Window.partitionBy("month", "_lane").orderBy(by_usage)
-    heat = Window.partitionBy("month", "_heat").orderBy(by_usage)
-    tied = Window.partitionBy("month", "_lane", "usage_amount")
-    first = F.col("_heat") == -1
+    thresholds = F.broadcast(month_thresholds(base, k).withColumnRenamed("month", "_month"))
+    # Null-safe, since a filter on NULL months would reach only one of the two readers of the sums.
+    joined = base.join(thresholds, base["month"].eqNullSafe(F.col("_month")), "left")
     named = F.col("month").isNotNull() & F.col("product_code").isNotNull()
-    return (
-        base.withColumn("_lane", F.pmod(F.xxhash64("product_code"), F.lit(lanes)))
-        .withColumns({"_lane_rank": F.rank().over(lane), "_lane_row": F.row_number().over(lane)})
-        .withColumn("_heat", F.when(F.col("_lane_row") <= k, F.lit(-1)).otherwise(F.col("_lane")))
-        .withColumn("_hit", first & (F.rank().over(heat) <= k))
-        .withColumn("_hit", F.max("_hit").over(tied) & (F.col("_lane_rank") <= k))
-        .select(*base.columns, (named & F.col("_hit")).alias("is_top5"))
-    )
+    leads = F.col("lowest").isNull() | F.coalesce(F.col("usage_amount") >= F.col("lowest"), F.lit(False))
+    return joined.select(*[base[name] for name in base.columns], (named & leads).alias("is_top5"))

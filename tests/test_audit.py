@@ -65,10 +65,10 @@ def test_null_product_takes_a_rank_but_gets_no_flag(base):
     assert top(ranking.rank_top_flag(base(rows))) == {"p0", "p1", "p2", "p3"}
 
 
-@pytest.mark.parametrize("lanes", [1, 2, 64])
-@pytest.mark.parametrize("k", [1, 5])
-def test_flag_equals_join_and_brute_force(base, lanes, k):
-    rng = random.Random(7 * k + lanes)
+@pytest.mark.parametrize("seed", [1, 2, 64])
+@pytest.mark.parametrize("k", [1, 5, 40, 41])
+def test_flag_equals_join_and_brute_force(base, seed, k):
+    rng = random.Random(7 * k + seed)
     rows = [
         (month, None if i == 0 else f"p{i}", rng.choice([None, *map(float, range(12))]), 1.0, 1.0)
         for month in (None, JAN, FEB, MAR)
@@ -81,25 +81,33 @@ def test_flag_equals_join_and_brute_force(base, lanes, k):
             if product is not None and sum(other > amount for _, other in here) < k:
                 expected.add((month, product))
     df = base(rows)
-    by_rank = ranking.rank_top_flag(df, k, lanes)
+    by_threshold = ranking.rank_top_flag(df, k)
     by_join = ranking.join_top_flag(df, ranking.top_products(df, k))
-    for flagged in (by_rank, by_join):
+    for flagged in (by_threshold, by_join):
         assert flagged.count() == len(rows)
         assert {(r.month, r.product_code) for r in flagged.where("is_top5").collect()} == expected
 
 
+def test_usage_that_is_not_a_number_ranks_first(base):
+    rows = ranked(5) + [(JAN, "nan", float("nan"), 1.0, 1.0), (JAN, "also", float("nan"), 1.0, 1.0)]
+    df = base(rows)
+    assert top(ranking.rank_top_flag(df)) == {"nan", "also", "p0", "p1", "p2"}
+    assert top(ranking.join_top_flag(df, ranking.top_products(df))) == {"nan", "also", "p0", "p1", "p2"}
+
+
 def test_products_that_are_all_tied_do_not_meet_in_one_task(spark):
-    """100,000 products of a month with one usage: all lead, and no window gets more than a lane's share of them."""
-    ties = spark.range(100_000).select(
-        F.lit(JAN).alias("month"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("product_code"), F.lit(7.0).alias("usage_amount"),
+    """100,000 products of a month with one usage: all lead, and the window gets k rows of each task."""
+    ties = spark.range(0, 100_000, 1, 8).select(
+        F.date_add(F.lit(JAN), (F.col("id") % 1).cast("int")).alias("month"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("product_code"), F.lit(7.0).alias("usage_amount"),
         F.lit(1.0).alias("net_cost"), F.lit(1.0).alias("gross_cost"),
     )
     flagged = ranking.rank_top_flag(ties)
     assert flagged.where("is_top5").count() == 100_000
-    meeting = flagged._jdf.queryExecution().optimizedPlan().toString()
-    assert meeting.count("Window") == 3
-    lanes = ties.groupBy(F.pmod(F.xxhash64("product_code"), F.lit(ranking.LANES))).count().agg(F.max("count")).first()[0]
-    assert lanes < 2 * 100_000 / ranking.LANES
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    below = plan[plan.index("Exchange hashpartitioning(month") :].splitlines()
+    assert any("row_number(), 5, Partial" in line for line in below[1:3])
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_discount_tiers(base):

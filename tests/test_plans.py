@@ -58,9 +58,16 @@ def test_no_python_and_no_nested_loops(staged):
             assert node not in plan(df), (name, node)
 
 
+def final(df):
+    """The plan as it was run, in which an exchange that is read twice shows its input once."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
 def test_each_job_reads_billing_once(staged):
     for name, df in jobs(staged).items():
-        scans = len(re.findall(r"FileScan parquet .*usage_amount|FileScan parquet .*service_code", plan(df)))
+        scans = len(re.findall(r"FileScan parquet .*usage_amount|FileScan parquet .*service_code", final(df)))
         assert scans == (0 if name == "dq_prices" else 1), name
 
 
@@ -69,7 +76,12 @@ def test_gross_cost_does_not_shuffle_when_prices_fit(staged):
 
 
 def test_no_broadcast_beyond_the_limit(staged):
-    assert "BroadcastExchange" not in plan(jobs(staged)["audit_shuffled"])
+    usage = matching.billing_with_gross_cost(*(staged[name] for name in ("billing", "prices", "factors")), broadcast_limit=0, factor_limit=0)
+    assert "BroadcastExchange" not in plan(usage)
+    # The audit of it adds the thresholds, a row per month.
+    text = plan(jobs(staged)["audit_shuffled"])
+    assert text.count("BroadcastExchange") == 1
+    assert "AS lowest" in text[text.index("BroadcastExchange") :].splitlines()[1]
 
 
 def test_prices_beyond_their_limit_do_not_shuffle_on_units(staged):
@@ -98,10 +110,11 @@ def test_top_products_limits_inside_tasks(staged):
     assert "Partial" in plan(ranking.top_products(base)).split("WindowGroupLimit")[-1].splitlines()[0]
 
 
-def test_month_ranking_is_spread_over_lanes(staged):
-    text = plan(jobs(staged)["audit"])
-    assert re.search(r"Exchange hashpartitioning\(month#\d+, _lane#", text)
-    assert not re.search(r"Exchange hashpartitioning\(month#\d+, \d+\)", text)
+def test_audit_shuffles_the_sums_once(staged):
+    text = final(jobs(staged)["audit"])
+    sums = [line for line in text.splitlines() if re.search(r"Exchange hashpartitioning\(month#\d+, product_code", line)]
+    assert sorted("ReusedExchange" in line for line in sums) == [False, True]
+    assert re.search(r"WindowGroupLimit .*row_number\(\), 5, Partial", text)
 
 
 @pytest.fixture
