@@ -51,8 +51,8 @@ def open_database(spark: SparkSession, config: PipelineConfig) -> None:
 def build_dq_tables(spark: SparkSession, config: PipelineConfig) -> None:
     open_database(spark, config)
     reports = {
-        specs.BILLING_DQ_TABLE: dq_billing(spark.table(config.table(specs.BILLING_TABLE))),
-        specs.PRICE_DQ_TABLE: dq_prices(spark.table(config.table(specs.PRICE_TABLE))),
+        specs.BILLING_DQ_TABLE: dq_billing(read_table(spark, config.table(specs.BILLING_TABLE))),
+        specs.PRICE_DQ_TABLE: dq_prices(read_table(spark, config.table(specs.PRICE_TABLE))),
     }
     for name, report in reports.items():
         replace_table(report, config.table(name))
@@ -61,14 +61,14 @@ def build_dq_tables(spark: SparkSession, config: PipelineConfig) -> None:
 def build_result_tables(spark: SparkSession, config: PipelineConfig) -> None:
     """Gross-cost table first; the audit reads it back, so the join runs once."""
     open_database(spark, config)
-    billing = spark.table(config.table(specs.BILLING_TABLE))
-    prices = spark.table(config.table(specs.PRICE_TABLE))
+    billing = read_table(spark, config.table(specs.BILLING_TABLE))
+    prices = read_table(spark, config.table(specs.PRICE_TABLE))
     factors = config.unit_factors
     if factors is None:
-        factors = spark.table(config.table(specs.UNIT_FACTOR_TABLE))
+        factors = read_table(spark, config.table(specs.UNIT_FACTOR_TABLE))
     gross_table = config.table(specs.GROSS_COST_TABLE)
     replace_table(billing_with_gross_cost(billing, prices, factors, config.broadcast_limit), gross_table)
-    audit = cost_audit(spark.table(gross_table), config.top_k, config.discounts)
+    audit = cost_audit(read_table(spark, gross_table), config.top_k, config.discounts)
     replace_table(audit, config.table(specs.COST_AUDIT_TABLE))
     replace_table(service_growth(billing), config.table(specs.SERVICE_GROWTH_TABLE))
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from pathlib import Path
 
@@ -409,7 +411,7 @@ def test_second_load_replaces_days_and_schema(spark, database):
 
 def test_a_failed_load_leaves_the_old_table(spark, database):
     sinks.replace_table(spark.range(3), f"{database}.t")
-    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(F.col("id")).alias("id"), F.lit(1).alias("n"))
     for partition_by in (None, "id"):
         with pytest.raises(PySparkException, match="boom"):
             sinks.replace_table(broken, f"{database}.t", partition_by)
@@ -423,7 +425,121 @@ def test_a_failed_load_leaves_the_old_table(spark, database):
     assert spark.table(f"{database}.t").count() == 3
     sinks.replace_table(spark.range(5), f"{database}.t")
     assert spark.table(f"{database}.t").count() == 5
-    assert [p.name for p in home.iterdir()] == ["v00000010"]
+    # A version that is not finished may be the work of another writer, unless it is old.
+    assert versions(home) == ["v00000001", "v00000009", "v00000010"]
+    os.utime(home / "v00000009", (1, 1))
+    (home / "v00000004.claim").touch()
+    os.utime(home / "v00000004.claim", (1, 1))
+    sinks.replace_table(spark.range(6), f"{database}.t")
+    assert versions(home) == ["v00000010", "v00000011"]
+
+
+def versions(home):
+    return sorted(p.name for p in home.iterdir())
+
+
+def home_of(spark, database, table="t"):
+    return Path(spark.catalog.getDatabase(database).locationUri.removeprefix("file:")) / table
+
+
+def test_interleaved_writers_keep_apart(spark, database, monkeypatch):
+    """The second writer starts and ends while the first one writes; then the other way round."""
+    table, write = f"{database}.t", sinks.write_parquet
+    sinks.replace_table(spark.range(1), table)
+
+    def writes_after_another(df, path):
+        monkeypatch.setattr(sinks, "write_parquet", write)
+        sinks.replace_table(spark.range(20), table)
+        assert sinks.read_table(spark, table).count() == 20
+        write(df, path)
+
+    monkeypatch.setattr(sinks, "write_parquet", writes_after_another)
+    sinks.replace_table(spark.range(10), table)
+    # The first had claimed the lower number, as if it had been replaced by the second right away.
+    assert sinks.read_table(spark, table).count() == 20
+    home = home_of(spark, database)
+    assert versions(home) == ["v00000002", "v00000003"]
+    assert spark.read.parquet(str(home / "v00000002")).count() == 10
+    sinks.replace_table(spark.range(30), table)
+    assert sinks.read_table(spark, table).count() == 30
+    assert versions(home) == ["v00000003", "v00000004"]
+
+
+def test_writers_in_threads_all_finish(spark, database):
+    table = f"{database}.t"
+    sinks.replace_table(spark.range(1), table)
+    home = str(home_of(spark, database))
+    claims = ThreadPoolExecutor(4).map(lambda _: sinks._claim(spark, home), range(8))
+    assert len(claimed := set(claims)) == 8 and min(claimed) == 2
+    sinks.replace_table(spark.range(2), table)
+    assert sinks.read_table(spark, table).count() == 2
+    assert "v00000010" in versions(Path(home))
+
+
+@pytest.mark.parametrize("partition_by", [None, "day"])
+def test_an_open_reader_reads_on_after_a_replace(spark, database, partition_by):
+    table = f"{database}.t"
+    rows = spark.range(30).select("id", (F.col("id") % 3).cast("int").alias("day"))
+    sinks.replace_table(rows, table, partition_by)
+    opened, files = sinks.read_table(spark, table), spark.read.parquet(str(home_of(spark, database) / "v00000001"))
+    assert opened.count() == 30
+    sinks.replace_table(rows.where("id < 10"), table, partition_by)
+    assert opened.count() in (30, 10)  # partitions are looked up in the catalog, files of a folder are not
+    assert files.count() == 30
+    if partition_by is None:
+        assert opened.count() == 30
+    assert sinks.read_table(spark, table).count() == 10
+
+
+def test_a_session_sees_what_another_has_replaced(spark, database):
+    """Two catalogs on one location, as two processes have them."""
+    location = spark.catalog.getDatabase(database).locationUri
+    other = f"{database}_other"
+    sinks.replace_table(spark.range(3), f"{database}.t")
+    sinks.create_database(spark, other, location)
+    try:
+        assert sinks.read_table(spark, f"{other}.t").count() == 3
+        for n in (4, 5, 6):
+            sinks.replace_table(spark.range(n).selectExpr("id", "id AS more"), f"{other}.t")
+        assert sinks.read_table(spark, f"{database}.t").columns == ["id", "more"]
+        assert sinks.read_table(spark, f"{database}.t").count() == 6
+        sinks.replace_table(spark.range(7).selectExpr("id", "1 AS day"), f"{other}.t", partition_by="day")
+        sinks.create_database(spark, database, location)
+        assert spark.table(f"{database}.t").count() == 7
+        assert spark.table(f"{database}.t").where("day = 1").count() == 7
+    finally:
+        spark.sql(f"DROP DATABASE {other} CASCADE")
+
+
+def test_a_partitioned_load_reads_its_input_once(spark, database, tmp_path):
+    """Every row that is read is counted, in any job of the load."""
+    spark.range(5000).select(F.date_add(F.lit(RUN_DATE), (F.col("id") % 20).cast("int")).alias("start_date"), "id").write.parquet(str(tmp_path / "in"))
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(str(tmp_path / "in"))
+    sinks.replace_table(df.mapInArrow(count, df.schema), f"{database}.t", partition_by="start_date")
+    assert spark.table(f"{database}.t").count() == 5000
+    assert read.value == 5000
+
+
+def test_partitions_of_a_load_follow_the_files(spark, tmp_path):
+    df = spark.range(200_000).select((F.col("id") % 7).alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    path = tmp_path / "a b%20c"
+    df.write.partitionBy("day").parquet(str(path))
+    files = [file for file in path.rglob("*.parquet")]
+    stored = spark.read.parquet(str(path))
+    size = sum(file.stat().st_size for file in files)
+    assert sinks._file_bytes(spark, stored.inputFiles()) == size
+    plan = sinks._balanced(stored, "day")._jdf.queryExecution().analyzed().toString()
+    wanted = -(-16 * size // (64 * 1024))  # the tests' advised size
+    assert f"RebalancePartitions [day#" in plan and f", {wanted}" in plan.splitlines()[0]
+    plain = sinks._balanced(spark.createDataFrame([(1,)], "day int"), "day")._jdf.queryExecution().analyzed().toString()
+    assert f", {spark.conf.get('spark.sql.shuffle.partitions')}" in plain.splitlines()[0]
 
 
 def test_a_table_may_be_replaced_from_itself(spark, database):
