@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import Workspace, arrow_schema, byte_texts, documents, record_batch, runs
 from ledgerlens.llm.tokens import encoder, text_slices
 
-#: Tokens of the first tokenizer in a block: larger blocks mean fewer dictionary rows.
+#: Tokens of the first tokenizer after which a block ends: larger blocks mean fewer dictionary rows.
 BLOCK_TOKENS = 1 << 21
 
 _BLOCKS = (
@@ -72,20 +72,12 @@ def piece_tokens(processor) -> list[bytes]:
     return [bytes([int(p[1:-1], 16)]) if processor.is_byte(id_) else p.replace("▁", " ").encode() for id_, p in enumerate(pieces)]
 
 
-def token_groups(a: np.ndarray, ends_a: list[int], b: np.ndarray, ends_b: list[int]) -> list:
-    """Slices of both id lists between common ends: a `PAIR` number where both slices are one id, a pair of tuples
-    otherwise. Both sides cover the same bytes, and no token is empty."""
-    at_a, at_b = dict(zip(ends_a, range(1, len(a) + 1), strict=True)), dict(zip(ends_b, range(1, len(b) + 1), strict=True))
+def common_ends(ends_a: list[int], ends_b: list[int], before_a: int = 0, before_b: int = 0) -> tuple[list[int], list[int]]:
+    """Places behind the tokens at whose ends both sides of a text end, in order; places count from `before_a` and `before_b`."""
+    at_a = dict(zip(ends_a, range(before_a + 1, before_a + len(ends_a) + 1), strict=True))
+    at_b = dict(zip(ends_b, range(before_b + 1, before_b + len(ends_b) + 1), strict=True))
     common = sorted(at_a.keys() & at_b.keys())
-    to_a, to_b = (np.fromiter(map(at.__getitem__, common), dtype=np.int64, count=len(common)) for at in (at_a, at_b))
-    from_a, from_b = (np.concatenate([[0], to])[:-1] for to in (to_a, to_b))
-    groups = (a[from_a] * PAIR + b[from_b]).tolist()
-    several = np.flatnonzero((to_a - from_a > 1) | (to_b - from_b > 1))
-    if len(several):
-        ids_a, ids_b = tuple(a.tolist()), tuple(b.tolist())
-        for g, i, k, j, m in zip(*(of.tolist() for of in (several, *(at[several] for at in (from_a, to_a, from_b, to_b)))), strict=True):
-            groups[g] = ids_a[i:k], ids_b[j:m]
-    return groups
+    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
 def group_ids(group) -> tuple[tuple[int, ...], tuple[int, ...]]:
@@ -122,44 +114,110 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return reached[ends] - reached[ends - sizes]
 
 
+class Spelling:
+    """Bytes of ids."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = list(map(len, tokens))
+        self.lengths = np.array(self.sizes, dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.every = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def spell(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids one after the other."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[ids] - (ends - lengths), lengths)
+        return self.every[shift + np.arange(len(shift))].tobytes()
+
+    def spells(self, ids: np.ndarray, counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        """Which texts consist of the bytes of their ids."""
+        spelled, stops = self.spell(ids), np.cumsum(sums(self.lengths[ids], counts)).tolist()
+        return np.array([spelled[low:high] == text for low, high, text in zip([0, *stops], stops, texts, strict=False)], dtype=bool)
+
+
 class _Block:
     """Documents of a block, its groups and its pairs, by numbers."""
 
-    def __init__(self, number: int, size_a: list[int], size_b: list[int]):
-        self.number, self.size_a, self.size_b = number, size_a, size_b
-        self.rows: list[tuple] = []
+    def __init__(self, number: int, a: Spelling, b: Spelling):
+        self.number, self.a, self.b = number, a, b
+        self.doc_ids: list[int | None] = []
+        self.figures: list[np.ndarray] = []
+        self.digests: list[str] = []
         self.groups, self.pairs = _Numbers(), _Numbers()
         self.texts: list[bytes] = []
         self.links: list[list[int]] = []
         self.used: list[np.ndarray] = []
+        #: Groups of one id on each side, sorted, with their numbers.
+        self.known = self.known_numbers = np.empty(0, dtype=np.int64)
         self.tokens = 0
 
-    def add(self, doc_id: int | None, a: np.ndarray, ends_a: list[int], b: np.ndarray, ends_b: list[int]) -> None:
-        own = list(map(self.groups.__getitem__, token_groups(a, ends_a, b, ends_b)))
+    def _single(self, groups: np.ndarray) -> np.ndarray:
+        """Numbers of groups that are one id on each side."""
+        if len(self.known):
+            fresh = np.unique(groups[self.known[np.minimum(np.searchsorted(self.known, groups), len(self.known) - 1)] != groups])
+        else:
+            fresh = np.unique(groups)
+        if len(fresh):
+            known = np.concatenate([self.known, fresh])
+            numbers = np.concatenate([self.known_numbers, np.array([self.groups[group] for group in fresh.tolist()], dtype=np.int64)])
+            order = np.argsort(known)
+            self.known, self.known_numbers = known[order], numbers[order]
+        return self.known_numbers[np.searchsorted(self.known, groups)]
+
+    def _numbered(self, ids_a: np.ndarray, to_a: np.ndarray, ids_b: np.ndarray, to_b: np.ndarray) -> np.ndarray:
+        """Numbers of the groups that end at given places of both sides."""
+        from_a, from_b = (np.concatenate([[0], to])[:-1] for to in (to_a, to_b))
+        one = (to_a - from_a == 1) & (to_b - from_b == 1)
+        numbers = np.empty(len(one), dtype=np.int64)
+        numbers[one] = self._single(ids_a[from_a[one]] * PAIR + ids_b[from_b[one]])
+        if not one.all():
+            of_a, of_b = tuple(ids_a.tolist()), tuple(ids_b.tolist())
+            bounds = zip(*(at[~one].tolist() for at in (from_a, to_a, from_b, to_b)), strict=True)
+            numbers[~one] = [self.groups[of_a[i:k], of_b[j:m]] for i, k, j, m in bounds]
         for left, right in map(group_ids, self.groups.names[len(self.links) :]):
-            self.links.append([self.pairs[x * PAIR + y] for x, y in group_links(left, right, self.size_a, self.size_b)])
+            self.links.append([self.pairs[x * PAIR + y] for x, y in group_links(left, right, self.a.sizes, self.b.sizes)])
             self.texts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}".encode())
-        digest = hashlib.sha256(b";".join(map(self.texts.__getitem__, own))).hexdigest() if own else ""
-        self.rows.append((doc_id, len(a), len(b), len(own), digest))
-        self.used.append(np.array(own, dtype=np.uint32))
-        self.tokens += len(a)
+        return numbers
+
+    def add(self, doc_ids: list[int | None], texts: list[bytes], ids_a: np.ndarray, counts_a: np.ndarray, ids_b: np.ndarray, counts_b: np.ndarray) -> None:
+        """Texts, each with the space before it, and the ids that both sides give them."""
+        same = self.a.spells(ids_a, counts_a, texts) & self.b.spells(ids_b, counts_b, texts) & np.array([len(text) > 1 for text in texts])
+        ids_a, ids_b = ids_a[np.repeat(same, counts_a)], ids_b[np.repeat(same, counts_b)]
+        counts_a, counts_b = counts_a * same, counts_b * same
+        # Texts without tokens are gone, so both sides reach the same bytes, counted from the first text on.
+        ends_a, ends_b = (np.cumsum(side.lengths[ids]).tolist() for side, ids in ((self.a, ids_a), (self.b, ids_b)))
+        to_a, to_b, stops, i, j = [], [], [], 0, 0
+        for k, m in zip(np.cumsum(counts_a).tolist(), np.cumsum(counts_b).tolist(), strict=True):
+            own_a, own_b = common_ends(ends_a[i:k], ends_b[j:m], i, j)
+            to_a += own_a
+            to_b += own_b
+            stops.append(len(to_a))
+            i, j = k, m
+        numbers = self._numbered(ids_a, np.array(to_a, dtype=np.int64), ids_b, np.array(to_b, dtype=np.int64))
+        names = list(map(self.texts.__getitem__, numbers.tolist()))
+        self.digests += [hashlib.sha256(b";".join(names[low:high])).hexdigest() if high > low else "" for low, high in zip([0, *stops], stops, strict=False)]
+        self.doc_ids += doc_ids
+        self.figures.append(np.array([counts_a, counts_b, np.diff(stops, prepend=0)]))
+        self.used.append(numbers.astype(np.uint32))
+        self.tokens += len(ids_a)
 
     def columns(self) -> dict[str, list]:
-        doc_ids, n_a, n_b, n_groups, digests = zip(*self.rows, strict=True)
+        n_a, n_b, n_groups = np.concatenate(self.figures, axis=1)
         groups = np.concatenate(self.used)
         times = np.bincount(groups, minlength=len(self.links))
         sizes = np.fromiter(map(len, self.links), dtype=np.int64, count=len(self.links))
-        pairs = np.fromiter((pair for links in self.links for pair in links), dtype=np.int64, count=int(sizes.sum()))
+        pairs = np.fromiter(chain.from_iterable(self.links), dtype=np.int64, count=int(sizes.sum()))
         counts = np.zeros(len(self.pairs), dtype=np.int64)
         np.add.at(counts, pairs, np.repeat(times, sizes))
         return {
             "block": [self.number],
-            "doc_ids": [list(doc_ids)],
+            "doc_ids": [self.doc_ids],
             "n_a": [_packed(n_a)],
             "n_b": [_packed(n_b)],
             "n_groups": [_packed(n_groups)],
-            "n_links": [_packed(sums(sizes[groups], np.array(n_groups)))],
-            "digests": [list(digests)],
+            "n_links": [_packed(sums(sizes[groups], n_groups))],
+            "digests": [self.digests],
             "groups": [_packed(groups, "<u4")],
             "group_links": [_packed(sizes, "<u4")],
             "link_pairs": [_packed(pairs, "<u4")],
@@ -181,18 +239,8 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_tokens: int
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        encode, bytes_a, bytes_b = encoder(path_a, blanks_dropped=False), byte_level_tokens(path_a), piece_tokens(processor)
-        size_a, size_b = list(map(len, bytes_a)), list(map(len, bytes_b))
-        lengths_a, lengths_b, nothing = np.array(size_a), np.array(size_b), np.empty(0, dtype=np.int64)
-        block = _Block(TaskContext.get().partitionId() << 33, size_a, size_b)
-
-        def sides(ids: np.ndarray, counts: np.ndarray, spelled: list[bytes], lengths: np.ndarray) -> Iterator[tuple]:
-            """Bytes, ids and their cumulative ends, text by text."""
-            names, ends, stops = list(map(spelled.__getitem__, ids.tolist())), np.cumsum(lengths[ids]), np.cumsum(counts)
-            for low, high in zip((stops - counts).tolist(), stops.tolist(), strict=True):
-                before = ends[low - 1] if low else 0
-                yield b"".join(names[low:high]), ids[low:high], (ends[low:high] - before).tolist()
-
+        encode, a, b = encoder(path_a, blanks_dropped=False), Spelling(byte_level_tokens(path_a)), Spelling(piece_tokens(processor))
+        block = _Block(TaskContext.get().partitionId() << 33, a, b)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), byte_texts(batch.column(1))
             for low, high in text_slices(texts):
@@ -201,14 +249,11 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_tokens: int
                 found = processor.encode([text.decode("utf-8", "replace") for text in texts[low:high]], num_threads=1)
                 counts_b = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
                 ids_b = np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(counts_b.sum()))
-                both = zip(sides(ids.astype(np.int64), counts, bytes_a, lengths_a), sides(ids_b, counts_b, bytes_b, lengths_b), strict=True)
-                for doc_id, text, ((joined_a, *side_a), (joined_b, *side_b)) in zip(doc_ids[low:high], spaced, both, strict=True):
-                    aligned = len(text) > 1 and joined_a == text == joined_b
-                    block.add(doc_id, *(side_a + side_b if aligned else (nothing, [], nothing, [])))
-                    if block.tokens >= block_tokens:
-                        yield record_batch(block.columns(), layout)
-                        block = _Block(block.number + 1, size_a, size_b)
-        if block.rows:
+                block.add(doc_ids[low:high], spaced, ids.astype(np.int64), counts, ids_b, counts_b)
+                if block.tokens >= block_tokens:
+                    yield record_batch(block.columns(), layout)
+                    block = _Block(block.number + 1, a, b)
+        if block.doc_ids:
             yield record_batch(block.columns(), layout)
 
     return documents(docs).mapInArrow(align, _BLOCKS)

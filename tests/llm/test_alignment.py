@@ -97,7 +97,9 @@ def test_groups_and_links_of_random_cuts():
                 left -= ids[-1]
             sides.append(ids)
         (a, b), ends = sides, [np.cumsum(ids).tolist() for ids in sides]
-        groups = [alignment.group_ids(g) for g in alignment.token_groups(np.array(a), ends[0], np.array(b), ends[1])]
+        to_a, to_b = alignment.common_ends(*ends)
+        groups = [(a[i:k], b[j:m]) for i, k, j, m in zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)]
+        assert alignment.common_ends(*ends, 7, 9) == ([i + 7 for i in to_a], [i + 9 for i in to_b])
         assert [x for left, _ in groups for x in left] == a and [y for _, right in groups for y in right] == b
         assert len(groups) == len(set(ends[0]) & set(ends[1]))
         links = [link for left, right in groups for link in alignment.group_links(left, right, size, size)]
