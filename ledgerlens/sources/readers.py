@@ -10,14 +10,15 @@ import csv
 import re
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.conversion import NUMBER, family, nan_to_null, null_tokens, text_to
-from ledgerlens.operators.sizing import delete_on_exit, reliable_dir
+from ledgerlens.operators.sizing import checkpointed, delete_on_exit, reliable_dir
 from ledgerlens.sources.specs import SourceSpec
 
 _LINE = "_source_line"
@@ -33,20 +34,25 @@ def _all_text(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines with their file, their order in it, and whether a line that starts outside of quotes ends inside."""
+def _lines(spark: SparkSession, paths: str | list[str], separator: str | None = None) -> DataFrame:
+    """Lines with their file, their order in it, and the state, inside of a quoted field or not, that each ends in: `opens`
+    if it starts outside, `stays` if it starts inside."""
     line = F.col("value")
-    return spark.read.text(paths).where(line != "").select(
+    text = spark.read.text(paths) if separator is None else spark.read.text(paths, lineSep=separator)
+    closes = ~line.rlike(_CLOSES_AND_ENDS_OUTSIDE)
+    return text.select(
         line,
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("begin"),
         F.monotonically_increasing_id().alias("position"),  # follows line order inside a split
         (line.contains('"') & ~line.rlike(_ENDS_OUTSIDE)).alias("opens"),
+        F.when(line.contains('"'), closes).otherwise(F.lit(True)).alias("stays"),
     )
 
 
-def _header_and_files(spark: SparkSession, path: str) -> tuple[list[str], list[str], list[str]]:
-    """Column names, files without a field that spans lines, and files with one, from one splittable pass.
+def _header_and_files(spark: SparkSession, path: str) -> tuple[list[str], list[str], list[str], list[str]]:
+    """Column names, then three lists of files from one splittable pass: those without a field that spans lines, those with
+    one, and those with one whose lines end in a bare carriage return.
 
     If no line of a file, read from outside of quotes, ends inside, then every line starts outside, and the file can be
     split. Any part file may supply the header, since the real read checks all of them against it. One row per file
@@ -54,6 +60,7 @@ def _header_and_files(spark: SparkSession, path: str) -> tuple[list[str], list[s
     """
     files = (
         _lines(spark, path)
+        .where("value <> ''")
         .groupBy("file")
         .agg(
             F.min_by("value", F.when(F.col("begin") == 0, F.col("position"))).alias("header"),
@@ -65,35 +72,104 @@ def _header_and_files(spark: SparkSession, path: str) -> tuple[list[str], list[s
     headers = [row["header"] for row in files if row["header"] is not None]
     if not headers:
         raise ValueError(f"No header in {path}")
-    names = next(csv.reader([headers[0].lstrip("\ufeff")]))
+    names = _cells(headers[0])
     doubled = sorted({name for name in names if [other.lower() for other in names].count(name.lower()) > 1})
     if doubled:
         raise ValueError(f"Columns that occur more than once in the header of {path}: {', '.join(doubled)}")
+    opened = [row for row in files if row["opens"]]
+    for row in opened:
+        if row["header"] is None or _cells(row["header"]) != names:
+            raise ValueError(f"CSV header does not conform to {', '.join(names)}: {row['header']!r} in {unquote(row['file'])}")
     split = [unquote(row["file"]) for row in files if not row["opens"]]
-    return names, split, [unquote(row["file"]) for row in files if row["opens"]]
+    spanning = [unquote(row["file"]) for row in opened]
+    bare = _with_bare_returns(spark, spanning) if spanning else set()
+    return names, split, [file for file in spanning if file not in bare], [file for file in spanning if file in bare]
 
 
-def _require_closed_quotes(spark: SparkSession, paths: list[str]) -> None:
-    """Raises for files that end inside a quoted field, which a parser would read as one long cell.
+def _cells(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff")]))
 
-    A line maps the state before it to the state after it. It may fix the state whatever was before (constant), turn it
-    round, or leave it. So the last state of a file follows from its last constant line and the number of turns
-    after that.
+
+def _with_bare_returns(spark: SparkSession, files: list[str]) -> set[str]:
+    """Files with a carriage return that no line feed follows."""
+    text = spark.read.text(files, lineSep="\n").where(F.col("value").rlike(r"\r(?!\z)"))
+    return {unquote(row["file"]) for row in text.select(F.col("_metadata.file_path").alias("file")).distinct().collect()}
+
+
+def _running(maps: DataFrame, within: list[str], order: str) -> DataFrame:
+    """Adds what the rows before say of the state at a row's start: `known`, the state after the last row that fixes it whatever
+    was before, NULL if none does, and `turned`, whether the rows since then turn it round.
+
+    A row maps the state before it to the state after it: `opens` from outside, `stays` from inside.
+    """
+    here = Window.partitionBy(*within).orderBy(order)
+    fixes, turn = F.col("opens") == F.col("stays"), (F.col("opens") & ~F.col("stays")).cast("int")
+    counted = maps.withColumn("_turns", F.sum(turn).over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    fixed = F.last(F.when(fixes, F.struct("opens", "_turns")), ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, -1))
+    since = F.coalesce(F.lag("_turns").over(here), F.lit(0))
+    found = counted.withColumns({"_fixed": fixed, "_since": since})
+    turned = (F.col("_since") - F.coalesce("_fixed._turns", F.lit(0))) % 2 == 1
+    return found.withColumns({"known": F.col("_fixed.opens"), "turned": turned}).drop("_turns", "_fixed", "_since")
+
+
+def _inside(before: Column | bool) -> Column:
+    """The state at a row's start, given the one before the first row."""
+    return F.coalesce("known", before if isinstance(before, Column) else F.lit(before)) != F.col("turned")
+
+
+_SPLIT = ["file", "begin"]
+
+
+def _split_states(lines: DataFrame) -> DataFrame:
+    """One row per split of a file: `inside`, the state it starts in; `carried`, where the last record before it starts; `header`,
+    where the first record of the file starts; `ends`, the state it ends in.
+
+    The maps of a split's lines are composed to a map of the split, and those of the splits to their states.
     """
-    inside = F.when(F.col("value").contains('"'), ~F.col("value").rlike(_CLOSES_AND_ENDS_OUTSIDE)).otherwise(F.lit(True))
-    lines = _lines(spark, paths).select("file", F.struct("begin", "position").alias("place"), "opens", inside.alias("stays"))
-    constant = F.col("opens") == F.col("stays")
-    fixed = lines.groupBy("file").agg(
-        F.max(F.when(constant, F.col("place"))).alias("last"), F.max_by("opens", F.when(constant, F.col("place"))).alias("state")
+    shown = F.length(F.rtrim("value", F.lit("\r"))) > 0
+    by_start = {}
+    for name, before in (("outside", False), ("within", True)):
+        starts = F.when(~_inside(before) & shown, F.col("position"))
+        after = F.when(_inside(before), F.col("stays")).otherwise(F.col("opens"))
+        by_start[name] = F.struct(F.max(starts).alias("last"), F.min(starts).alias("first"), F.max_by(after, "position").alias("ends"))
+    maps = _running(lines, _SPLIT, "position").groupBy(*_SPLIT).agg(*[column.alias(name) for name, column in by_start.items()])
+    ordered = Window.partitionBy("file").orderBy("begin")
+    states = _running(maps.withColumns({"opens": F.col("outside.ends"), "stays": F.col("within.ends")}), ["file"], "begin")
+    own = F.when(_inside(False), F.col("within")).otherwise(F.col("outside"))
+    return states.select(*_SPLIT, _inside(False).alias("inside"), own.alias("own")).select(
+        *_SPLIT,
+        "inside",
+        F.last("own.last", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"),
+        F.min("own.first").over(Window.partitionBy("file")).alias("header"),
+        F.last("own.ends").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("ends"),
     )
-    after = F.col("last").isNull() | (F.col("place") > F.col("last"))
-    turns = F.count_if(F.col("opens") & ~F.col("stays") & after) % 2 == 1
-    ends = lines.join(fixed, "file").groupBy("file", "state").agg(turns.alias("turned"))
-    broken = ends.where(F.coalesce("state", F.lit(False)) != F.col("turned")).select("file").orderBy("file").limit(10).collect()
+
+
+def _require_closed_quotes(splits: DataFrame) -> None:
+    """Raises for files that end inside a quoted field, which a parser would read as one long cell."""
+    broken = splits.where("ends").select("file").distinct().orderBy("file").limit(10).collect()
     if broken:
         raise ValueError(f"Unclosed quote at the end of {', '.join(unquote(row['file']) for row in broken)}")
 
 
+def _records_over_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """record: text of each record but the header, from files read split.
+
+    A line that starts outside of quotes starts a record; those that start inside continue it, from one split into the
+    next too. States come from a pass that keeps one row per split; then lines move to their split and to their record.
+    """
+    lines = _lines(spark, files, "\n")
+    splits = checkpointed(_split_states(lines))
+    _require_closed_quotes(splits)
+    here = Window.partitionBy(*_SPLIT).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    placed = _running(lines, _SPLIT, "position").join(splits, _SPLIT).withColumn("inside", _inside(F.col("inside")))
+    starts = ~F.col("inside") & (F.length(F.rtrim("value", F.lit("\r"))) > 0)
+    keyed = placed.withColumns({"starts": starts, "record": F.max(F.when(starts, F.col("position"))).over(here)})
+    kept = keyed.where("starts OR inside").withColumn("record", F.coalesce("record", "carried")).where(F.col("record") != F.col("header"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "value"))), lambda line: line["value"]), "\n")
+    return kept.groupBy("record").agg(F.rtrim(text, F.lit("\r")).alias("record_text")).select(F.col("record_text").alias("record"))
+
+
 def _fits_header(names: list[str]) -> Column:
     """True, or a failed job for a record with more fields than the header.
 
@@ -114,25 +190,31 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header as text columns, bound by header name, null tokens removed.
 
     Part files whose header differs from the first one are rejected rather than bound by position, and a file that
-    ends inside a quoted field is rejected. Only files with a field that spans lines are read whole.
+    ends inside a quoted field is rejected. Files with fields that span lines are read split as well, by their records;
+    only such files whose lines end in bare carriage returns are read whole.
     """
-    names, split, whole = _header_and_files(spark, path)
-    if whole:
-        _require_closed_quotes(spark, whole)
+    names, split, spanning, bare = _header_and_files(spark, path)
+    layout = _all_text([*names, _LINE])
+    if bare:
+        _require_closed_quotes(_split_states(_lines(spark, bare)))
 
     def rows(files: list[str] | str, multi_line: bool) -> DataFrame:
         return (
-            spark.read.schema(_all_text([*names, _LINE]))
+            spark.read.schema(layout)
             .options(**_DIALECT, columnPruning=False)  # fields are counted whichever columns a query needs
             .csv(files, header=True, enforceSchema=False, columnNameOfCorruptRecord=_LINE, multiLine=multi_line)
         )
 
-    if not whole:
-        raw = rows(path, False)
-    elif not split:
-        raw = rows(path, True)
-    else:
-        raw = rows(split, False).unionByName(rows(whole, True))
+    parts = []
+    if split:
+        parts.append(rows(split if spanning or bare else path, False))
+    if spanning:
+        options = {**_DIALECT, "columnNameOfCorruptRecord": _LINE, "multiLine": "true"}
+        columns = ", ".join(f"{_quoted(name)} string" for name in layout.fieldNames())
+        parts.append(_records_over_lines(spark, spanning).select(F.from_csv("record", columns, options).alias("cells")).select("cells.*"))
+    if bare:
+        parts.append(rows(bare, True))
+    raw = reduce(DataFrame.unionByName, parts)
     return raw.where(_fits_header(names)).select(*map(null_tokens, names))
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from pathlib import Path
@@ -157,7 +158,7 @@ def test_unclosed_quote_fails_instead_of_swallowing_the_file(csv, tail):
     "cell", ['"a\nb"', '"a ""q""\nb"', '"\n"', '"a\n""\nb"', '"a\n,\n\n""x"",\nb"', '"x"\n1,"y\nz"']
 )
 def test_closed_fields_over_several_lines(csv, cell):
-    rows = csv(f"account_id,product_name\n1,{cell}\n2,d\n").select("account_id", "product_name").collect()
+    rows = csv(f"account_id,product_name\n1,{cell}\n2,d\n").select("account_id", "product_name").orderBy("account_id").collect()
     assert tuple(rows[-1]) == ("2", "d")
     assert rows[0].product_name.strip('"') or cell == '"\n"'
 
@@ -178,7 +179,87 @@ def test_a_quote_inside_a_field_does_not_unsplit_the_read(spark, csv):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_only_files_with_line_breaks_in_fields_are_read_whole(spark, tmp_path):
+def multi_line_text(seed, records, end="\n"):
+    """CSV text with quotes and line breaks in fields, and its records."""
+    rng = random.Random(seed)
+    parts = ["a", "bc", '""', ",", "\n", "\n\n", "é", " ", "\r\n", "1"]
+    rows, text = [], "account_id,product_name,region" + end
+    for i in range(records):
+        quoted = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        plain = "".join(rng.choices(["x", "y", "z", '"', " "], k=rng.randint(1, 5)))
+        plain = "p" + plain
+        if rng.random() < 0.1:
+            quoted += "long " * 300
+        rows.append((f"k{i}", quoted.replace('""', '"') or None, plain))
+        text += f'k{i},"{quoted}",{plain}{end}' + end * (rng.random() < 0.1)
+    return text, rows
+
+
+@pytest.mark.parametrize(("seed", "size", "end"), [(1, "1KB", "\n"), (2, "3KB", "\n"), (3, "2KB", "\r\n"), (4, "128MB", "\n"), (5, "300B", "\n")])
+def test_files_with_fields_over_several_lines_are_read_split(spark, tmp_path, seed, size, end):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    folder = tmp_path / "multi.csv"
+    folder.mkdir()
+    expected = []
+    for part in range(3):
+        text, rows = multi_line_text(10 * seed + part, 200, end)
+        (folder / f"part {part}.csv").write_bytes(("\ufeff" * (part == 1) + text).encode())
+        expected += rows
+    small_splits(spark, size)
+    try:
+        df = readers.read_csv_text(spark, str(folder))
+        found = sorted(map(tuple, df.collect()), key=str)
+        assert found == sorted(expected, key=str)
+        whole = spark.read.csv(str(folder), header=True, multiLine=True, escape='"').select("account_id", "region").collect()
+        assert sorted(r[:2] for r in map(tuple, whole)) == sorted((r[0], r[2]) for r in found)
+        assert "FileScan csv" not in df._jdf.queryExecution().executedPlan().toString()
+        splits = readers._split_states(readers._lines(spark, [str(f) for f in folder.iterdir()], "\n"))
+        n = splits.count()
+        assert n > 10 if size != "128MB" else n == 3
+        if size == "1KB":
+            assert splits.where("inside").count() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_record_over_many_splits(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cell = "\n".join(f"line {i}" for i in range(5000))
+    (tmp_path / "x.csv").write_text(f'account_id,region\n1,a\n2,"{cell}"\n3,"b\nc"\n')
+    small_splits(spark)
+    try:
+        rows = sorted(map(tuple, readers.read_csv_text(spark, str(tmp_path / "x.csv")).collect()))
+        assert rows == [("1", "a"), ("2", cell), ("3", "b\nc")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_bare_carriage_returns_are_read_whole(csv):
+    rows = csv('account_id,region\r1,"a\rb"\r2,c\r').select("account_id", "region").orderBy("account_id").collect()
+    assert [tuple(r) for r in rows][-1] == ("2", "c") and len(rows) == 2
+
+
+@pytest.mark.parametrize("record", ['1,"a\nb",c', '1,"a\nb","c"'])
+def test_long_record_over_lines_fails_the_job(csv, record):
+    df = csv(f"account_id,region\n{record}\n2,d\n")
+    for use in (df, df.select("region")):
+        with pytest.raises(PySparkException, match="more than 2 fields"):
+            use.collect()
+
+
+def test_short_record_over_lines_ends_in_nulls(csv):
+    rows = csv('account_id,region,usage_type\n1,"a\nb"\n2,c,d\n').select("account_id", "region", "usage_type").orderBy("account_id").collect()
+    assert [tuple(r) for r in rows] == [("1", "a\nb", None), ("2", "c", "d")]
+
+
+def test_another_header_in_a_file_with_line_breaks_is_rejected(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("account_id,region\na,b\n")
+    (tmp_path / "b.csv").write_text('region,account_id\nb,"a\nc"\n')
+    with pytest.raises(ValueError, match="CSV header does not conform"):
+        readers.read_source(spark, specs.BILLING_SOURCE, str(tmp_path))
+
+
+def test_files_with_and_without_line_breaks_in_fields(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     folder = tmp_path / "a b.csv"
     folder.mkdir()
@@ -196,7 +277,7 @@ def test_only_files_with_line_breaks_in_fields_are_read_whole(spark, tmp_path):
 
 
 def test_quoted_line_breaks(csv):
-    rows = csv('account_id,product_name\n1,"a\nb, c"\n2,d\n').select("account_id", "product_name").collect()
+    rows = csv('account_id,product_name\n1,"a\nb, c"\n2,d\n').select("account_id", "product_name").orderBy("account_id").collect()
     assert [tuple(r) for r in rows] == [("1", "a\nb, c"), ("2", "d")]
 
 
