@@ -3,8 +3,9 @@
 Token ends are cumulated in bytes. Dictionaries from end to index are intersected as hash sets; the sorted common ends
 slice both id lists into groups, and within a group every pair of tokens whose byte ranges overlap is a link.
 
-1. Each task numbers the groups of its blocks (some two million tokens each): a document is a list of numbers, and the
-   block's dictionary says which id pairs a group links and how often the block has each pair.
+1. Each task cuts texts at spaces where both tokenizers begin a token and aligns every different stretch once. It numbers
+   the groups of its blocks (some two million tokens each): a document is a list of numbers, and the block's dictionary
+   says which id pairs a group links and how often the block has each pair.
 2. The blocks' pairs, one row per pair and block rather than per link, are summed to the corpus-wide counts and compared
    with the highest of their second id; a join brings each dictionary its counts.
 3. Sums over groups, then over documents, give the figures.
@@ -18,15 +19,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import Workspace, arrow_schema, byte_texts, documents, record_batch, runs
-from ledgerlens.llm.tokens import encoder, text_slices
+from ledgerlens.llm.tokens import UNUSUAL, Numbers, Store, bytes_of, encoder, text_slices
 
 #: Tokens of the first tokenizer after which a block ends: larger blocks mean fewer dictionary rows.
 BLOCK_TOKENS = 1 << 21
+#: Stretches of text remembered by a task; a full memory starts anew, which changes no result.
+REMEMBERED = 250_000
+_SLICE_BYTES = 1 << 19
+_STRETCHES_A_CALL = 1000
 
 _BLOCKS = (
     "block long, doc_ids array<long>, n_a binary, n_b binary, n_groups binary, n_links binary, digests array<string>, "
@@ -39,18 +45,6 @@ _FIGURES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 PAIR = 1 << 32
 
 
-class _Numbers(dict):
-    """Numbers for keys in the order they come up; `names` has the keys in that order."""
-
-    def __init__(self):
-        self.names: list = []
-
-    def __missing__(self, key) -> int:
-        self[key] = number = len(self.names)
-        self.names.append(key)
-        return number
-
-
 def byte_level_tokens(path: str) -> list[bytes]:
     """Bytes of each id of a byte-level vocabulary, whose entries spell a byte as one printable character."""
     from tokenizers import Tokenizer
@@ -136,92 +130,157 @@ class Spelling:
         return np.array([spelled[low:high] == text for low, high, text in zip([0, *stops], stops, texts, strict=False)], dtype=bool)
 
 
-class _Block:
-    """Documents of a block, its groups and its pairs, by numbers."""
+class Groups:
+    """Groups that a task has met, by numbers: their text in a digest, and the pairs they link."""
 
-    def __init__(self, number: int, a: Spelling, b: Spelling):
-        self.number, self.a, self.b = number, a, b
-        self.doc_ids: list[int | None] = []
-        self.figures: list[np.ndarray] = []
-        self.digests: list[str] = []
-        self.groups, self.pairs = _Numbers(), _Numbers()
+    def __init__(self, a: Spelling, b: Spelling):
+        self.a, self.b = a, b
+        self.numbers = Numbers()
         self.texts: list[bytes] = []
         self.links: list[list[int]] = []
-        self.used: list[np.ndarray] = []
-        #: Groups of one id on each side, sorted, with their numbers.
-        self.known = self.known_numbers = np.empty(0, dtype=np.int64)
-        self.tokens = 0
-
-    def _single(self, groups: np.ndarray) -> np.ndarray:
-        """Numbers of groups that are one id on each side."""
-        if len(self.known):
-            fresh = np.unique(groups[self.known[np.minimum(np.searchsorted(self.known, groups), len(self.known) - 1)] != groups])
-        else:
-            fresh = np.unique(groups)
-        if len(fresh):
-            known = np.concatenate([self.known, fresh])
-            numbers = np.concatenate([self.known_numbers, np.array([self.groups[group] for group in fresh.tolist()], dtype=np.int64)])
-            order = np.argsort(known)
-            self.known, self.known_numbers = known[order], numbers[order]
-        return self.known_numbers[np.searchsorted(self.known, groups)]
-
-    def _numbered(self, ids_a: np.ndarray, to_a: np.ndarray, ids_b: np.ndarray, to_b: np.ndarray) -> np.ndarray:
+
+    def number(self, ids_a: np.ndarray, to_a: np.ndarray, ids_b: np.ndarray, to_b: np.ndarray) -> list[int]:
         """Numbers of the groups that end at given places of both sides."""
         from_a, from_b = (np.concatenate([[0], to])[:-1] for to in (to_a, to_b))
-        one = (to_a - from_a == 1) & (to_b - from_b == 1)
-        numbers = np.empty(len(one), dtype=np.int64)
-        numbers[one] = self._single(ids_a[from_a[one]] * PAIR + ids_b[from_b[one]])
-        if not one.all():
-            of_a, of_b = tuple(ids_a.tolist()), tuple(ids_b.tolist())
-            bounds = zip(*(at[~one].tolist() for at in (from_a, to_a, from_b, to_b)), strict=True)
-            numbers[~one] = [self.groups[of_a[i:k], of_b[j:m]] for i, k, j, m in bounds]
-        for left, right in map(group_ids, self.groups.names[len(self.links) :]):
-            self.links.append([self.pairs[x * PAIR + y] for x, y in group_links(left, right, self.a.sizes, self.b.sizes)])
+        groups = (ids_a[from_a] * PAIR + ids_b[from_b]).tolist()
+        several = np.flatnonzero((to_a - from_a > 1) | (to_b - from_b > 1))
+        of_a, of_b = tuple(ids_a.tolist()), tuple(ids_b.tolist())
+        for g, i, k, j, m in zip(*(of.tolist() for of in (several, *(at[several] for at in (from_a, to_a, from_b, to_b)))), strict=True):
+            groups[g] = of_a[i:k], of_b[j:m]
+        found = list(map(self.numbers.__getitem__, groups))
+        for left, right in map(group_ids, self.numbers.names[len(self.links) :]):
+            self.links.append([x * PAIR + y for x, y in group_links(left, right, self.a.sizes, self.b.sizes)])
             self.texts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}".encode())
-        return numbers
-
-    def add(self, doc_ids: list[int | None], texts: list[bytes], ids_a: np.ndarray, counts_a: np.ndarray, ids_b: np.ndarray, counts_b: np.ndarray) -> None:
-        """Texts, each with the space before it, and the ids that both sides give them."""
-        same = self.a.spells(ids_a, counts_a, texts) & self.b.spells(ids_b, counts_b, texts) & np.array([len(text) > 1 for text in texts])
-        ids_a, ids_b = ids_a[np.repeat(same, counts_a)], ids_b[np.repeat(same, counts_b)]
-        counts_a, counts_b = counts_a * same, counts_b * same
-        # Texts without tokens are gone, so both sides reach the same bytes, counted from the first text on.
-        ends_a, ends_b = (np.cumsum(side.lengths[ids]).tolist() for side, ids in ((self.a, ids_a), (self.b, ids_b)))
-        to_a, to_b, stops, i, j = [], [], [], 0, 0
-        for k, m in zip(np.cumsum(counts_a).tolist(), np.cumsum(counts_b).tolist(), strict=True):
-            own_a, own_b = common_ends(ends_a[i:k], ends_b[j:m], i, j)
-            to_a += own_a
-            to_b += own_b
-            stops.append(len(to_a))
+        return found
+
+
+class Stretches:
+    """Stretches of text that a task has aligned: tokens of both sides and groups, by numbers.
+
+    Both tokenizers begin a token at a single space between others, so a text is cut there, and each different stretch is
+    aligned once. That holds for the first side by what `tokens` says, and for the second if no piece goes on after a
+    letter with a space. Texts with other blanks, or with spaces at an end, are one stretch.
+    """
+
+    def __init__(self, path_a: str, path_b: str):
+        import sentencepiece
+
+        self.processor = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        pieces = [self.processor.id_to_piece(id_) for id_ in range(self.processor.get_piece_size())]
+        self.cuts = not any("▁" in piece.lstrip("▁") for piece in pieces)
+        self.encode = encoder(path_a, blanks_dropped=False, cache_units=REMEMBERED // 10)
+        self.groups = Groups(Spelling(byte_level_tokens(path_a)), Spelling(piece_tokens(self.processor)))
+        self.forget(False)
+
+    def forget(self, groups: bool) -> None:
+        """Starts anew, the groups included or not."""
+        if groups:
+            self.groups = Groups(self.groups.a, self.groups.b)
+        self.numbers, self.held = Numbers(), Store()
+        self.n_a = self.n_b = np.empty(0, dtype=np.int64)
+        self.same = np.empty(0, dtype=bool)
+
+    def cut(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(distinct stretches of texts, place of every stretch among them, number of stretches of each text)."""
+        column = pa.array(texts, pa.large_binary()).view(pa.large_string())
+        whole = pc.match_substring_regex(column, f"{UNUSUAL}|▁|^ | \\z|\\A\\z") if self.cuts else pa.array([True] * len(texts))
+        # A text that is not cut has its place in a list of its own.
+        cut = pc.if_else(whole, pa.scalar(None, pa.large_list(pa.large_string())), pc.cast(pc.split_pattern(column, " "), pa.large_list(pa.large_string())))
+        counts = pc.fill_null(cut.value_lengths(), 0).to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        units, places = bytes_of(coded.dictionary.view(pa.large_binary())), coded.indices.to_numpy().astype(np.int64)
+        alone = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if not len(alone):
+            return units, places, counts
+        places = np.insert(places, np.cumsum(counts)[alone], np.arange(len(units), len(units) + len(alone)))
+        counts[alone] = 1
+        return units + [texts[i] for i in alone.tolist()], places, counts
+
+    def number(self, units: list[bytes]) -> np.ndarray:
+        """Numbers of stretches, aligned if they are new."""
+        first = len(self.numbers.names)
+        found = np.fromiter(map(self.numbers.__getitem__, units), dtype=np.int64, count=len(units))
+        fresh = self.numbers.names[first:]
+        if fresh:
+            self.held.reserve(len(self.numbers.names))
+            for low, high in text_slices(fresh, _SLICE_BYTES):
+                self._align(range(first + low, first + high), fresh[low:high])
+        return found
+
+    def _align(self, own: range, units: list[bytes]) -> None:
+        a, b = self.groups.a, self.groups.b
+        spaced = [b" " + unit for unit in units]
+        ids_a, n_a = self.encode(spaced)
+        found = self.processor.encode([unit.decode("utf-8", "replace") for unit in units], num_threads=1)
+        n_b = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        ids_b = np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(n_b.sum()))
+        ids_a = ids_a.astype(np.int64)
+        same = a.spells(ids_a, n_a, spaced) & b.spells(ids_b, n_b, spaced) & np.array(list(map(len, units)), dtype=bool)
+        ids_a, ids_b = ids_a[np.repeat(same, n_a)], ids_b[np.repeat(same, n_b)]
+        n_a, n_b = n_a * same, n_b * same
+        # What remains spells the same bytes on both sides, counted from the first stretch on.
+        ends_a, ends_b = (np.cumsum(side.lengths[ids]).tolist() for side, ids in ((a, ids_a), (b, ids_b)))
+        to_a, to_b, stops_a, stops_b, i, j = [], [], np.cumsum(n_a), np.cumsum(n_b), 0, 0
+        for last in range(_STRETCHES_A_CALL - 1, len(units) + _STRETCHES_A_CALL - 1, _STRETCHES_A_CALL):
+            k, m = (int(stops[min(last, len(units) - 1)]) for stops in (stops_a, stops_b))
+            reached_a, reached_b = common_ends(ends_a[i:k], ends_b[j:m], i, j)
+            to_a += reached_a
+            to_b += reached_b
             i, j = k, m
-        numbers = self._numbered(ids_a, np.array(to_a, dtype=np.int64), ids_b, np.array(to_b, dtype=np.int64))
-        names = list(map(self.texts.__getitem__, numbers.tolist()))
+        to_a, to_b = np.array(to_a, dtype=np.int64), np.array(to_b, dtype=np.int64)
+        groups = self.groups.number(ids_a, to_a, ids_b, to_b)
+        counts = np.diff(np.searchsorted(to_a, stops_a, side="right"), prepend=0)
+        self.held.put(list(own), np.array(groups, dtype=np.uint32), counts)
+        self.n_a, self.n_b = np.concatenate([self.n_a, n_a]), np.concatenate([self.n_b, n_b])
+        self.same = np.concatenate([self.same, same])
+
+
+class _Block:
+    """Documents of a block with the numbers of their groups."""
+
+    def __init__(self, number: int):
+        self.number, self.tokens = number, 0
+        self.doc_ids: list[int | None] = []
+        self.figures: list[np.ndarray] = []
+        self.digests: list[str] = []
+        self.used: list[np.ndarray] = []
+
+    def add(self, doc_ids: list[int | None], texts: list[bytes], stretches: Stretches) -> None:
+        units, places, counts = stretches.cut(texts)
+        every = stretches.number(units)[places]
+        same = sums(~stretches.same[every], counts) == 0
+        every, counts = every[np.repeat(same, counts)], counts * same
+        groups, each = stretches.held.gather(every)
+        n_groups = sums(each, counts)
+        self.figures.append(np.array([sums(stretches.n_a[every], counts), sums(stretches.n_b[every], counts), n_groups]))
+        names, stops = list(map(stretches.groups.texts.__getitem__, groups.tolist())), np.cumsum(n_groups).tolist()
         self.digests += [hashlib.sha256(b";".join(names[low:high])).hexdigest() if high > low else "" for low, high in zip([0, *stops], stops, strict=False)]
         self.doc_ids += doc_ids
-        self.figures.append(np.array([counts_a, counts_b, np.diff(stops, prepend=0)]))
-        self.used.append(numbers.astype(np.uint32))
-        self.tokens += len(ids_a)
+        self.used.append(groups)
+        self.tokens += int(self.figures[-1][0].sum())
 
-    def columns(self) -> dict[str, list]:
+    def columns(self, groups: Groups) -> dict[str, list]:
+        """The block with dictionaries of its own."""
         n_a, n_b, n_groups = np.concatenate(self.figures, axis=1)
-        groups = np.concatenate(self.used)
-        times = np.bincount(groups, minlength=len(self.links))
-        sizes = np.fromiter(map(len, self.links), dtype=np.int64, count=len(self.links))
-        pairs = np.fromiter(chain.from_iterable(self.links), dtype=np.int64, count=int(sizes.sum()))
-        counts = np.zeros(len(self.pairs), dtype=np.int64)
-        np.add.at(counts, pairs, np.repeat(times, sizes))
+        met, used = np.unique(np.concatenate(self.used), return_inverse=True)
+        links = [groups.links[g] for g in met.tolist()]
+        sizes = np.fromiter(map(len, links), dtype=np.int64, count=len(links))
+        every = np.fromiter(chain.from_iterable(links), dtype=np.int64, count=int(sizes.sum()))
+        pairs, place = np.unique(every, return_inverse=True)
+        counts = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(counts, place, np.repeat(np.bincount(used, minlength=len(met)), sizes))
         return {
             "block": [self.number],
             "doc_ids": [self.doc_ids],
             "n_a": [_packed(n_a)],
             "n_b": [_packed(n_b)],
             "n_groups": [_packed(n_groups)],
-            "n_links": [_packed(sums(sizes[groups], n_groups))],
+            "n_links": [_packed(sums(sizes[used], n_groups))],
             "digests": [self.digests],
-            "groups": [_packed(groups, "<u4")],
+            "groups": [_packed(used, "<u4")],
             "group_links": [_packed(sizes, "<u4")],
-            "link_pairs": [_packed(pairs, "<u4")],
-            "pairs": [self.pairs.names],
+            "link_pairs": [_packed(place, "<u4")],
+            "pairs": [pairs.tolist()],
             "counts": [counts.tolist()],
         }
 
@@ -236,25 +295,20 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_tokens: int
     layout = layout.set(layout.get_field_index("digests"), pa.field("digests", pa.list_(pa.string())))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        processor = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        encode, a, b = encoder(path_a, blanks_dropped=False), Spelling(byte_level_tokens(path_a)), Spelling(piece_tokens(processor))
-        block = _Block(TaskContext.get().partitionId() << 33, a, b)
+        stretches, block = Stretches(path_a, path_b), _Block(TaskContext.get().partitionId() << 33)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), byte_texts(batch.column(1))
-            for low, high in text_slices(texts):
-                spaced = [b" " + text for text in texts[low:high]]
-                ids, counts = encode(spaced)
-                found = processor.encode([text.decode("utf-8", "replace") for text in texts[low:high]], num_threads=1)
-                counts_b = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-                ids_b = np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(counts_b.sum()))
-                block.add(doc_ids[low:high], spaced, ids.astype(np.int64), counts, ids_b, counts_b)
+            for low, high in text_slices(texts, 2 * _SLICE_BYTES):
+                block.add(doc_ids[low:high], texts[low:high], stretches)
+                if len(stretches.numbers.names) > REMEMBERED:
+                    stretches.forget(False)
                 if block.tokens >= block_tokens:
-                    yield record_batch(block.columns(), layout)
-                    block = _Block(block.number + 1, a, b)
+                    yield record_batch(block.columns(stretches.groups), layout)
+                    block = _Block(block.number + 1)
+                    if len(stretches.groups.texts) > REMEMBERED:
+                        stretches.forget(True)
         if block.doc_ids:
-            yield record_batch(block.columns(), layout)
+            yield record_batch(block.columns(stretches.groups), layout)
 
     return documents(docs).mapInArrow(align, _BLOCKS)
 

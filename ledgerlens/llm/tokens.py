@@ -1,6 +1,6 @@
 """Token ids from the `tokenizers` library inside tasks, with a cache of words.
 
-A text is cut into units, most of which have been seen. Cuts lie only where the tokenizer's pre-tokenizer begins a piece
+A text is cut into units, most of which have been seen; Arrow cuts a slice of texts and gives its distinct units. Cuts lie only where the tokenizer's pre-tokenizer begins a piece
 whatever stands around, so the joined ids of the units are those of the whole text. Units that were not seen are
 encoded many in one call, strung together at such places; the lengths of their tokens tell where each unit ends. The ids of
 a text are then gathered by the numbers of its units. Units of ASCII letters, perhaps with marks after them, are cut into
@@ -12,9 +12,10 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Entries of the cache of one task; a full cache starts anew, which changes no result.
 CACHE_UNITS = 500_000
@@ -28,10 +29,13 @@ _SPACE_STARTS = re.compile(r"(?<=\S)(?= )|(?= \S)")
 _OTHER_BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 _UNUSUAL_BLANKS = (b"  ", b" \t", b" \n", b" \x0b", b" \x0c", b" \r", *_OTHER_BLANKS)
 
+#: Texts with any of these, or with a NUL, are cut by `space_units`.
+UNUSUAL = " [ \t\n\x0b\x0c\r]|[\x00\x85\xa0\u1680\u2000-\u203f\u205f\u3000]"
+
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers for units in the order they come up; `names` has the units in that order."""
 
     def __init__(self):
@@ -43,7 +47,7 @@ class _Numbers(dict):
         return number
 
 
-class _Store:
+class Store:
     """Ids of all units one after the other; `start` and `count` by number."""
 
     def __init__(self):
@@ -93,7 +97,49 @@ def space_units(text: bytes) -> list[bytes]:
     return [unit[1:].encode() if unit[0] == " " else b"\x00" + unit.encode() for unit in cut if unit]
 
 
-def encoder(path: str, blanks_dropped: bool) -> Encode:
+def bytes_of(column: pa.Array) -> list[bytes]:
+    """Values of a large binary column without NULLs; slices of its buffer, which is faster than one by one through Arrow."""
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1].tolist()
+    held = data.to_pybytes() if data is not None else b""
+    return [held[low:high] for low, high in zip(ends, ends[1:], strict=False)]
+
+
+def distinct_units(texts: list[bytes], blanks_dropped: bool) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct units of texts, place of every unit among them, number of units of each text)."""
+    column = pa.array(texts, pa.large_binary()).view(pa.large_string())
+    usual = np.ones(len(texts), dtype=bool)
+    if not blanks_dropped:
+        usual = ~pc.match_substring_regex(column, UNUSUAL).to_numpy(zero_copy_only=False)
+        plain = [b"\x00" + text for text, own in zip(texts, usual.tolist(), strict=True) if own]
+        column = pa.array(plain, pa.large_binary()).view(pa.large_string())
+    cut = pc.ascii_split_whitespace(column) if blanks_dropped else pc.split_pattern(column, " ")
+    counts, flat = cut.value_lengths().to_numpy().astype(np.int64), cut.flatten()
+    if blanks_dropped:  # blanks at the ends of a text leave empty units
+        full = pc.not_equal(pc.binary_length(flat), 0)
+        reached = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+        ends = np.cumsum(counts)
+        counts, flat = reached[ends] - reached[ends - counts], flat.filter(full)
+    coded = flat.dictionary_encode()
+    units, places = bytes_of(coded.dictionary.view(pa.large_binary())), coded.indices.to_numpy().astype(np.int64)
+    if usual.all():
+        return units, places, counts
+    known = Numbers()
+    for unit in units:
+        known[unit]
+    stops, own, parts = np.cumsum(counts).tolist(), 0, []
+    for text, is_usual in zip(texts, usual.tolist(), strict=True):
+        if is_usual:
+            parts.append(places[stops[own - 1] if own else 0 : stops[own]])
+            own += 1
+        else:
+            parts.append(np.array([known[unit] for unit in space_units(text)], dtype=np.int64))
+    return known.names, np.concatenate(parts), np.array(list(map(len, parts)), dtype=np.int64)
+
+
+def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) -> Encode:
     """A function from UTF-8 texts to (ids of all texts one after the other, the number of ids of each text).
 
     The strings of special tokens are ordinary text. `blanks_dropped` says that the tokenizer lower-cases, drops white
@@ -108,8 +154,8 @@ def encoder(path: str, blanks_dropped: bool) -> Encode:
     for token, id_ in whole.get_vocab().items():
         lengths[id_] = len(token.removesuffix("</w>") if blanks_dropped else token)  # a letter of a token is a byte
     model = Tokenizer(whole.model)
-    cut, lead = (bytes.split, "") if blanks_dropped else (space_units, "\u0120")  # how byte-level vocabularies spell a space
-    numbers, store = _Numbers(), _Store()
+    lead = "" if blanks_dropped else "\u0120"  # how byte-level vocabularies spell a space
+    numbers, store = Numbers(), Store()
 
     def add_singly(own: list[int]) -> None:
         texts = [numbers.names[n].decode("utf-8", "replace") for n in own]
@@ -184,14 +230,14 @@ def encoder(path: str, blanks_dropped: bool) -> Encode:
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal numbers, store
-        if len(numbers.names) > CACHE_UNITS:
-            numbers, store = _Numbers(), _Store()
-        first, number = len(numbers.names), numbers.__getitem__
-        own = [list(map(number, cut(text))) for text in texts]
+        if len(numbers.names) > cache_units:
+            numbers, store = Numbers(), Store()
+        first = len(numbers.names)
+        distinct, places, units = distinct_units(texts, blanks_dropped)
+        own = np.fromiter(map(numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))
         if len(numbers.names) > first:
             add(first)
-        units = np.fromiter((len(of) for of in own), dtype=np.int64, count=len(own))
-        every = np.fromiter(chain.from_iterable(own), dtype=np.int64, count=int(units.sum()))
+        every = own[places]
         ids, count = store.gather(every)
         reached = np.concatenate([[0], np.cumsum(count)])[np.cumsum(units)]
         return ids, np.diff(reached, prepend=0)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -48,7 +49,7 @@ def brute_force(rows):
         starts_a, starts_b = [0, *ends_a][:-1], [0, *ends_b][:-1]
         own = []
         for x, low, high in zip(a, starts_a, ends_a, strict=True):
-            first = int(np.searchsorted(ends_b, low, side="right"))
+            first = bisect_right(ends_b, low)
             for j in range(first, len(b)):
                 if starts_b[j] >= high:
                     break
@@ -62,7 +63,7 @@ def brute_force(rows):
     for (i, a, ends_a, b, ends_b), own in zip(texts, links, strict=True):
         groups, k, m = [], 0, 0
         for end in sorted(set(ends_a) & set(ends_b)):
-            to_a, to_b = ends_a.index(end) + 1, ends_b.index(end) + 1
+            to_a, to_b = bisect_right(ends_a, end), bisect_right(ends_b, end)
             groups.append(f"{','.join(map(str, a[k:to_a]))}|{','.join(map(str, b[m:to_b]))}")
             k, m = to_a, to_b
         digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
