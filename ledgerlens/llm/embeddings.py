@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Workspace, arrow_schema, record_batch, runs, with_tiles
+from ledgerlens.llm.common import Workspace, arrow_schema, record_batch, runs, with_partners, with_tiles
 from ledgerlens.llm.components import components
 
 THRESHOLD = 0.95
@@ -37,7 +37,8 @@ MOST_SEGMENTS = 64
 TILE_ROWS = 2048
 SEED = 42
 
-_KEYS = "key long, filed boolean, cls long, dims int, codes binary"
+_CODES = "cls long, dims int, codes binary"
+_KEYS = "key long, filed boolean, cls long"
 _MET = "key long, lo int, hi int, tile int, filed boolean, cls long, codes binary"
 _FOUND = "cls long, links long, root long"
 
@@ -176,38 +177,47 @@ def learn(classes: DataFrame, *, threshold: float = THRESHOLD, recall: float = R
     return quantisers
 
 
-def bucket_keys(classes: DataFrame, quantisers: dict[int, Quantiser]) -> DataFrame:
-    """Every place where a vector is filed or asks: its segment values, and those with one set bit cleared. Of two
-    values at distance one, one asks for the other, so each pair meets once in a segment."""
-    layout = arrow_schema(_KEYS)
+def coded(classes: DataFrame, quantisers: dict[int, Quantiser]) -> DataFrame:
+    """cls, dims and the code of every vector whose length another one has."""
+    layout = arrow_schema(_CODES)
     plain = {dims: (q.mean, q.projection, q.segments, q.bits, q.most_apart) for dims, q in quantisers.items()}
     shared = classes.sparkSession.sparkContext.broadcast(plain)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quantisers = {dims: Quantiser(*parts) for dims, parts in shared.value.items()}
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for length in np.unique(dims).tolist():
-                if length not in quantisers:  # the only vector of its length
-                    continue
-                q = quantisers[length]
-                masks = np.concatenate([[0], 1 << np.arange(q.bits)]).astype(np.int64)
+                if length in quantisers:
+                    mine = np.flatnonzero(dims == length)
+                    codes = quantisers[length].codes(_unit(batch.column(2).take(pa.array(mine))))
+                    own = {"cls": batch.column(0).to_numpy()[mine], "dims": [length] * len(mine), "codes": [row.tobytes() for row in codes]}
+                    yield record_batch(own, layout)
+
+    return classes.select("cls", "dims", "embedding").mapInArrow(code, _CODES)
+
+
+def bucket_keys(codes: DataFrame, quantisers: dict[int, Quantiser]) -> DataFrame:
+    """Every place where a vector is filed or asks: its segment values, and those with one set bit cleared. Of two
+    values at distance one, one asks for the other, so each pair meets once in a segment. Lengths have keys of their own."""
+    layout, bits = arrow_schema(_KEYS), {dims: q.bits for dims, q in quantisers.items()}
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls, dims = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for length in np.unique(dims).tolist():
                 mine = np.flatnonzero(dims == length)
-                codes = q.codes(_unit(batch.column(2).take(pa.array(mine))))
-                values = codes.astype(np.int64)[:, :, None]
-                asked = (values & masks) == masks
-                row, segment, mask = np.nonzero(asked)
-                keys = (segment.astype(np.int64) << 32) + codes[row, segment] - masks[mask]
-                packed = np.array([own.tobytes() for own in codes], dtype=object)
-                classes = batch.column(0).to_numpy()[mine]
+                packed = b"".join(batch.column(2).take(pa.array(mine)).to_pylist())
+                own = np.frombuffer(packed, dtype=np.uint32).reshape(len(mine), -1)
+                masks = np.concatenate([[0], 1 << np.arange(bits[length])]).astype(np.int64)
+                values = own.astype(np.int64)[:, :, None]
+                row, segment, mask = np.nonzero((values & masks) == masks)
+                keys = (length << 40) + (segment.astype(np.int64) << 32) + own[row, segment] - masks[mask]
                 for low in range(0, len(row), 50_000):
                     part = slice(low, low + 50_000)
-                    yield record_batch(
-                        {"key": keys[part], "filed": mask[part] == 0, "cls": classes[row[part]], "dims": [length] * len(row[part]), "codes": packed[row[part]].tolist()},
-                        layout,
-                    )
+                    yield record_batch({"key": keys[part], "filed": mask[part] == 0, "cls": cls[mine[row[part]]]}, layout)
 
-    return classes.select("cls", "dims", "embedding").mapInArrow(ask, _KEYS)
+    return codes.mapInArrow(ask, _KEYS)
 
 
 def _met_here(codes: np.ndarray, filed: np.ndarray, segment: int, tile: np.ndarray | None, left: slice, most_apart: int | None) -> np.ndarray:
@@ -231,17 +241,12 @@ def _met_here(codes: np.ndarray, filed: np.ndarray, segment: int, tile: np.ndarr
 _STRIPE = 512
 
 
-def candidates(keys: DataFrame, quantisers: dict[int, Quantiser], tile_rows: int = TILE_ROWS) -> DataFrame:
+def candidates(keys: DataFrame, codes: DataFrame, quantisers: dict[int, Quantiser], tile_rows: int = TILE_ROWS) -> DataFrame:
     """Members of buckets that have a partner there, close enough over the whole code. Buckets with more than
-    `tile_rows` members are cut into tiles."""
-    bucket = Window.partitionBy("key", "dims")
-    met = (
-        keys.withColumns({"rows": F.count(F.lit(1)).over(bucket), "files": F.count_if("filed").over(bucket)})
-        .where("rows > 1 AND files > 0")
-        .withColumn("key", F.col("key") + (F.col("dims").cast("long") * (1 << 40)))
-    )
-    tiled = with_tiles(met, "key", "cls", F.col("rows"), tile_rows).select("key", "lo", "hi", "tile", "filed", "cls", "codes")
-    dealt = tiled.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", F.desc("filed"), "cls")
+    `tile_rows` members are cut into tiles. Codes are joined to the members only."""
+    tiled = with_tiles(with_partners(keys, "key"), "key", "cls", F.col("rows"), tile_rows).select("key", "lo", "hi", "tile", "filed", "cls")
+    dealt = tiled.join(codes.select("cls", "codes"), "cls").select("key", "lo", "hi", "tile", "filed", "cls", "codes")
+    dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", F.desc("filed"), "cls")
     layout, most = arrow_schema(_MET), {dims: q.most_apart for dims, q in quantisers.items()}
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +333,8 @@ def embedding_links(vectors: DataFrame, space: Workspace, *, threshold: float =
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"))
     classes = space.table("classes", vector_classes(rows).withColumn("cls", F.monotonically_increasing_id()))
     quantisers = learn(classes, threshold=threshold, recall=recall, sample_rows=sample_rows, seed=seed)
-    members = candidates(bucket_keys(classes, quantisers), quantisers)
+    codes = space.table("codes", coded(classes, quantisers))
+    members = candidates(bucket_keys(codes, quantisers), codes, quantisers)
     found = space.table("found", verified(members, classes, threshold))
     roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), space)
     counted = found.groupBy("cls").agg(F.sum("links").alias("links"))

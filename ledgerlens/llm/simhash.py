@@ -14,10 +14,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Workspace, arrow_schema, byte_texts, documents, record_batch, runs, with_tiles
+from ledgerlens.llm.common import Workspace, arrow_schema, byte_texts, documents, record_batch, runs, with_partners, with_tiles
 from ledgerlens.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -125,12 +125,7 @@ def spanning_links(prints: DataFrame, max_bits: int = MAX_BITS, tile_rows: int =
         return F.concat(own, ball)
 
     entries = prints.select("fingerprint", F.explode(F.concat(asked(0, 0), asked(1, 32))).alias("e")).select("e.key", "e.filed", "fingerprint")
-    bucket = Window.partitionBy("key")
-    met = (
-        entries.withColumns({"rows": F.count(F.lit(1)).over(bucket), "files": F.count_if("filed").over(bucket)})
-        .where("rows > 1 AND files > 0")
-        .select("key", "fingerprint", "rows")
-    )
+    met = with_partners(entries, "key").select("key", "fingerprint", "rows")
     tiled = with_tiles(met, "key", "fingerprint", F.col("rows"), tile_rows).select("key", "lo", "hi", "tile", "fingerprint")
     dealt = tiled.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     layout = arrow_schema(_EDGES)

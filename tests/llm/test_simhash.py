@@ -5,9 +5,10 @@ import numpy as np
 import pytest
 import xxhash
 from edge_cases import ROWS, documents, no_documents
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import simhash
-from ledgerlens.llm.common import Workspace
+from ledgerlens.llm.common import Workspace, with_partners
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +107,30 @@ def test_keep_one(spark):
     assert sorted((r.doc_id for r in rows), key=str) == sorted(first.values(), key=str)
     assert len({fingerprint(r.text) for r in rows}) == len(rows)
     assert simhash.keep_one(no_documents(spark), Workspace(spark, "t")).count() == 0
+
+
+def test_a_hot_bucket_is_split_over_tasks_where_it_gets_its_size(spark):
+    """A third of all entries lie in one bucket; thresholds are scaled down so that it counts as skewed."""
+    scaled = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in scaled}
+    for name, value in scaled.items():
+        spark.conf.set(name, value)
+    try:
+        n = F.col("id")
+        key = F.when(n % 3 == 0, F.lit(-1)).when(n % 3 == 1, n % 500).otherwise(n + 1000)
+        entries = spark.range(0, 60_000, 1, 8).select(key.alias("key"), (n % 2 == 0).alias("filed"), F.xxhash64("id").alias("fingerprint"))
+        met = with_partners(entries, "key")
+        rows = {r["key"]: (r["n"], r["rows"]) for r in met.groupBy("key").agg(F.count("*").alias("n"), F.max("rows").alias("rows")).collect()}
+        assert rows[-1] == (20_000, 20_000) and all(n == own > 1 for n, own in rows.values()) and len(rows) == 501
+        met.write.format("noop").mode("overwrite").save()
+        met.collect()
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "Window" not in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
