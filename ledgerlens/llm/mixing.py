@@ -140,7 +140,8 @@ def _rows(docs: DataFrame, seed: int, *payload: Column) -> DataFrame:
         doc_id.alias("doc_id"),
         docs["source"].cast("string").alias("source"),
         word_count(docs["text"].cast("string")).alias("size"),
-        seeded_order(seed, doc_id).alias("order"),
+        # The text tells rows without an id, or with one id, apart, so that they spread over the shards of their source.
+        seeded_order(seed, doc_id, F.md5(docs["text"].cast("binary"))).alias("order"),
         *payload,
     )
 
@@ -150,7 +151,7 @@ def mix_plan(docs: DataFrame, space: Workspace, *, weights=WEIGHTS, share=SHARE,
 
     NULL or empty text has size 0 and nothing taken. A NULL source is a source of its own, the last. Rows with a NULL
     doc_id, and repeated rows, are documents like any other; repeated rows lie side by side and, being equal, may
-    exchange their shares. Ties of the seeded order go by doc_id, then size. An empty table gives no rows. Other
+    exchange their shares. Rows are ordered by a seeded hash of doc_id and text; ties go by doc_id, then size. An empty table gives no rows. Other
     columns are ignored. Texts are read once; sizes are kept in the shared folder.
     """
     sizes = space.table("sizes", _rows(docs, seed))

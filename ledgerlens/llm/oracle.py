@@ -18,7 +18,7 @@ FROM t JOIN g USING (norm)
 ORACLE["op9_mixing"] = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS ord
+           ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')), 1, 15))::BIGINT AS ord
     FROM documents
 ), s AS (
     SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM (SELECT source, sum(size)::BIGINT AS words FROM d GROUP BY source)

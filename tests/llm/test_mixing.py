@@ -76,3 +76,16 @@ def test_one_source_with_a_third_of_all_rows(spark):
     plan = mixing.mix_plan(docs, Workspace(spark, "t"), shard_words=4000)
     for r in plan.groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("t")).collect():
         assert abs(r.n - r.t) <= 64 * 8
+
+
+def test_rows_without_an_id_spread_over_shards(spark):
+    """A third of the rows have no id, another third one id."""
+    rows = [((None, 7, i)[i % 3], f"text of {i} words") for i in range(3000)]
+    order = mixing._rows(documents(spark, rows), mixing.SEED).select(F.pmod("order", F.lit(10)).alias("shard"))
+    sizes = [r["count"] for r in order.groupBy("shard").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 450
+    plan = mixing.mix_plan(documents(spark, rows), Workspace(spark, "t"), shard_words=500).collect()
+    assert len(plan) == 3000 and all(0 <= r.taken <= 2 * r["size"] for r in plan)
+    targets = {r.source: r.target for r in plan}
+    taken = {source: sum(r.taken for r in plan if r.source == source) for source in targets}
+    assert all(abs(taken[source] - target) < 0.15 * target + 64 for source, target in targets.items())
