@@ -64,11 +64,10 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
     """doc_id, n_tokens, ids (the end id last; little-endian, unsigned, of two bytes each where all ids fit and
     four otherwise). The last row of each task has only `counts`: pairs of an id and how often the task wrote it, as
     64-bit integers."""
-    layout = arrow_schema(_TOKENS)
+    layout, width = arrow_schema(_TOKENS), id_width(vocabulary, end_id)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, blanks_dropped=False)
-        width = id_width(vocabulary, end_id)
         end = end_id.to_bytes(width, "little")
         seen = np.zeros(end_id + 1, dtype=np.int64)
         for batch in batches:
@@ -114,7 +113,7 @@ def id_ranks(tokens: DataFrame) -> DataFrame:
 
 
 def write_token_files(tokens: DataFrame, space: Workspace, width: int, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """Writes a table of tokens, with ids of `width` bytes, as blocks in doc_id order (NULL first) and the rank table; returns both as read back.
+    """Writes a table of tokens (with a number `row` of their own), with ids of `width` bytes, as blocks in doc_id order (NULL first) and the rank table; returns both as read back.
 
     The rank table has one row per vocabulary entry, so it is small whatever the documents are, and goes to the tasks as
     an array. Range partitions hold consecutive ids; a document longer than a block has a block of its own.
@@ -158,7 +157,10 @@ def write_token_files(tokens: DataFrame, space: Workspace, width: int, block_tok
             yield block()
 
     partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = tokens.where("counts IS NULL").select("doc_id", "ids").repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # Rows of one id, or without, are told apart by a hash of their ids and by their number, so that any mass of them is cut.
+    order = ["doc_id", F.xxhash64("ids"), "row"]
+    texts = tokens.where("counts IS NULL").select("doc_id", "ids", "row")
+    ordered = texts.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     return space.table("files", ordered.mapInArrow(encode, _BLOCKS)), table
 
 
@@ -210,9 +212,9 @@ def token_file_roundtrip(docs: DataFrame, vocabulary: str, space: Workspace, *,
     """Encodes every text, writes the files and reads them back.
 
     NULL text is empty and gives the end id alone. Rows with a NULL doc_id come first; repeated rows are documents of
-    their own, those of one doc_id ordered by their ids. An empty table gives no rows; other columns are ignored.
+    their own, those of one doc_id ordered by a hash of their ids. An empty table gives no rows; other columns are ignored.
     """
-    tokens = space.table("tokens", tokenised(docs, vocabulary, end_id))
+    tokens = space.table("tokens", tokenised(docs, vocabulary, end_id).withColumn("row", F.monotonically_increasing_id()))
     files, ranks = write_token_files(tokens, space, id_width(vocabulary, end_id), block_tokens)
     space.drop("tokens")
     return read_token_files(files, ranks, with_ids)

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 from edge_cases import ROWS, documents, no_documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import token_files
@@ -66,3 +67,15 @@ def test_files_give_back_every_document(spark, block_tokens):
 
 def test_empty_table(spark):
     assert token_files.token_file_roundtrip(no_documents(spark), PATH, Workspace(spark, "t")).count() == 0
+
+
+def test_a_third_of_all_rows_without_an_id_spreads_over_tasks(spark):
+    rows = [(None, f"text {i % 3}") for i in range(1000)] + [(i, f"own text {i}") for i in range(2000)]
+    space = Workspace(spark, "t")
+    found = token_files.token_file_roundtrip(documents(spark, rows).repartition(5), PATH, space).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None] * 1000 + list(range(2000))
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]
+    files, _ = token_files.load_token_files(spark, space.root)
+    parts = [r["docs"] // 8 for r in files.groupBy("part").agg(F.sum(F.octet_length("lengths")).alias("docs")).collect()]
+    assert sum(parts) == 3000 and len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(parts) < 2 * 3000 / len(parts)
