@@ -107,10 +107,12 @@ def slot_counts(training: DataFrame) -> DataFrame:
 
 @dataclass
 class ToxicityModel:
-    """Weights by slot (w times r) and the intercept."""
+    """Weights by slot (w times r) and the intercept. Without labelled rows of both kinds there is no evidence to tell texts
+    apart by."""
 
     weights: np.ndarray
     intercept: float
+    evidence: bool = True
 
     def score(self, slots: np.ndarray) -> float:
         value = self.intercept + float(self.weights[slots].sum())
@@ -171,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, space: Workspace, *, features: int
     weights = np.zeros(SLOTS)
     if not len(slots):
         total = counts.where("slot < 0").first()
-        return ToxicityModel(weights, 0.0 if total is None else (2.0 if total["hits"] else -2.0))
+        return ToxicityModel(weights, 0.0 if total is None else (2.0 if total["hits"] else -2.0), evidence=False)
     shared, layout = docs.sparkSession.sparkContext.broadcast(slots), arrow_schema(_FEATURES)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +219,13 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """The rows of `docs` with a score below `threshold`, with all their columns; the texts stay where they are."""
+    """The rows of `docs` with a score below `threshold`, with all their columns; the texts stay where they are.
+
+    Every row stays when the model has no evidence, since rejecting all or none of them would rest on nothing. NULL text is
+    empty; rows with NULL doc_ids and repeated rows are judged like others, by their text alone.
+    """
+    if not model.evidence:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
     at = docs.columns.index("text")
 

@@ -3,6 +3,8 @@
 import re
 
 import numpy as np
+import pytest
+from edge_cases import ROWS, documents, no_documents
 from test_simhash import components, fingerprint
 from tokenizers import Tokenizer
 
@@ -56,3 +58,34 @@ def test_stages(spark, tmp_path):
     run = corpus_pipeline.run(spark, SF)
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert sorted(map(tuple, run.select(*columns).collect())) == sorted(map(tuple, docs.select(*columns).collect()))
+
+
+def tables(path, docs, labels):
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 1), (7, 0, 1)], [(1, None, None), (99, 1, 1), (None, 0, 0)]])
+def test_without_labels_of_both_kinds_nothing_is_rejected(spark, tmp_path, labels):
+    docs = documents(spark)
+    sf_dir = tables(tmp_path, docs, spark.createDataFrame(labels, LABELS))
+    kept = corpus_pipeline.drop_toxic(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_run_on_edge_cases_and_empty_tables(spark, tmp_path):
+    spark.conf.set(corpus_pipeline.PACKED_PATH, str(tmp_path / "packed"))
+    try:
+        rows = corpus_pipeline.run(spark, tables(tmp_path / "edge", documents(spark), spark.createDataFrame([], LABELS))).collect()
+        # Equal texts are one document, texts without words give nothing to the mix.
+        assert {r.doc_id for r in rows} <= {i for i, text in ROWS if (text or "").split()} and len({r.doc_id for r in rows}) > 3
+        assert spark.read.parquet(str(tmp_path / "packed")).count() == len(rows)
+        empty = tables(tmp_path / "empty", no_documents(spark), spark.createDataFrame([], LABELS))
+        assert corpus_pipeline.run(spark, empty).count() == 0
+    finally:
+        spark.conf.unset(corpus_pipeline.PACKED_PATH)
