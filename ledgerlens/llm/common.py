@@ -128,14 +128,16 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[dict[st
         yield joined()
 
 
-def with_partners(entries: DataFrame, *keys: str) -> DataFrame:
+def with_partners(entries: DataFrame, key: str) -> DataFrame:
     """Entries of buckets that have several, one of them `filed`; adds `rows`, the size of the bucket.
 
-    Buckets are counted first, which combines inside tasks, and the counts joined back: adaptive execution can split the
-    entries of a large bucket over tasks there, as a window over buckets could not.
+    Buckets are counted first, which combines inside tasks, and the counts are written and joined back. So both sides of
+    the join come straight from their shuffles, where adaptive execution can split the entries of a large bucket over
+    tasks, as a window over buckets could not.
     """
-    sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.count_if("filed").alias("_files"))
-    return entries.join(sizes.where("rows > 1 AND _files > 0").drop("_files"), list(keys))
+    sizes = entries.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.count_if("filed").alias("files"))
+    several = Workspace(entries.sparkSession, "buckets").table("sizes", sizes.where("rows > 1 AND files > 0").drop("files"))
+    return entries.join(several, key)
 
 
 def with_tiles(members: DataFrame, key: str, identity: str, rows: Column, tile_rows: int) -> DataFrame:

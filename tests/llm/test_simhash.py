@@ -126,7 +126,7 @@ def test_a_hot_bucket_is_split_over_tasks_where_it_gets_its_size(spark):
         entries = spark.range(0, 60_000, 1, 8).select(key.alias("key"), (n % 2 == 0).alias("filed"), F.xxhash64("id").alias("fingerprint"))
         met = with_partners(entries, "key")
         rows = {r["key"]: (r["n"], r["rows"]) for r in met.groupBy("key").agg(F.count("*").alias("n"), F.max("rows").alias("rows")).collect()}
-        assert rows[-1] == (20_000, 20_000) and all(n == own > 1 for n, own in rows.values()) and len(rows) == 501
+        assert rows[-1] == (20_000, 20_000) and all(n == own > 1 for n, own in rows.values()) and len(rows) == 251  # odd keys have no entry that is filed
         met.write.format("noop").mode("overwrite").save()
         met.collect()
         plan = met._jdf.queryExecution().executedPlan().toString()
