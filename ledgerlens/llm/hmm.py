@@ -9,10 +9,12 @@ the driver and the tasks hold does not.
 1. Each scan task numbers the distinct words of its blocks (about two million tokens each) and writes the numbered texts.
 2. The blocks' dictionaries, one row per word and block rather than per token, are summed to the vocabulary, and a join
    brings each dictionary its counts and symbols.
-3. Baum-Welch: tasks run the scaled forward-backward recursion over all training texts and send expected counts, which
+3. The starting values come from all training texts: a pass sums what surrounds each symbol, and symbols of like surroundings
+   are what a state begins with.
+4. Baum-Welch: tasks run the scaled forward-backward recursion over all training texts and send expected counts, which
    Spark sums by symbol; the driver turns them into the next model. Training sequences are windows of at most `WINDOW`
    tokens; a window that continues a text starts from the stationary distribution and does not count for the start.
-4. The scaled forward recursion over whole texts gives their exact log-likelihood.
+5. The scaled forward recursion over whole texts gives their exact log-likelihood.
 
 The recursions step through time for all texts of a block at once.
 """
@@ -40,8 +42,8 @@ BLOCK_TOKENS = 1 << 21
 PART_TOKENS = 1 << 20
 WINDOW = 1024
 ITERATIONS = 4
-#: Starting values only: states are first told apart on the first windows of at most so many training texts.
-START_TEXTS, START_ITERATIONS = 1000, 15
+#: Starting values: components of a symbol's context, and clusterings of the symbols of which the tightest counts.
+CONTEXT, START_TRIES, START_STEPS = 32, 20, 25
 SEED = 42
 FOLDS, HELD_OUT = 5, 1
 
@@ -51,7 +53,6 @@ END = b""
 _NUMBERED = "block long, doc_ids array<long>, held binary, lengths binary, ids binary, words array<binary>, counts array<long>"
 _LOOKUP = "block long, counts binary, symbols binary"
 _CODED = "block long, doc_ids array<long>, held binary, lengths binary, symbols binary, base binary, known binary, inner binary"
-_START = "order long, symbols binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -291,30 +292,48 @@ def maximised(counts: Model, background: np.ndarray) -> Model:
     return Model(*(part.astype(np.float32) for part in (start, move, emit / emit.sum(axis=0))))
 
 
-def starting_model(texts: list[np.ndarray], background: np.ndarray, states: int = STATES, seed: int = SEED) -> Model:
-    """A model that tells apart texts unlike each other: each state begins with the symbols of one text, chosen far from
-    those chosen before, and a few iterations over these texts follow."""
+def symbol_groups(contexts: np.ndarray, weights: np.ndarray, groups: int, random: np.random.Generator) -> np.ndarray:
+    """The group of each symbol: k-means of the contexts' directions about their mean, the tightest of several tries."""
+    used = np.flatnonzero(weights)
+    group = np.full(len(weights), -1)
+    if not len(used):
+        return group
+    share = weights[used] / weights[used].sum()
+    points = contexts[used] / weights[used, None]
+    points = points - share @ points
+    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
+    best = np.inf
+    for _ in range(START_TRIES):
+        centres = points[[random.choice(len(used), p=share)]]
+        while len(centres) < groups:
+            far = share * ((points[:, None] - centres) ** 2).sum(axis=2).min(axis=1)
+            if far.sum() <= 1e-9:
+                break  # fewer kinds of symbols than groups
+            centres = np.vstack([centres, points[random.choice(len(used), p=far / far.sum())]])
+        for _ in range(START_STEPS):
+            distance = (points**2).sum(axis=1)[:, None] - 2 * points @ centres.T + (centres**2).sum(axis=1)
+            nearest = distance.argmin(axis=1)
+            for k in np.unique(nearest):
+                centres[k] = np.average(points[nearest == k], axis=0, weights=share[nearest == k])
+        cost = share @ distance.min(axis=1)
+        if cost < best:
+            best, group[used] = cost, nearest
+    return group
+
+
+def starting_model(contexts: np.ndarray, weights: np.ndarray, background: np.ndarray, states: int = STATES, seed: int = SEED) -> Model:
+    """A model whose states prefer symbols that occur together: each state begins with a group of symbols of like contexts.
+    `contexts` are summed over the `weights` tokens of each symbol."""
     random = np.random.default_rng(seed)
-    size = len(background)
+    group = symbol_groups(contexts, weights, states, random)
     emit = np.tile(background, (states, 1))
-    if texts:
-        seen = np.array([np.bincount(own, minlength=size) / len(own) for own in texts], dtype=np.float32)
-        roots = np.sqrt(seen)
-        long = np.array([len(own) for own in texts])
-        chosen = [int(np.argmax(long))]
-        while len(chosen) < min(states, len(texts)):
-            likeness = np.max(roots @ roots[chosen].T, axis=1)
-            chosen.append(int(np.argmax((1 - likeness) * np.minimum(long, 200))))
-        emit[: len(chosen)] = 0.5 * seen[chosen] + 0.5 * background
+    for k in np.unique(group[group >= 0]):
+        own = np.where(group == k, background, 0)
+        emit[k] = 0.5 * background + 0.5 * own / own.sum()
     emit *= random.uniform(0.9, 1.1, emit.shape)
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9)
-    model = Model(*(part.astype(np.float32) for part in (np.full(states, 1 / states), move, (emit / emit.sum(axis=1, keepdims=True)).T)))
-    if texts:
-        symbols, lengths = np.concatenate(texts), np.array([len(own) for own in texts])
-        for _ in range(START_ITERATIONS):
-            model = maximised(expected_counts(model, symbols, lengths, np.ones(len(texts), dtype=bool)), background)
-    return model
+    return Model(*(part.astype(np.float32) for part in (np.full(states, 1 / states), move, (emit / emit.sum(axis=1, keepdims=True)).T)))
 
 
 def text_parts(lengths: np.ndarray, most: int = PART_TOKENS) -> Iterator[tuple[slice, slice]]:
@@ -364,27 +383,41 @@ def baum_welch_round(coded: DataFrame, model: Model) -> Model:
     return Model(total[0], total[1 : 1 + states], total[1 + states :])
 
 
-def train(coded: DataFrame, vocabulary: Vocabulary, *, states: int = STATES, iterations: int = ITERATIONS, seed: int = SEED) -> Model:
-    """The model after `iterations` rounds over all training texts of the coded blocks."""
-    background = vocabulary.symbol_tokens + 0.5
-    background = background / background.sum()
-    layout = arrow_schema(_START)
-    texts = coded.agg(F.sum(F.size("doc_ids"))).first()[0] or 0
-    share = int(min(1.0, 1.5 * START_TEXTS / max(1, texts)) * 2**32)
+def symbol_contexts(coded: DataFrame, background: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """What surrounds each symbol, summed over all its training tokens: a token's context is the direction of its window,
+    which is the sum of a random vector per token, those of rare symbols being longer. Spark sums a row per symbol."""
+    size = len(background)
+    vectors = np.random.default_rng(seed).standard_normal((CONTEXT, size)) / np.sqrt(background * size)
+    sums = ", ".join(f"c{k} double" for k in range(CONTEXT))
+    layout = arrow_schema(f"item int, {sums}")
+    shared = coded.sparkSession.sparkContext.broadcast(vectors.astype(np.float32))
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, total = shared.value, np.zeros((CONTEXT, size))
         for batch in batches:
             for row in range(batch.num_rows):
                 symbols, lengths = _training(batch, row)
-                ends = np.cumsum(lengths)
-                own = [symbols[end - n : end - n + min(n, WINDOW)].astype("<u2").tobytes() for end, n in zip(ends, lengths, strict=True)]
-                order = [zlib.crc32(text, seed) for text in own]
-                few = [i for i, place in enumerate(order) if place <= share]
-                yield record_batch({"order": [order[i] for i in few], "symbols": [own[i] for i in few]}, layout)
-
-    drawn = coded.select("held", "lengths", "symbols").mapInArrow(draw, _START).orderBy("order", "symbols").limit(START_TEXTS).collect()
-    texts = [np.frombuffer(row["symbols"], dtype="<u2").astype(np.int64) for row in drawn]
-    model = starting_model(texts, background, states, seed)
+                for texts, tokens in text_parts(lengths):
+                    own, (sizes, _) = symbols[tokens], windows(lengths[texts], WINDOW)
+                    around = np.array([np.add.reduceat(vector[own], np.cumsum(sizes) - sizes) for vector in vectors])
+                    around /= np.maximum(np.linalg.norm(around, axis=0), 1e-12)
+                    for k, component in enumerate(around):
+                        total[k] += np.bincount(own, np.repeat(component, sizes), size)
+        item = np.flatnonzero(total.any(axis=0))
+        yield record_batch({"item": item, **{f"c{k}": total[k, item] for k in range(CONTEXT)}}, layout)
+
+    found = coded.select("held", "lengths", "symbols").mapInArrow(surround, f"item int, {sums}")
+    contexts = np.zeros((size, CONTEXT))
+    for row in found.groupBy("item").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(CONTEXT)]).collect():
+        contexts[row[0]] = row[1:]
+    return contexts
+
+
+def train(coded: DataFrame, vocabulary: Vocabulary, *, states: int = STATES, iterations: int = ITERATIONS, seed: int = SEED) -> Model:
+    """The model after `iterations` rounds over all training texts of the coded blocks, which give its starting values too."""
+    background = vocabulary.symbol_tokens + 0.5
+    background = background / background.sum()
+    model = starting_model(symbol_contexts(coded, background, seed), vocabulary.symbol_tokens, background, states, seed)
     for _ in range(iterations):
         model = maximised(baum_welch_round(coded, model), background)
     return model

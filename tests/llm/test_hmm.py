@@ -137,3 +137,36 @@ def test_beats_the_base_on_held_out_texts(spark):
         own = [r for r in found if r.held_out == out]
         assert sum(r.score for r in own) > 0.95 * sum(r.base_score for r in own)
         assert np.mean([r.score > r.base_score for r in own]) > 0.8
+
+
+def test_starting_values_come_from_all_training_texts(spark, monkeypatch):
+    """Three kinds of texts are told apart before the first round, although no few texts hold all kinds."""
+    monkeypatch.setattr(hmm, "START_TEXTS", 1, raising=False)
+    kinds = [["ant", "bee", "cow"], ["dog", "elk", "fox"], ["gnu", "hen", "ibis"]]
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(kinds[i % 3], 12))) for i in range(60)]
+    space = Workspace(spark, "t")
+    blocks = space.table("blocks", hmm.numbered_blocks(documents(spark, rows).repartition(4), None, 100))
+    vocabulary = hmm.count_words(blocks, space)
+    coded = space.table("coded", hmm.coded_blocks(blocks, vocabulary))
+    model = hmm.train(coded, vocabulary, states=3, iterations=0)
+    place = {word: i for i, word in enumerate(vocabulary.head)}
+    shares = np.array([model.emit[[place[word.encode()] for word in kind]].sum(axis=0) for kind in kinds])
+    assert sorted(shares.argmax(axis=1).tolist()) == [0, 1, 2]
+    assert all(best > 3 * second for _, second, best in np.sort(shares, axis=1))
+
+    background = (vocabulary.symbol_tokens + 0.5) / (vocabulary.symbol_tokens + 0.5).sum()
+    vectors = np.random.default_rng(hmm.SEED).standard_normal((hmm.CONTEXT, len(background))) / np.sqrt(background * len(background))
+    want = np.zeros((len(background), hmm.CONTEXT))
+    for _, text in rows:
+        own = [*(place[word.encode()] for word in text.split()), place[hmm.END]]
+        around = vectors[:, own].sum(axis=1)
+        np.add.at(want, own, around / np.linalg.norm(around))
+    assert np.allclose(hmm.symbol_contexts(coded, background), want, atol=1e-4)
+
+
+def test_fewer_kinds_of_symbols_than_states():
+    background = np.array([0.5, 0.25, 0.25])
+    for contexts, weights in (((np.zeros((3, 4))), np.zeros(3)), (np.ones((3, 4)), np.array([4.0, 0, 1]))):
+        model = hmm.starting_model(contexts, weights, background, states=5)
+        assert np.isfinite(model.emit).all() and np.allclose(model.emit.sum(axis=0), 1, atol=1e-5)
