@@ -201,6 +201,11 @@ def _file_bytes(spark: SparkSession, files: list[str]) -> int:
     return total
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that `df` is made from, which are only listed."""
+    return _file_bytes(df.sparkSession, df.inputFiles())
+
+
 def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
     """Rebalanced on the partition column: each value goes to few files, small values share a task, and adaptive
     execution splits a value that holds much of the data over many tasks.
@@ -215,7 +220,7 @@ def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
         spark._jvm.org.apache.spark.sql.internal.SQLConf.ADVISORY_PARTITION_SIZE_IN_BYTES()
     )
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-16 * _file_bytes(spark, df.inputFiles()) // advised)
+    wanted = -(-16 * input_bytes(df) // advised)
     return df.hint("rebalance", max(default, min(MOST_PARTITIONS, wanted)), partition_by)
 
 

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.sources.sinks import input_bytes
+
+#: Bytes of line items, as stored, that a partition of a join takes; they are some twenty times as many in memory.
+JOIN_BYTES = 4 * 1024 * 1024
+
 FACTORS = (("U0", 4.0), ("U1", 8.0), ("U2", 64.0), ("U3", 0.0))
 
 
@@ -16,10 +21,20 @@ def _null_every(n: int, key: str, value: Column) -> Column:
     return F.when(F.col(key) % n != 0, value)
 
 
+def _spread(side: DataFrame, key: str, partitions: int) -> DataFrame:
+    """A side of a join in so many partitions, which the other side then follows. Where the session's number is as large,
+    it is left to adaptive execution."""
+    enough = partitions <= int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return side if enough else side.repartition(partitions, key)
+
+
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of partitions of the joins follows the stored line items, so that of a task's rows does not."""
     lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
     parts = _table(spark, sf_dir, "part")
+    partitions = -(-input_bytes(lines) // JOIN_BYTES)
+    orders, parts = _spread(orders, "o_orderkey", partitions), _spread(parts, "p_partkey", partitions)
     rows = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).join(
         parts, lines["l_partkey"] == parts["p_partkey"]
     )

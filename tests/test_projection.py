@@ -1,8 +1,11 @@
 """The projected inputs have the counts that FIXTURES.md lists, so the cases it names do occur."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import matching, quality
+from ledgerlens.sources import sinks
 from ledgerlens.testkit import projection
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -26,3 +29,25 @@ def test_counts(spark):
 def test_dq_counts(spark):
     report = quality.dq_billing(projection.billing(spark, SF_DIR)).collect()
     assert [row.num_issues for row in report] == [65, 61, 56, 12056, 64, 11902, 71, 68]
+
+
+def test_join_partitions_follow_the_stored_bytes(spark, monkeypatch):
+    """Rows of a task stay few when the tables grow, and where the session's number is enough nothing changes."""
+    path = "/root/testdata/sf0.01"
+    stored = sinks.input_bytes(spark.read.parquet(f"{path}/lineitem.parquet"))
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        want = projection.billing(spark, path)
+        assert exchanges(want) == {8}
+        monkeypatch.setattr(projection, "JOIN_BYTES", stored // 20, raising=False)
+        found = projection.billing(spark, path)
+        assert exchanges(found) == {-(-stored // (stored // 20))}
+        assert found.exceptAll(want).count() == want.exceptAll(found).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\)", plan)}
