@@ -60,6 +60,13 @@ def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pricing terms and units as they occur together, a few rows. One aggregate with sets of both would put every line item
+    into them, since Spark drops a `distinct` below it."""
+    unit = F.concat(F.lit("U"), (F.col("l_linenumber") % 5).cast("string"))
+    return _table(spark, sf_dir, "lineitem").select("l_returnflag", unit.alias("unit")).distinct()
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price per part group, pricing term and unit in use. Grouping comes first: it shrinks what is multiplied.
 
@@ -75,10 +82,10 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.max(F.floor("p_retailprice")).cast("double").alias("precio_lista"))
     )
-    unit = F.concat(F.lit("U"), (F.col("l_linenumber") % 5).cast("string"))
-    in_use = _table(spark, sf_dir, "lineitem").agg(F.collect_set("l_returnflag").alias("terms"), F.collect_set(unit).alias("units")).first()
-    with_term = groups.withColumn("pricing_term", F.explode(F.array(*map(F.lit, sorted(in_use["terms"])))))
-    with_unit = with_term.withColumn("pricing_unit", F.explode(F.array(*map(F.lit, sorted(in_use["units"])))))
+    kinds = line_kinds(spark, sf_dir).collect()
+    terms, units = (sorted({kind[i] for kind in kinds} - {None}) for i in (0, 1))
+    with_term = groups.withColumn("pricing_term", F.explode(F.array(*map(F.lit, terms))))
+    with_unit = with_term.withColumn("pricing_unit", F.explode(F.array(*map(F.lit, units))))
     return with_unit.select(
         "product_code", "product_name", "pricing_term", "pricing_unit", "instance_type", "precio_lista"
     )

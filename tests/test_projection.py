@@ -51,3 +51,14 @@ def test_join_partitions_follow_the_stored_bytes(spark, monkeypatch):
 def exchanges(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return {int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\)", plan)}
+
+
+def test_terms_and_units_without_repeats(spark, tmp_path):
+    """Repeats go before values are gathered, so no set meets every line item. NULL is no term and no unit."""
+    spark.createDataFrame([("B1", "n", "t", 1, 5.0)], "p_brand string, p_name string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    rows = [("A", 1), ("A", 6), ("R", 2), (None, 3), ("A", None)] * 4
+    spark.createDataFrame(rows, "l_returnflag string, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    kinds = projection.line_kinds(spark, str(tmp_path))
+    assert "ObjectHashAggregate" not in kinds._jdf.queryExecution().executedPlan().toString() and kinds.count() == 4
+    found = {(r.pricing_term, r.pricing_unit) for r in projection.prices(spark, str(tmp_path)).collect()}
+    assert found == {(term, unit) for term in "AR" for unit in ("U1", "U2", "U3")}
