@@ -73,7 +73,12 @@ def _claim(spark: SparkSession, home: str) -> int:
         number = max(taken, default=0) + 1
         system, marker = _path(spark, f"{_version(home, number)}.claim")
         try:
-            system.create(marker, False).close()
+            if system.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+                system.mkdirs(marker.getParent())
+                if not spark._jvm.java.io.File(marker.toUri().getPath()).createNewFile():
+                    continue
+            else:
+                system.create(marker, False).close()
             return number
         except Py4JJavaError as error:
             if not system.exists(marker) or "FileAlreadyExists" not in error.java_exception.getClass().getName():
