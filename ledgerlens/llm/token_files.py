@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import Workspace, arrow_schema, byte_texts, documents, record_batch
-from ledgerlens.llm.tokens import encoder, text_slices
+from ledgerlens.llm.tokens import kept_encoder, text_slices
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
@@ -67,7 +67,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
     layout, width = arrow_schema(_TOKENS), id_width(vocabulary, end_id)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, blanks_dropped=False)
+        encode = kept_encoder(vocabulary, blanks_dropped=False)
         end = end_id.to_bytes(width, "little")
         seen = np.zeros(end_id + 1, dtype=np.int64)
         for batch in batches:

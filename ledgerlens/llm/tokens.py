@@ -3,15 +3,18 @@
 A text is cut into units, most of which have been seen; Arrow cuts a slice of texts and gives its distinct units. Cuts lie only where the tokenizer's pre-tokenizer begins a piece
 whatever stands around, so the joined ids of the units are those of the whole text. Units that were not seen are
 encoded many in one call, strung together at such places; the lengths of their tokens tell where each unit ends. The ids of
-a text are then gathered by the numbers of its units. Units of ASCII letters, perhaps with marks after them, are cut into
-their pieces here and go to the library's model directly.
+a text are then gathered by the numbers of its units. What a byte-level tokenizer does to units of Latin letters, digits and
+marks is simple: runs of one kind are its pieces. Those are cut here, and each distinct piece of a task goes to the library's
+model once, whatever units it is part of. For the other kind of tokenizer, so do units of ASCII letters with marks after them.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,7 @@ import pyarrow.compute as pc
 #: Entries of the cache of one task; a full cache starts anew, which changes no result.
 CACHE_UNITS = 500_000
 _UNITS_A_CALL = 1000
+_PIECES_A_CALL = 4000
 
 #: Marks that form one piece after a word. The apostrophe is not among them, because it begins contractions.
 _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -32,6 +36,20 @@ _UNUSUAL_BLANKS = (b"  ", b" \t", b" \n", b" \x0b", b" \x0c", b" \r", *_OTHER_BL
 #: Texts with any of these, or with a NUL, are cut by `space_units`.
 UNUSUAL = " [ \t\n\x0b\x0c\r]|[\x00\x85\xa0\u1680\u2000-\u203f\u205f\u3000]"
 
+#: What bytes are: letters, digits, marks, a line end, a space, the first byte of a Latin letter of two (U+00C0 to U+024F), or other.
+_OTHER, _LETTER, _DIGIT, _MARK, _LINE, _SPACE, _LEAD = range(7)
+_KINDS = np.zeros(256, dtype=np.uint8)
+for _kind, _bytes in (
+    (_LETTER, b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), (_DIGIT, b"0123456789"), (_MARK, _MARKS), (_LINE, b"\n"),
+    (_SPACE, b" "), (_LEAD, b"\xc3\xc4\xc5\xc6\xc7\xc8\xc9"),
+):
+    _KINDS[list(_bytes)] = _kind
+
+#: How byte-level vocabularies spell bytes. No piece holds a NUL, which parts pieces in a call.
+_SPELLED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_ALPHABET = {b: chr(b) for b in _SPELLED} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SPELLED)}
+_ALPHABET = "\n" + "".join(_ALPHABET[b] for b in range(1, 256))
+
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
@@ -46,6 +64,13 @@ class Numbers(dict):
         self.names.append(unit)
         return number
 
+    def of(self, units: list[bytes]) -> np.ndarray:
+        """The numbers of distinct units."""
+        fresh = [unit for unit in units if unit not in self]
+        self.update(zip(fresh, range(len(self.names), len(self.names) + len(fresh)), strict=True))
+        self.names += fresh
+        return np.fromiter(map(self.__getitem__, units), dtype=np.int64, count=len(units))
+
 
 class Store:
     """Ids of all units one after the other; `start` and `count` by number."""
@@ -139,6 +164,40 @@ def distinct_units(texts: list[bytes], blanks_dropped: bool) -> tuple[list[bytes
     return known.names, np.concatenate(parts), np.array(list(map(len, parts)), dtype=np.int64)
 
 
+def plain_runs(units: list[bytes], digits: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(which units are plain, the pieces of the plain ones one after the other, number of pieces of each of them).
+
+    A plain unit has only Latin letters, digits (if `digits` says that a run of them is a piece), marks, and single line ends
+    between those. Its first piece has the space before it.
+    """
+    sizes = np.fromiter(map(len, units), dtype=np.int64, count=len(units)) + 1
+    starts = np.cumsum(sizes) - sizes
+    joined = b" ".join([b"", *units, b""])
+    data = np.frombuffer(joined, dtype=np.uint8)
+    kind = _KINDS[data]
+    lead = np.flatnonzero(kind == _LEAD)
+    first, second = data[lead], data[lead + 1]
+    letter = (second >= 0x80) & (second < 0xC0) & ~((first == 0xC3) & ((second == 0x97) | (second == 0xB7))) & ~((first == 0xC9) & (second >= 0x90))
+    kind[lead] = np.where(letter, _LETTER, _OTHER)
+    kind[lead[letter] + 1] = _LETTER
+    odd = (kind == _OTHER) | (kind == _SPACE)
+    if not digits:
+        odd |= kind == _DIGIT
+    lines = np.flatnonzero(kind == _LINE)
+    odd[lines] = (kind[lines - 1] >= _LINE) | (kind[lines + 1] >= _LINE)
+    odd[starts] = False
+    plain = ~np.logical_or.reduceat(odd[:-1], starts) & (sizes > 1) if len(units) else np.zeros(0, dtype=bool)
+    begin = np.ones(len(data), dtype=bool)  # the space after the last unit ends the last piece
+    begin[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE)
+    begin[starts] = begin[-1] = True
+    offsets = np.flatnonzero(begin)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+    counts = np.diff(np.searchsorted(offsets, np.append(starts, len(data) - 1)))
+    if not plain.all():
+        pieces = pieces.filter(pa.array(np.repeat(plain, counts)))
+    return plain, pieces, counts[plain]
+
+
 def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) -> Encode:
     """A function from UTF-8 texts to (ids of all texts one after the other, the number of ids of each text).
 
@@ -146,7 +205,7 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
     space and never joins across it; otherwise it is byte-level, with words that take the space before them.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
@@ -154,8 +213,11 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
     for token, id_ in whole.get_vocab().items():
         lengths[id_] = len(token.removesuffix("</w>") if blanks_dropped else token)  # a letter of a token is a byte
     model = Tokenizer(whole.model)
-    lead = "" if blanks_dropped else "\u0120"  # how byte-level vocabularies spell a space
+    if not blanks_dropped:
+        model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        digits = isinstance(whole.pre_tokenizer, pre_tokenizers.ByteLevel) and whole.pre_tokenizer.use_regex
     numbers, store = Numbers(), Store()
+    piece_numbers, piece_store = Numbers(), Store()
 
     def add_singly(own: list[int]) -> None:
         texts = [numbers.names[n].decode("utf-8", "replace") for n in own]
@@ -175,16 +237,15 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
         put(own, whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, shown, apart)
 
     def add_words(own: list[int], marks: bool) -> None:
-        """Units of ASCII letters, or of ASCII letters and marks."""
+        """Units of ASCII letters, or of ASCII letters and marks, of a tokenizer that drops blanks."""
         units = [numbers.names[n] for n in own]
         if marks:
             words = [unit.rstrip(_MARKS) for unit in units]
-            pieces = [piece for word, unit in zip(words, units, strict=True) for piece in (lead + word.decode(), unit[len(word) :].decode())]
+            pieces = [piece for word, unit in zip(words, units, strict=True) for piece in (word.decode(), unit[len(word) :].decode())]
         else:
-            pieces = (lead + b"\n".join(units).decode().replace("\n", "\n" + lead)).split("\n")
-        if blanks_dropped:
-            pieces = "\n".join(pieces).lower().split("\n")
-        put(own, model.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, units, len(lead))
+            pieces = b"\n".join(units).decode().split("\n")
+        pieces = "\n".join(pieces).lower().split("\n")
+        put(own, model.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, units, 0)
 
     def put(own: list[int], found: list[int], shown: list[bytes], apart: int) -> None:
         """Keeps ids that spell out units one after the other, each with `apart` bytes more than shown."""
@@ -202,9 +263,9 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
         together: list[list[int]] = [[], []]
         alone, words, marked = [], [], []
         for n, unit in enumerate(numbers.names[first:], first):
-            if unit.isalpha():
+            if blanks_dropped and unit.isalpha():
                 words.append(n)
-            elif unit.rstrip(_MARKS).isalpha():
+            elif blanks_dropped and unit.rstrip(_MARKS).isalpha():
                 marked.append(n)
             elif blanks_dropped:
                 together[not unit.isascii()].append(n)
@@ -228,23 +289,78 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
         for low in range(0, len(alone), 20_000):
             add_singly(alone[low : low + 20_000])
 
-    def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def add_pieces(first: int) -> None:
+        """Encodes the pieces numbered from `first` on, many strung together."""
+        piece_store.reserve(len(piece_numbers.names))
+        for low in range(first, len(piece_numbers.names), _PIECES_A_CALL):
+            pieces = piece_numbers.names[low : low + _PIECES_A_CALL]
+            spelled = codecs.charmap_decode(b"\x00".join(pieces), "strict", _ALPHABET)[0]
+            own = range(low, low + len(pieces))
+            ids = np.array(model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            reached, wanted = np.cumsum(lengths[ids]), np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+            ends = np.searchsorted(reached, wanted) + 1
+            if not len(ids) or ends[-1] != len(ids) or not np.array_equal(reached[ends - 1], wanted):
+                found = [encoding.ids for encoding in model.encode_batch_fast(spelled.split("\n"), add_special_tokens=False)]
+                ids, count = np.array([id_ for one in found for id_ in one], dtype=np.uint32), np.array([len(one) for one in found])
+            else:
+                count = np.diff(ends, prepend=0)
+            piece_store.put(list(own), ids, count)
+
+    def cached(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the distinct units one after the other, number of ids of each), by the cache of units."""
         nonlocal numbers, store
         if len(numbers.names) > cache_units:
             numbers, store = Numbers(), Store()
         first = len(numbers.names)
-        distinct, places, units = distinct_units(texts, blanks_dropped)
-        own = np.fromiter(map(numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        own = numbers.of(units)
         if len(numbers.names) > first:
             add(first)
-        every = own[places]
-        ids, count = store.gather(every)
+        return store.gather(own)
+
+    def cut(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, by the cache of pieces for plain units."""
+        nonlocal piece_numbers, piece_store
+        if len(piece_numbers.names) > cache_units:
+            piece_numbers, piece_store = Numbers(), Store()
+        first = len(piece_numbers.names)
+        plain, pieces, parts = plain_runs(units, digits)
+        coded = pieces.dictionary_encode()
+        distinct = bytes_of(coded.dictionary)
+        own = piece_numbers.of(distinct)
+        if len(piece_numbers.names) > first:
+            add_pieces(first)
+        ids, count = piece_store.gather(own[coded.indices.to_numpy()])
+        count = np.diff(np.concatenate([[0], np.cumsum(count)])[np.cumsum(parts)], prepend=0)
+        if plain.all():
+            return ids, count
+        more, counts = cached([unit for unit, is_plain in zip(units, plain.tolist(), strict=True) if not is_plain])
+        every = np.empty(len(units), dtype=np.int64)
+        every[plain], every[~plain] = count, counts
+        merged = np.empty(len(ids) + len(more), dtype=np.uint32)
+        of_plain = np.repeat(plain, every)
+        merged[of_plain], merged[~of_plain] = ids, more
+        return merged, every
+
+    def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        distinct, places, units = distinct_units(texts, blanks_dropped)
+        found, own = (cached if blanks_dropped else cut)(distinct)
+        here = Store()
+        here.reserve(len(distinct))
+        here.ids, here.used = found, len(found)
+        here.start[: len(own)], here.count[: len(own)] = np.cumsum(own) - own, own
+        ids, count = here.gather(places)
         reached = np.concatenate([[0], np.cumsum(count)])[np.cumsum(units)]
         return ids, np.diff(reached, prepend=0)
 
     return encode
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(path: str, blanks_dropped: bool) -> Encode:
+    """An encoder that the tasks of one Python worker share, one after the other, with its bounded caches."""
+    return encoder(path, blanks_dropped)
+
+
 def text_slices(texts: list[bytes], most: int = 4 << 20):
     """Index ranges of texts of about `most` bytes together, which bounds the ids held at once."""
     begin = held = 0

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from ledgerlens.llm import token_files
 from ledgerlens.llm.common import Workspace
-from ledgerlens.llm.tokens import encoder, vocabulary_path
+from ledgerlens.llm.tokens import bytes_of, encoder, plain_runs, vocabulary_path
 
 PATH = vocabulary_path("byte_bpe_50k.json")
 
@@ -40,6 +40,49 @@ def test_units_give_the_ids_of_whole_texts(name, blanks_dropped):
             assert ids[end - n : end].tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_plain_units_are_cut_into_the_pieces_of_the_tokenizer():
+    rng = random.Random(5)
+    parts = [*"aZé×÷ÿĀɏɐ9١.,-!'_\n\t", "\u0301", "日", "\x00", "ª", "the", "Straße", "\x85"]
+    units = list(dict.fromkeys("".join(rng.choices(parts, k=rng.randint(0, 6))) for _ in range(20_000)))
+    whole = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+    plain, pieces, counts = plain_runs([unit.encode() for unit in units])
+    cut = iter(bytes_of(pieces))
+    counts = iter(counts.tolist())
+    for unit, own in zip(units, plain.tolist(), strict=True):
+        lines = "\n\n" in unit or unit[:1] == "\n" or unit[-1:] == "\n"
+        assert own == (bool(unit) and not lines and set(unit) <= set("aZéÿĀɏ9.,-!_\ntheSraß")), unit
+        if own:
+            # The tokenizer tells pieces by places in characters.
+            found = [(" " + unit)[low:high] for _, (low, high) in whole.pre_tokenizer.pre_tokenize_str(" " + unit)]
+            assert [next(cut).decode() for _ in range(next(counts))] == found, unit
+    assert next(cut, None) is None and sum(plain.tolist()) > 1000
+
+
+def test_pieces_of_units_go_to_the_library_once(monkeypatch):
+    import tokenizers
+
+    given = []
+
+    class Counted:
+        def __init__(self, model):
+            self.own = Tokenizer(model)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.own.encode_batch_fast(texts, **options)
+
+        def __setattr__(self, name, value):
+            object.__setattr__(self, name, value) if name == "own" else setattr(self.own, name, value)
+
+        from_file = staticmethod(Tokenizer.from_file)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    encode = encoder(vocabulary_path("byte_bpe_50k.json"), False)
+    encode(["x début, début.\nfin début! 12".encode(), b"x 12, fin fin."])
+    pieces = [piece for text in given for piece in text.split("\n")]
+    assert sorted(pieces) == sorted(["ĠdÃ©but", ",", ".", "Ċ", "fin", "!", "Ġ12", "Ġfin"])
+
+
 def expected(rows):
     whole = Tokenizer.from_file(PATH)
     whole.encode_special_tokens = True
