@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import Workspace, arrow_schema, byte_texts, documents, record_batch, release_shuffles, runs
+from ledgerlens.llm.tokens import Numbers, distinct_units, text_slices
 
 STATES = 8
 HEAD = 8192
@@ -40,6 +41,8 @@ HEAD_WORD_BYTES = 64
 #: Larger blocks mean fewer dictionary rows; the recursions take the texts of a block in parts of `PART_TOKENS`.
 BLOCK_TOKENS = 1 << 21
 PART_TOKENS = 1 << 20
+#: Texts whose words are cut and told apart in one call.
+SLICE_BYTES = 4 << 20
 WINDOW = 1024
 ITERATIONS = 4
 #: Starting values: components of a symbol's context, and clusterings of the symbols of which the tightest counts.
@@ -56,12 +59,6 @@ _CODED = "block long, doc_ids array<long>, held binary, lengths binary, symbols
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _planes(ids: np.ndarray) -> bytes:
     """Integers of four bytes as four runs of bytes, of which the high ones are nearly all zero and pack well."""
     return ids.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -82,31 +79,34 @@ def numbered_blocks(docs: DataFrame, held_out: int | None, block_tokens: int = B
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 33
-        numbers, held, total = _Numbers(), [], 0
+        numbers, doc_ids, held, total = Numbers(), [], [], 0
 
         def close() -> pa.RecordBatch:
-            ids = np.concatenate([own for _, _, own in held])
-            trained = np.repeat([not out for _, out, _ in held], [len(own) for _, _, own in held])
+            ids, lengths = (np.concatenate(parts) for parts in zip(*held, strict=True))
+            out = np.array([_held_out(doc_id, held_out) for doc_id in doc_ids])
             columns = {
                 "block": [block],
-                "doc_ids": [[i for i, _, _ in held]],
-                "held": [bytes(out for _, out, _ in held)],
-                "lengths": [np.array([len(own) for _, _, own in held], dtype=np.int64).tobytes()],
+                "doc_ids": [doc_ids],
+                "held": [bytes(out.tolist())],
+                "lengths": [lengths.tobytes()],
                 "ids": [_planes(ids)],
-                "words": [list(numbers)],
-                "counts": [np.bincount(ids[trained], minlength=len(numbers))],
+                "words": [numbers.names],
+                "counts": [np.bincount(ids[np.repeat(~out, lengths)], minlength=len(numbers))],
             }
             return record_batch(columns, layout)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
-                words = text.lower().split()
-                words.append(END)
-                held.append((doc_id, _held_out(doc_id, held_out), np.array(list(map(numbers.__getitem__, words)), dtype=np.int32)))
-                total += len(words)
+            own_ids, texts = batch.column(0).to_pylist(), byte_texts(batch.column(1))
+            for low, high in text_slices(texts, min(SLICE_BYTES, 4 * block_tokens)):
+                words, places, counts = distinct_units([text.lower() for text in texts[low:high]], blanks_dropped=True)
+                own = numbers.of([*words, END]).astype(np.int32)
+                ids = np.insert(own[places], np.cumsum(counts), own[-1])
+                doc_ids += own_ids[low:high]
+                held.append((ids, counts + 1))
+                total += len(ids)
                 if total >= block_tokens:
                     yield close()
-                    block, numbers, held, total = block + 1, _Numbers(), [], 0
+                    block, numbers, doc_ids, held, total = block + 1, Numbers(), [], [], 0
         if held:
             yield close()
 
@@ -220,8 +220,9 @@ class Steps:
         starts = (np.cumsum(lengths) - lengths)[self.order]
         begins = np.repeat(starts, self.lengths)
         within = np.arange(len(begins)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.index = (begins + within)[np.argsort(within.astype(np.int32), kind="stable")]
         longest = int(self.lengths[0]) if len(lengths) else 0
+        # Numbers of two bytes are sorted in linear time; windows of training texts are short enough.
+        self.index = (begins + within)[np.argsort(within.astype(np.uint16 if longest <= 1 << 16 else np.int32), kind="stable")]
         self.alive = len(lengths) - np.searchsorted(self.lengths[::-1], np.arange(longest), side="right")
         self.offset = np.concatenate([[0], np.cumsum(self.alive)])
 
@@ -274,7 +275,7 @@ def windows(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 def expected_counts(model: Model, symbols: np.ndarray, lengths: np.ndarray, begins: np.ndarray) -> Model:
     """Expected starts, moves and emissions of the sequences; `begins` marks those that begin a text."""
     steps = Steps(lengths)
-    laid = symbols[steps.index]
+    laid = symbols[steps.index].astype(np.intp)
     emitted = model.emit[laid]
     begins = begins[steps.order]
     first = np.where(begins[:, None], model.start, model.stationary().astype(model.start.dtype)).astype(emitted.dtype)
@@ -398,11 +399,15 @@ def symbol_contexts(coded: DataFrame, background: np.ndarray, seed: int = SEED)
             for row in range(batch.num_rows):
                 symbols, lengths = _training(batch, row)
                 for texts, tokens in text_parts(lengths):
-                    own, (sizes, _) = symbols[tokens], windows(lengths[texts], WINDOW)
+                    own, (sizes, _) = symbols[tokens].astype(np.intp), windows(lengths[texts], WINDOW)
                     around = np.array([np.add.reduceat(vector[own], np.cumsum(sizes) - sizes) for vector in vectors])
                     around /= np.maximum(np.linalg.norm(around, axis=0), 1e-12)
-                    for k, component in enumerate(around):
-                        total[k] += np.bincount(own, np.repeat(component, sizes), size)
+                    # The windows of each symbol's tokens, symbol by symbol.
+                    by_symbol = np.argsort(symbols[tokens], kind="stable")
+                    met = np.repeat(np.arange(len(sizes)), sizes)[by_symbol]
+                    here, first = np.unique(own[by_symbol], return_index=True)
+                    for k, component in enumerate(around.astype(np.float64)):
+                        total[k, here] += np.add.reduceat(component[met], first)
         item = np.flatnonzero(total.any(axis=0))
         yield record_batch({"item": item, **{f"c{k}": total[k, item] for k in range(CONTEXT)}}, layout)
 

@@ -170,3 +170,25 @@ def test_fewer_kinds_of_symbols_than_states():
     for contexts, weights in (((np.zeros((3, 4))), np.zeros(3)), (np.ones((3, 4)), np.array([4.0, 0, 1]))):
         model = hmm.starting_model(contexts, weights, background, states=5)
         assert np.isfinite(model.emit).all() and np.allclose(model.emit.sum(axis=0), 1, atol=1e-5)
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 40, 1 << 20])
+def test_blocks_number_the_words_of_slices(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(hmm, "SLICE_BYTES", slice_bytes)
+    texts = [None, "", " \t", "A b a", "É é\x1cx \x85 \x00 b\r\nB", "a\x0bc\x0c", "　x\xa0y a"] * 3
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {}
+    for block in hmm.numbered_blocks(docs, hmm.HELD_OUT).collect():
+        ids, lengths = hmm._from_planes(block.ids), np.frombuffer(block.lengths, dtype=np.int64)
+        words = [bytes(w) for w in block.words]
+        assert len(set(words)) == len(words)
+        own = [words[i] for i in ids]
+        seen = Counter()
+        for doc_id, out, end, n in zip(block.doc_ids, block.held, np.cumsum(lengths), lengths, strict=True):
+            found[doc_id] = own[end - n : end]
+            assert out == hmm._held_out(doc_id, hmm.HELD_OUT)
+            if not out:
+                seen.update(found[doc_id])
+        assert block.counts == [seen[w] for w in words]
+    assert found == {i: [*(text or "").translate(UPPER).encode().split(), hmm.END] for i, text in rows}
