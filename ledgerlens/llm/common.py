@@ -19,6 +19,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Rows that go to Python in one batch, unless the session says otherwise. Spark's own number, 10,000, is tens of MB of
+#: texts, which JVM and Python hold several times over.
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session, whose own setting stays if it has one."""
+    if spark.conf.get(_BATCH_ROWS, None) is None:
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+
 
 class Workspace:
     """Parquet tables of one run in the shared folder; what they hold outlives any executor.

@@ -26,6 +26,8 @@ BUCKET_BYTES = 16 << 20
 MAX_DEPTH = 16
 ENTRY_BATCH_BYTES = 32 << 20
 ENTRY_BATCH_IDS = 100_000
+#: Entries leave a task in Arrow batches of about so many bytes.
+SENT_BYTES = 4 << 20
 
 _ENTRIES = "entry long, key long, sha string, least long, copies long, ids array<long>, text binary"
 _INDEX = "entry long, bucket int, key long, chain int, sha string, keep_id long, group_size long, keeper boolean"
@@ -57,24 +59,27 @@ def entries(docs: DataFrame, key=text_key, batch_bytes: int = ENTRY_BATCH_BYTES)
         seen: dict[bytes, list] = {}
         held = rows = 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal made, held, rows
-            for ids in seen.values():
-                ids.sort(key=lambda i: large if i is None else i)
-            columns = {
-                "entry": range(made, made + len(seen)),
-                "key": [key(text) for text in seen],
-                "sha": [hashlib.sha256(text).hexdigest() for text in seen],
-                "least": [ids[0] for ids in seen.values()],
-                "copies": [len(ids) for ids in seen.values()],
-                "ids": list(seen.values()),
-                "text": list(seen),
-            }
-            batch = record_batch(columns, layout)
-            made += len(seen)
-            seen.clear()
+            while seen:
+                part, size = [], 0
+                while seen and size < SENT_BYTES:
+                    text, ids = seen.popitem()
+                    ids.sort(key=lambda i: large if i is None else i)
+                    part.append((text, ids))
+                    size += len(text) + 8 * len(ids)
+                columns = {
+                    "entry": range(made, made + len(part)),
+                    "key": [key(text) for text, _ in part],
+                    "sha": [hashlib.sha256(text).hexdigest() for text, _ in part],
+                    "least": [ids[0] for _, ids in part],
+                    "copies": [len(ids) for _, ids in part],
+                    "ids": [ids for _, ids in part],
+                    "text": [text for text, _ in part],
+                }
+                made += len(part)
+                yield record_batch(columns, layout)
             held = rows = 0
-            return batch
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
@@ -87,9 +92,9 @@ def entries(docs: DataFrame, key=text_key, batch_bytes: int = ENTRY_BATCH_BYTES)
                     ids.append(doc_id)
                 rows += 1
                 if held >= batch_bytes or rows >= ENTRY_BATCH_IDS:
-                    yield flush()
+                    yield from flush()
         if seen:
-            yield flush()
+            yield from flush()
 
     return documents(docs).mapInArrow(combine, _ENTRIES)
 

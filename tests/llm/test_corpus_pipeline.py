@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_cases import ROWS, documents, no_documents
 from test_simhash import components, fingerprint
@@ -89,3 +90,19 @@ def test_run_on_edge_cases_and_empty_tables(spark, tmp_path):
         assert corpus_pipeline.run(spark, empty).count() == 0
     finally:
         spark.conf.unset(corpus_pipeline.PACKED_PATH)
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    docs = spark.range(0, 2500, 1, 1).selectExpr("id doc_id", "concat('a b ', id) text")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    sizes = lambda batches: (pa.record_batch([pa.array([b.num_rows], pa.int64())], names=["doc_id"]) for b in batches)
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        corpus_pipeline.drop_exact_copies(spark, docs, SF)
+        assert max(r.doc_id for r in docs.mapInArrow(sizes, "doc_id long").collect()) == 1000
+        spark.conf.set(key, "77")
+        corpus_pipeline.drop_exact_copies(spark, docs, SF)
+        assert spark.conf.get(key) == "77"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

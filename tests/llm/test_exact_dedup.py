@@ -3,8 +3,10 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from edge_cases import ROWS, documents, no_documents
 
+from ledgerlens.llm import exact_dedup
 from ledgerlens.llm.common import Workspace
 from ledgerlens.llm.exact_dedup import build_directory, drop_copies, exact_groups, normalised
 
@@ -74,3 +76,21 @@ def test_drop_copies_keeps_columns(spark):
     assert len(rows) == groups
     assert {r.doc_id for r in rows} == {keep for _, keep, _, _ in want}
     assert drop_copies(no_documents(spark), Workspace(spark, "t")).count() == 0
+
+
+def test_entries_leave_a_task_in_small_batches(monkeypatch):
+    class Rows:
+        def mapInArrow(self, combine, layout):
+            return combine
+
+    monkeypatch.setattr(exact_dedup, "documents", lambda docs: docs)
+    monkeypatch.setattr(exact_dedup, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 3})())}))
+    monkeypatch.setattr(exact_dedup, "SENT_BYTES", 5000)
+    texts = [f"{i % 50:04d}" * 250 for i in range(100)]
+    batch = pa.record_batch([pa.array(range(100), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    sent = list(exact_dedup.entries(Rows())(iter([batch])))
+    assert max(b.num_rows for b in sent) <= 5 and len(sent) >= 10
+    rows = [row for b in sent for row in b.to_pylist()]
+    assert sorted(row["entry"] for row in rows) == [(3 << 33) + i for i in range(50)]
+    assert {row["text"].decode(): row["ids"] for row in rows} == {texts[i]: [i, i + 50] for i in range(50)}
+    assert all(row["least"] == row["ids"][0] and row["copies"] == 2 for row in rows)
