@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_schema, byte_texts, documents, record_batch
-from ledgerlens.llm.tokens import encoder, text_slices
+from ledgerlens.llm.tokens import kept_encoder, text_slices
 
 MAX_TOKENS = 2048
 END_ID = 1
@@ -42,7 +42,7 @@ def binary_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, blanks_dropped=True)
+        encode = kept_encoder(vocabulary, blanks_dropped=True)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), byte_texts(batch.column(1))
             for low, high in text_slices(texts):

@@ -5,7 +5,8 @@ whatever stands around, so the joined ids of the units are those of the whole te
 encoded many in one call, strung together at such places; the lengths of their tokens tell where each unit ends. The ids of
 a text are then gathered by the numbers of its units. What a byte-level tokenizer does to units of Latin letters, digits and
 marks is simple: runs of one kind are its pieces. Those are cut here, and each distinct piece of a task goes to the library's
-model once, whatever units it is part of. For the other kind of tokenizer, so do units of ASCII letters with marks after them.
+model once, whatever units it is part of. For the other kind of tokenizer, so do those of units of Latin letters and marks,
+in small letters.
 """
 
 from __future__ import annotations
@@ -164,20 +165,25 @@ def distinct_units(texts: list[bytes], blanks_dropped: bool) -> tuple[list[bytes
     return known.names, np.concatenate(parts), np.array(list(map(len, parts)), dtype=np.int64)
 
 
-def plain_runs(units: list[bytes], digits: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def plain_runs(units: list[bytes], digits: bool = True, lowers: bool = False) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(which units are plain, the pieces of the plain ones one after the other, number of pieces of each of them).
 
     A plain unit has only Latin letters, digits (if `digits` says that a run of them is a piece), marks, and single line ends
-    between those. Its first piece has the space before it.
+    between those. Its first piece has the space before it. If the tokenizer `lowers`, ASCII letters come out small, and U+0130 is
+    no such letter, because it becomes two characters.
     """
     sizes = np.fromiter(map(len, units), dtype=np.int64, count=len(units)) + 1
     starts = np.cumsum(sizes) - sizes
     joined = b" ".join([b"", *units, b""])
+    if lowers:
+        joined = joined.lower()
     data = np.frombuffer(joined, dtype=np.uint8)
     kind = _KINDS[data]
     lead = np.flatnonzero(kind == _LEAD)
     first, second = data[lead], data[lead + 1]
     letter = (second >= 0x80) & (second < 0xC0) & ~((first == 0xC3) & ((second == 0x97) | (second == 0xB7))) & ~((first == 0xC9) & (second >= 0x90))
+    if lowers:
+        letter &= (first != 0xC4) | (second != 0xB0)
     kind[lead] = np.where(letter, _LETTER, _OTHER)
     kind[lead[letter] + 1] = _LETTER
     odd = (kind == _OTHER) | (kind == _SPACE)
@@ -213,9 +219,8 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
     for token, id_ in whole.get_vocab().items():
         lengths[id_] = len(token.removesuffix("</w>") if blanks_dropped else token)  # a letter of a token is a byte
     model = Tokenizer(whole.model)
-    if not blanks_dropped:
-        model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
-        digits = isinstance(whole.pre_tokenizer, pre_tokenizers.ByteLevel) and whole.pre_tokenizer.use_regex
+    model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+    digits = isinstance(whole.pre_tokenizer, pre_tokenizers.ByteLevel) and whole.pre_tokenizer.use_regex
     numbers, store = Numbers(), Store()
     piece_numbers, piece_store = Numbers(), Store()
 
@@ -236,17 +241,6 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
             shown = [part.encode() for part in whole.normalizer.normalize_str(text).split(" ")]
         put(own, whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, shown, apart)
 
-    def add_words(own: list[int], marks: bool) -> None:
-        """Units of ASCII letters, or of ASCII letters and marks, of a tokenizer that drops blanks."""
-        units = [numbers.names[n] for n in own]
-        if marks:
-            words = [unit.rstrip(_MARKS) for unit in units]
-            pieces = [piece for word, unit in zip(words, units, strict=True) for piece in (word.decode(), unit[len(word) :].decode())]
-        else:
-            pieces = b"\n".join(units).decode().split("\n")
-        pieces = "\n".join(pieces).lower().split("\n")
-        put(own, model.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, units, 0)
-
     def put(own: list[int], found: list[int], shown: list[bytes], apart: int) -> None:
         """Keeps ids that spell out units one after the other, each with `apart` bytes more than shown."""
         ids = np.array(found, dtype=np.uint32)
@@ -261,13 +255,9 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
         """Encodes the units numbered from `first` on."""
         store.reserve(len(numbers.names))
         together: list[list[int]] = [[], []]
-        alone, words, marked = [], [], []
+        alone = []
         for n, unit in enumerate(numbers.names[first:], first):
-            if blanks_dropped and unit.isalpha():
-                words.append(n)
-            elif blanks_dropped and unit.rstrip(_MARKS).isalpha():
-                marked.append(n)
-            elif blanks_dropped:
+            if blanks_dropped:
                 together[not unit.isascii()].append(n)
             # What begins or ends with a blank, or is a first unit, is not strung together with others.
             elif unit and unit[0] > 32 and unit[-1] > 32:
@@ -280,9 +270,6 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
                 odd = {n for n in together[0] if any(pair in numbers.names[n] for pair in _OTHER_BLANKS)}
                 together[0] = [n for n in together[0] if n not in odd]
                 alone += odd
-        for own, marks in ((words, False), (marked, True)):
-            for low in range(0, len(own), _UNITS_A_CALL):
-                add_words(own[low : low + _UNITS_A_CALL], marks)
         for own in together:
             for low in range(0, len(own), _UNITS_A_CALL):
                 add_together(own[low : low + _UNITS_A_CALL])
@@ -294,7 +281,11 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
         piece_store.reserve(len(piece_numbers.names))
         for low in range(first, len(piece_numbers.names), _PIECES_A_CALL):
             pieces = piece_numbers.names[low : low + _PIECES_A_CALL]
-            spelled = codecs.charmap_decode(b"\x00".join(pieces), "strict", _ALPHABET)[0]
+            joined = b"\x00".join(pieces)
+            if blanks_dropped:
+                joined = joined.replace(b" ", b"").decode().lower().encode()
+                pieces = joined.split(b"\x00")
+            spelled = codecs.charmap_decode(joined, "strict", _ALPHABET)[0]
             own = range(low, low + len(pieces))
             ids = np.array(model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, dtype=np.uint32)
             reached, wanted = np.cumsum(lengths[ids]), np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
@@ -323,7 +314,7 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
         if len(piece_numbers.names) > cache_units:
             piece_numbers, piece_store = Numbers(), Store()
         first = len(piece_numbers.names)
-        plain, pieces, parts = plain_runs(units, digits)
+        plain, pieces, parts = plain_runs(units, digits, lowers=blanks_dropped)
         coded = pieces.dictionary_encode()
         distinct = bytes_of(coded.dictionary)
         own = piece_numbers.of(distinct)
@@ -343,7 +334,7 @@ def encoder(path: str, blanks_dropped: bool, cache_units: int = CACHE_UNITS) ->
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         distinct, places, units = distinct_units(texts, blanks_dropped)
-        found, own = (cached if blanks_dropped else cut)(distinct)
+        found, own = cut(distinct)
         here = Store()
         here.reserve(len(distinct))
         here.ids, here.used = found, len(found)

@@ -1,12 +1,15 @@
+import random
 import zlib
 
 import numpy as np
+import pytest
+import tokenizers
 from edge_cases import ROWS, documents, no_documents
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerlens.llm import packing, queries
-from ledgerlens.llm.tokens import vocabulary_path
+from ledgerlens.llm.tokens import encoder, vocabulary_path
 
 PATH = vocabulary_path("word_bpe_49k.json")
 
@@ -64,3 +67,47 @@ def test_query_and_pipeline_read_what_is_bucketed(spark):
             rows = spark.read.parquet(f"{folder}/length={length}").collect()
             assert rows and all(len(r.ids) == 4 * length for r in rows)
     assert packing.bucketed_digest(packing.binary_pieces(no_documents(spark), PATH), f"{folder}-empty").count() == 0
+
+
+@pytest.mark.parametrize("cache_units", [5, 500_000])
+def test_latin_letters_in_any_case_give_the_ids_of_whole_texts(cache_units):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0xC0, 0x250)]
+    parts = [*letters, *"aZ'.-&_9 \t\x00\u0331\u0301\u0307\u212b", "The", "THE", "日", "'S"]
+    texts = ["", " ", *letters, *("x" + c for c in letters), *("(" + c + "H\u0331" for c in letters)]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)]
+    whole = Tokenizer.from_file(PATH)
+    whole.encode_special_tokens = True
+    encode = encoder(PATH, True, cache_units)
+    for low in range(0, len(texts), 250):
+        ids, counts = encode([text.encode() for text in texts[low : low + 250]])
+        ends = np.cumsum(counts)
+        for text, end, n in zip(texts[low : low + 250], ends, counts, strict=True):
+            assert ids[end - n : end].tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    ids, counts = encode([b"", b" \n"])
+    assert not len(ids) and counts.tolist() == [0, 0]
+
+
+def test_words_go_to_the_library_once_whatever_case_and_marks(monkeypatch):
+    given = []
+
+    class Counted:
+        def __init__(self, model):
+            self.own = Tokenizer(model)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.own.encode_batch_fast(texts, **options)
+
+        def __setattr__(self, name, value):
+            object.__setattr__(self, name, value) if name == "own" else setattr(self.own, name, value)
+
+        from_file = staticmethod(Tokenizer.from_file)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    encode = encoder(PATH, True)
+    encode([b"Word, word. WORD", "(word) début-word".encode()])
+    encode([b"word; Word"])
+    words = [word for text in given for word in (text.split("\n") if isinstance(text, str) else text)]
+    # A piece that begins a unit and one that does not are told apart by the space before the first.
+    assert sorted(set(words)) == sorted({"word", "dÃ©but", "(", ")", ",", ".", "-", ";"}) and words.count("word") <= 2
