@@ -5,16 +5,18 @@ slice both id lists into groups, and within a group every pair of tokens whose b
 
 1. Each task cuts texts at spaces where both tokenizers begin a token and aligns every different stretch once. It numbers
    the groups of its blocks (some two million tokens each): a document is a list of numbers, and the block's dictionary
-   says which id pairs a group links and how often the block has each pair.
+   says which id pairs a group links and how often the block has each pair. Documents leave the task in parts of a block,
+   so no row grows with the block.
 2. The blocks' pairs, one row per pair and block rather than per link, are summed to the corpus-wide counts and compared
    with the highest of their second id; a join brings each dictionary its counts.
-3. Sums over groups, then over documents, give the figures.
+3. Each block's counts, dictionary and parts follow one another; sums over groups, then over documents, give the figures.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,16 +31,25 @@ from ledgerlens.llm.tokens import UNUSUAL, Numbers, Store, bytes_of, encoder, te
 
 #: Tokens of the first tokenizer after which a block ends: larger blocks mean fewer dictionary rows.
 BLOCK_TOKENS = 1 << 21
-#: Stretches of text remembered by a task; a full memory starts anew, which changes no result.
+#: Groups of a part of a block, or those of one document if it has more.
+PART_GROUPS = 100_000
+#: Stretches of text, and groups, remembered by a task; a full memory starts anew, which changes no result.
 REMEMBERED = 250_000
+REMEMBERED_GROUPS = 100_000
+#: Bytes of rows that go to Python in one batch. JVM and Python hold a batch several times over, beside the JVM's heap.
+BATCH_BYTES = 4 << 20
 _SLICE_BYTES = 1 << 19
 _STRETCHES_A_CALL = 1000
 
+#: Rows of a block, in this order: counts of its pairs, its dictionary, its parts.
+_COUNTED, _DICTIONARY, _PART = range(3)
 _BLOCKS = (
-    "block long, doc_ids array<long>, n_a binary, n_b binary, n_groups binary, n_links binary, digests array<string>, "
+    "block long, kind int, doc_ids array<long>, n_a binary, n_b binary, n_groups binary, n_links binary, digests array<string>, "
     "groups binary, group_links binary, link_pairs binary, pairs array<long>, counts array<long>"
 )
-_LOOKUP = "block long, counts binary, best binary"
+#: Parquet's writer and Spark's reader hold a row group, whose rows here are some hundred KB each, compressed or not.
+_FEW_ROWS = {"parquet.block.row.count.limit": "32", "parquet.page.row.count.limit": "4", "parquet.page.size.row.check.min": "4", "parquet.enable.dictionary": "false"}
+_LOOKUP = "block long, kind int, pair_counts binary, pair_best binary"
 _FIGURES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 #: A pair is one number: the first id times this, plus the second.
@@ -137,7 +148,8 @@ class Groups:
         self.a, self.b = a, b
         self.numbers = Numbers()
         self.texts: list[bytes] = []
-        self.links: list[list[int]] = []
+        self.links = Store()
+        self.links.ids = np.empty(1 << 14, dtype=np.int64)
 
     def number(self, ids_a: np.ndarray, to_a: np.ndarray, ids_b: np.ndarray, to_b: np.ndarray) -> list[int]:
         """Numbers of the groups that end at given places of both sides."""
@@ -147,10 +159,13 @@ class Groups:
         of_a, of_b = tuple(ids_a.tolist()), tuple(ids_b.tolist())
         for g, i, k, j, m in zip(*(of.tolist() for of in (several, *(at[several] for at in (from_a, to_a, from_b, to_b)))), strict=True):
             groups[g] = of_a[i:k], of_b[j:m]
-        found = list(map(self.numbers.__getitem__, groups))
-        for left, right in map(group_ids, self.numbers.names[len(self.links) :]):
-            self.links.append([x * PAIR + y for x, y in group_links(left, right, self.a.sizes, self.b.sizes)])
+        found, first, links = list(map(self.numbers.__getitem__, groups)), len(self.texts), []
+        for left, right in map(group_ids, self.numbers.names[first:]):
+            links.append([x * PAIR + y for x, y in group_links(left, right, self.a.sizes, self.b.sizes)])
             self.texts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}".encode())
+        sizes = np.fromiter(map(len, links), dtype=np.int64, count=len(links))
+        self.links.reserve(len(self.texts))
+        self.links.put(list(range(first, len(self.texts))), np.fromiter(chain.from_iterable(links), dtype=np.int64, count=int(sizes.sum())), sizes)
         return found
 
 
@@ -235,58 +250,66 @@ class Stretches:
         self.same = np.concatenate([self.same, same])
 
 
+@lru_cache(maxsize=1)
+def kept_stretches(path_a: str, path_b: str) -> Stretches:
+    """Both tokenizers, loaded once for the tasks of a Python worker, which run one after the other."""
+    return Stretches(path_a, path_b)
+
+
 class _Block:
-    """Documents of a block with the numbers of their groups."""
+    """Places of a block's groups in its dictionary, and how often it has each of them."""
 
     def __init__(self, number: int):
         self.number, self.tokens = number, 0
-        self.doc_ids: list[int | None] = []
-        self.figures: list[np.ndarray] = []
-        self.digests: list[str] = []
-        self.used: list[np.ndarray] = []
-
-    def add(self, doc_ids: list[int | None], texts: list[bytes], stretches: Stretches) -> None:
+        self.places = self.met = self.counts = np.empty(0, dtype=np.int64)
+
+    def _placed(self, groups: np.ndarray, known: int) -> np.ndarray:
+        """Places of groups, by their numbers in a task that has met so many."""
+        self.places = np.concatenate([self.places, np.full(known - len(self.places), -1)])
+        fresh = np.unique(groups[self.places[groups] < 0])
+        self.places[fresh] = np.arange(len(self.met), len(self.met) + len(fresh))
+        self.met = np.concatenate([self.met, fresh])
+        places = self.places[groups]
+        counts = np.bincount(places, minlength=len(self.met))
+        counts[: len(self.counts)] += self.counts
+        self.counts = counts
+        return places
+
+    def parts(self, doc_ids: list[int | None], texts: list[bytes], stretches: Stretches) -> list[dict]:
+        """Rows of documents with the places of their groups."""
         units, places, counts = stretches.cut(texts)
         every = stretches.number(units)[places]
         same = sums(~stretches.same[every], counts) == 0
         every, counts = every[np.repeat(same, counts)], counts * same
         groups, each = stretches.held.gather(every)
         n_groups = sums(each, counts)
-        self.figures.append(np.array([sums(stretches.n_a[every], counts), sums(stretches.n_b[every], counts), n_groups]))
-        names, stops = list(map(stretches.groups.texts.__getitem__, groups.tolist())), np.cumsum(n_groups).tolist()
-        self.digests += [hashlib.sha256(b";".join(names[low:high])).hexdigest() if high > low else "" for low, high in zip([0, *stops], stops, strict=False)]
-        self.doc_ids += doc_ids
-        self.used.append(groups)
-        self.tokens += int(self.figures[-1][0].sum())
-
-    def columns(self, groups: Groups) -> dict[str, list]:
-        """The block with dictionaries of its own."""
-        n_a, n_b, n_groups = np.concatenate(self.figures, axis=1)
-        met, used = np.unique(np.concatenate(self.used), return_inverse=True)
-        links = [groups.links[g] for g in met.tolist()]
-        sizes = np.fromiter(map(len, links), dtype=np.int64, count=len(links))
-        every = np.fromiter(chain.from_iterable(links), dtype=np.int64, count=int(sizes.sum()))
+        n_a, n_b = sums(stretches.n_a[every], counts), sums(stretches.n_b[every], counts)
+        n_links = sums(stretches.groups.links.count[groups], n_groups)
+        self.tokens += int(n_a.sum())
+        names, used, stops = list(map(stretches.groups.texts.__getitem__, groups.tolist())), self._placed(groups, len(stretches.groups.texts)), np.cumsum(n_groups)
+        starts = stops - n_groups
+        digests = [hashlib.sha256(b";".join(names[low:high])).hexdigest() if high > low else "" for low, high in zip(starts.tolist(), stops.tolist(), strict=True)]
+        rows, low = [], 0
+        while low < len(texts):
+            high = max(low + 1, int(np.searchsorted(stops, starts[low] + PART_GROUPS, side="right")))
+            row = {"block": self.number, "kind": _PART, "doc_ids": doc_ids[low:high], "digests": digests[low:high]}
+            row |= {name: _packed(own[low:high]) for name, own in (("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups), ("n_links", n_links))}
+            rows.append(row | {"groups": _packed(used[starts[low] : stops[high - 1]], "<u4")})
+            low = high
+        return rows
+
+    def dictionary(self, groups: Groups) -> dict:
+        """The row that says which pairs the groups link, and how often the block has each pair."""
+        every, sizes = groups.links.gather(self.met)
         pairs, place = np.unique(every, return_inverse=True)
         counts = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(counts, place, np.repeat(np.bincount(used, minlength=len(met)), sizes))
-        return {
-            "block": [self.number],
-            "doc_ids": [self.doc_ids],
-            "n_a": [_packed(n_a)],
-            "n_b": [_packed(n_b)],
-            "n_groups": [_packed(n_groups)],
-            "n_links": [_packed(sums(sizes[used], n_groups))],
-            "digests": [self.digests],
-            "groups": [_packed(used, "<u4")],
-            "group_links": [_packed(sizes, "<u4")],
-            "link_pairs": [_packed(place, "<u4")],
-            "pairs": [pairs.tolist()],
-            "counts": [counts.tolist()],
-        }
+        np.add.at(counts, place, np.repeat(self.counts, sizes))
+        row = {"block": self.number, "kind": _DICTIONARY, "group_links": _packed(sizes, "<u4"), "link_pairs": _packed(place, "<u4")}
+        return row | {"pairs": pairs, "counts": counts}
 
 
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of whole texts as numbers of groups, with their dictionaries of groups and pairs.
+    """Blocks of whole texts as numbers of groups, in parts, with their dictionaries of groups and pairs.
 
     `path_a` is a byte-level vocabulary of `tokenizers`, which encodes a space and the text; `path_b` a sentencepiece
     model that adds that space itself.
@@ -294,21 +317,31 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_tokens: int
     layout = arrow_schema(_BLOCKS.replace("array<string>", "array<long>"))
     layout = layout.set(layout.get_field_index("digests"), pa.field("digests", pa.list_(pa.string())))
 
+    def rows(found: list[dict]) -> pa.RecordBatch:
+        return record_batch({name: [row.get(name) for row in found] for name in layout.names}, layout)
+
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stretches, block = Stretches(path_a, path_b), _Block(TaskContext.get().partitionId() << 33)
+        stretches, block = kept_stretches(path_a, path_b), None
+        # A worker that waits, or does other work, holds the tokenizers only; a task that failed may have left more.
+        stretches.forget(True)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), byte_texts(batch.column(1))
             for low, high in text_slices(texts, 2 * _SLICE_BYTES):
-                block.add(doc_ids[low:high], texts[low:high], stretches)
+                block = block or _Block(TaskContext.get().partitionId() << 33)
+                yield rows(block.parts(doc_ids[low:high], texts[low:high], stretches))
                 if len(stretches.numbers.names) > REMEMBERED:
                     stretches.forget(False)
-                if block.tokens >= block_tokens:
-                    yield record_batch(block.columns(stretches.groups), layout)
+                full = len(stretches.groups.texts) > REMEMBERED_GROUPS
+                if full or block.tokens >= block_tokens:
+                    yield rows([block.dictionary(stretches.groups)])
                     block = _Block(block.number + 1)
-                    if len(stretches.groups.texts) > REMEMBERED:
+                    if full:
                         stretches.forget(True)
-        if block.doc_ids:
-            yield record_batch(block.columns(stretches.groups), layout)
+            # Else Arrow keeps what it freed, and the worker is as large as its largest moments together.
+            pa.default_memory_pool().release_unused()
+        if block:
+            yield rows([block.dictionary(stretches.groups)])
+        stretches.forget(True)
 
     return documents(docs).mapInArrow(align, _BLOCKS)
 
@@ -337,33 +370,31 @@ def link_figures(blocks: DataFrame, counts: DataFrame) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["block"]):
-            yield record_batch({"block": group["block"][:1], "counts": [_packed(group["n"])], "best": [_packed(group["best"], "u1")]}, lookup)
+            figures = {"pair_counts": [_packed(group["n"])], "pair_best": [_packed(group["best"], "u1")]}
+            yield record_batch({"block": group["block"][:1], "kind": [_COUNTED], **figures}, lookup)
 
     lookups = looked.repartition("block").sortWithinPartitions("block", "place").mapInArrow(gather, _LOOKUP)
-    names = ["doc_ids", "n_a", "n_b", "n_groups", "n_links", "digests", "groups", "group_links", "link_pairs", "counts", "best"]
-    # A block whose texts have no tokens has no pairs.
-    joined = blocks.drop("pairs", "counts").join(lookups, "block", "left").select(*names)
+    every = blocks.drop("pairs", "counts").unionByName(lookups, allowMissingColumns=True)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A block whose texts have no tokens has no pairs, and so no row with their counts.
+        count = first = count_of = first_of = np.empty(0, dtype=np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                doc_ids, *packed, digests, groups, links, pairs, counts, best = (batch.column(i)[row].as_py() for i in range(len(names)))
-                n_a, n_b, n_groups, n_links = (np.frombuffer(own, dtype="<i8") for own in packed)
-                groups, links, pairs = (np.frombuffer(own, dtype="<u4").astype(np.int64) for own in (groups, links, pairs))
-                count, first = np.frombuffer(counts or b"", dtype="<i8"), np.frombuffer(best or b"", dtype="u1").astype(np.int64)
-                columns = {
-                    "doc_id": doc_ids,
-                    "n_a": n_a,
-                    "n_b": n_b,
-                    "n_groups": n_groups,
-                    "n_links": n_links,
-                    "n_best": sums(sums(first[pairs], links)[groups], n_groups),
-                    "count_sum": sums(sums(count[pairs], links)[groups], n_groups),
-                    "groups_sha256": digests,
-                }
-                yield record_batch(columns, layout)
-
-    return joined.mapInArrow(add_up, _FIGURES)
+                own = {name: batch.column(i)[row].as_py() for i, name in enumerate(batch.schema.names)}
+                if own["kind"] == _COUNTED:
+                    count, first = np.frombuffer(own["pair_counts"], dtype="<i8"), np.frombuffer(own["pair_best"], dtype="u1").astype(np.int64)
+                elif own["kind"] == _DICTIONARY:
+                    links, pairs = (np.frombuffer(own[name], dtype="<u4").astype(np.int64) for name in ("group_links", "link_pairs"))
+                    count_of, first_of = sums(count[pairs], links), sums(first[pairs], links)
+                else:
+                    groups, n_groups = np.frombuffer(own["groups"], dtype="<u4").astype(np.int64), np.frombuffer(own["n_groups"], dtype="<i8")
+                    columns = {name: np.frombuffer(own[name], dtype="<i8") for name in ("n_a", "n_b", "n_links")}
+                    columns |= {"doc_id": own["doc_ids"], "n_groups": n_groups, "groups_sha256": own["digests"]}
+                    columns |= {"n_best": sums(first_of[groups], n_groups), "count_sum": sums(count_of[groups], n_groups)}
+                    yield record_batch(columns, layout)
+
+    return every.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(add_up, _FIGURES)
 
 
 def alignment(docs: DataFrame, path_a: str, path_b: str, space: Workspace, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
@@ -374,7 +405,7 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, space: Workspace, block
     and an empty digest. Every row is a document, also if its doc_id is NULL or repeated; equal texts count each time.
     An empty table gives no rows; other columns are ignored. Strings of special tokens are plain text.
     """
-    blocks = space.table("blocks", aligned_blocks(docs, path_a, path_b, block_tokens))
+    blocks = space.table("blocks", aligned_blocks(docs, path_a, path_b, block_tokens), BATCH_BYTES, **_FEW_ROWS)
     counts = space.table("pairs", with_best(pair_counts(pair_rows(blocks))))
     pairs = counts.select(F.expr(f"pair div {PAIR}L").alias("id_a"), (F.col("pair") % PAIR).alias("id_b"), "n", "best")
-    return link_figures(blocks, counts), pairs
+    return space.table("figures", link_figures(blocks, counts), BATCH_BYTES), pairs

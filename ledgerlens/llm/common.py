@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: texts, which JVM and Python hold several times over.
 BATCH_ROWS = 1000
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -31,6 +33,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """Bounds the bytes of the session's Arrow batches for a while; None leaves them."""
+    before = spark.conf.get(_BATCH_BYTES, None)
+    if most:
+        spark.conf.set(_BATCH_BYTES, str(most))
+    try:
+        yield
+    finally:
+        if most:
+            spark.conf.unset(_BATCH_BYTES) if before is None else spark.conf.set(_BATCH_BYTES, before)
+
+
 class Workspace:
     """Parquet tables of one run in the shared folder; what they hold outlives any executor.
 
@@ -43,10 +58,14 @@ class Workspace:
         if not keep:
             delete_on_exit(spark, self.root)
 
-    def table(self, name: str, df: DataFrame) -> DataFrame:
-        """Writes `df` and reads it back, which cuts the lineage."""
+    def table(self, name: str, df: DataFrame, batch_bytes: int | None = None, **options: str) -> DataFrame:
+        """Writes `df` and reads it back, which cuts the lineage.
+
+        `batch_bytes` bounds the Arrow batches that go to Python meanwhile, but for their last row.
+        """
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        with arrow_batches(self.spark, batch_bytes):
+            df.write.mode("overwrite").option("compression", "zstd").options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:

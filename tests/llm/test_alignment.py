@@ -1,9 +1,12 @@
+import glob
 import hashlib
 import random
 from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from edge_cases import ROWS, documents, no_documents
@@ -130,3 +133,71 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(map(tuple, queries.op13_alignment(spark, sf).collect())) == sorted(brute_force(rows)[0])
+
+
+def test_a_row_holds_part_of_a_block(spark):
+    texts = [(i, "the cat sat on the mat " * 500 + f"word{i}") for i in range(100)]
+    blocks = alignment.aligned_blocks(documents(spark, texts).coalesce(1), *PATHS).toPandas()
+    parts = blocks[blocks.kind == alignment._PART]
+    assert blocks.block.nunique() == 1 and len(blocks) == len(parts) + 1
+    assert sorted(i for ids in parts.doc_ids for i in ids) == list(range(100))
+    sizes = [len(own) // 4 for own in parts.groups]
+    assert max(sizes) <= alignment.PART_GROUPS < sum(sizes)
+
+
+def test_row_groups_of_blocks_have_few_rows(spark):
+    space = Workspace(spark, "t")
+    rows = [(i, f"text {i} of a few words") for i in range(200)]
+    figures, _ = alignment.alignment(documents(spark, rows).coalesce(1), *PATHS, space, 1)
+    assert figures.count() == 200
+    metadata = [pq.ParquetFile(path).metadata for path in glob.glob(f"{space.root.removeprefix('file:')}/blocks/*.parquet")]
+    groups = [own.row_group(i) for own in metadata for i in range(own.num_row_groups)]
+    assert sum(own.num_rows for own in groups) > 1 and max(own.num_rows for own in groups) <= 32
+    assert not any("DICT" in encoding for own in groups for encoding in own.column(8).encodings)
+
+
+def test_batches_to_python_are_bounded_while_a_table_is_written(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id doc_id", "repeat('a b ', 250) text")
+    sizes = lambda batches: (pa.record_batch([pa.array([b.num_rows], pa.int64())], names=["n"]) for b in batches)
+    before, space = spark.conf.get(key, None), Workspace(spark, "t")
+    small = [r.n for r in space.table("small", docs.mapInArrow(sizes, "n long"), 1 << 17).collect()]
+    assert sum(small) == 2000 and max(small) <= 200
+    assert spark.conf.get(key, None) == before
+    whole = [r.n for r in space.table("whole", docs.mapInArrow(sizes, "n long")).collect()]
+    assert max(whole) == 2000
+
+
+def test_groups_that_are_forgotten_change_no_links(monkeypatch):
+    rows = [(i, text if text is None else text[:2000]) for i, text in ROWS] + MORE
+    whole = type("Docs", (), {"mapInArrow": lambda self, align, layout: align})()
+    monkeypatch.setattr(alignment, "documents", lambda docs: docs)
+    monkeypatch.setattr(alignment, "TaskContext", type("Context", (), {"get": classmethod(lambda cls: cls), "partitionId": lambda: 3}))
+
+    def links_of(remembered):
+        monkeypatch.setattr(alignment, "REMEMBERED_GROUPS", remembered)
+        monkeypatch.setattr(alignment, "_SLICE_BYTES", 60)
+        align = alignment.aligned_blocks(whole, *PATHS)
+        batches = [pa.record_batch([pa.array(own) for own in zip(*part, strict=True)], names=["doc_id", "text"]) for part in (rows[:7], rows[7:])]
+        found, held, dictionaries = [], [], 0
+        for row in (row for batch in align(iter(batches)) for row in batch.to_pylist()):
+            if row["kind"] == alignment._PART:
+                held.append(row)
+                continue
+            dictionaries += 1
+            sizes, place = (np.frombuffer(row[name], dtype="<u4") for name in ("group_links", "link_pairs"))
+            of_group = np.split(np.array(row["pairs"], dtype=np.int64)[place], np.cumsum(sizes)[:-1]) if len(sizes) else []
+            for part in held:
+                groups, n = np.frombuffer(part["groups"], dtype="<u4"), np.frombuffer(part["n_groups"], dtype="<i8")
+                for i, own, digest in zip(part["doc_ids"], np.split(groups, np.cumsum(n)[:-1]), part["digests"], strict=True):
+                    found.append((i, [pair for group in own for pair in of_group[group].tolist()], digest))
+            held = []
+        assert not held
+        return found, dictionaries
+
+    (once, one), (often, many) = links_of(1_000_000), links_of(3)
+    assert once == often and one == 1 < many
+
+
+def test_tasks_of_a_worker_share_the_tokenizers():
+    assert alignment.kept_stretches(*PATHS) is alignment.kept_stretches(*PATHS)
